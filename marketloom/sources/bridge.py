@@ -1,0 +1,189 @@
+"""Star-schema parquet tables -> the four raw retail frames (see FIXTURES.md).
+
+The star schema has no e-mails, genders, ratings or payment names, so these
+are derived by fixed expressions; malformed, missing, duplicate and outdated
+values are planted on purpose.  All value columns are text, as in landing files.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marketloom.contracts import BRONZE, file_schema
+from marketloom.functions.base import ladder
+from marketloom.sources.landing import CSV_OPTIONS
+from marketloom.sources.scratch import scratch_path
+
+# Reference date and load time of the derived data.
+AS_OF = dt.date(2001, 8, 2)
+LOAD_TS = dt.datetime(2001, 8, 2, tzinfo=dt.timezone.utc)
+
+PAYMENTS = {
+    "1-URGENT": " Credit Card",
+    "2-HIGH": "PayPal",
+    "3-MEDIUM": "CASH ",
+    "4-NOT SPECIFIED": "Bank Transfer",
+}
+OTHER_PAYMENT = "Voucher"
+
+
+def _text(c: Column) -> Column:
+    return c.cast("string")
+
+
+def _decimal_text(cents: Column) -> Column:
+    """Whole cents as text with two decimals."""
+    rest = F.pmod(cents, F.lit(100))
+    return F.concat(
+        _text(((cents - rest) / 100).cast("bigint")), F.lit("."), F.lpad(_text(rest), 2, "0")
+    )
+
+
+def _with_stale_copies(df: DataFrame, key: str) -> DataFrame:
+    """Add an outdated copy (``stale`` = 1) of every tenth key, without a second scan."""
+    copies = F.when(F.col(key) % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.withColumn("stale", F.explode(copies))
+
+
+def _load_time() -> Column:
+    fresh = F.lit(LOAD_TS).cast("timestamp")
+    old = F.lit(LOAD_TS - dt.timedelta(days=1)).cast("timestamp")
+    return F.when(F.col("stale") == 1, old).otherwise(fresh)
+
+
+class Bridge:
+    """The raw frames derived from the parquet tables in ``folder``."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def _table(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+
+    def customers(self) -> DataFrame:
+        key, stale = F.col("c_custkey"), F.col("stale") == 1
+        nation = self._table("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+        frame = _with_stale_copies(
+            self._table("customer").select("c_custkey", "c_name", "c_nationkey"), "c_custkey"
+        ).join(nation, "c_nationkey")
+        two = lambda number: F.lpad(_text(number), 2, "0")
+        return frame.select(
+            _text(key).alias("customer_id"),
+            F.concat(F.lit("  "), F.lower("c_name"), F.when(stale, " old").otherwise(" ")).alias("name"),
+            ladder(
+                [
+                    (key % 23 == 0, F.lit(None).cast("string")),
+                    (key % 17 == 0, F.concat(F.lit("bad."), _text(key))),
+                ],
+                F.concat(F.lit(" USER"), _text(key), F.lit("@Example.COM ")),
+            ).alias("email"),
+            ladder(
+                [
+                    (key % 6 == 0, "M"),
+                    (key % 6 == 1, "f"),
+                    (key % 6 == 2, "male"),
+                    (key % 6 == 3, " female "),
+                    (key % 6 == 4, "Other"),
+                ],
+                F.lit(None).cast("string"),
+            ).alias("gender"),
+            ladder(
+                [(key % 29 == 0, F.lit("2000-13-01"))],
+                F.concat_ws("-", _text(1995 + key % 5), two(1 + key % 9), _text(10 + key % 10)),
+            ).alias("signup_date"),
+            F.col("n_name").alias("country"),
+            _load_time().alias("ingestion_date"),
+        )
+
+    def orders(self) -> DataFrame:
+        key, stale = F.col("o_orderkey"), F.col("stale") == 1
+        country = (
+            self._table("customer")
+            .select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
+            .join(self._table("nation").select("n_nationkey", "n_name"), "n_nationkey")
+            .select("o_custkey", "n_name")
+        )
+        placed = self._table("orders").where("o_custkey % 50 <> 0").drop("o_orderstatus")
+        frame = _with_stale_copies(placed.join(country, "o_custkey"), "o_orderkey")
+        cents = F.floor(F.round(F.col("o_totalprice") * 100).cast("bigint") / 1000)
+        return frame.select(
+            _text(key).alias("order_id"),
+            F.when(key % 211 != 0, _text(F.col("o_custkey"))).alias("customer_id"),
+            F.when(key % 83 == 0, "bad-date")
+            .otherwise(_text(F.col("o_orderdate").cast("date")))
+            .alias("order_date"),
+            ladder(
+                [(key % 97 == 0, F.lit("-1.00")), (key % 89 == 0, F.lit("n/a")), (stale, F.lit("0.01"))],
+                _decimal_text(cents),
+            ).alias("total_amount"),
+            ladder(
+                [(F.col("o_orderpriority") == code, name) for code, name in PAYMENTS.items()],
+                OTHER_PAYMENT,
+            ).alias("payment_method"),
+            F.col("n_name").alias("shipping_country"),
+            _load_time().alias("ingestion_date"),
+        )
+
+    def products(self) -> DataFrame:
+        key, stale = F.col("p_partkey"), F.col("stale") == 1
+        cents = (F.round(F.col("p_retailprice") * 100).cast("bigint") - 90000) * 5
+        return _with_stale_copies(self._table("part"), "p_partkey").select(
+            F.when(key % 199 != 0, _text(key)).alias("product_id"),
+            F.col("p_name").alias("product_name"),
+            F.col("p_type").alias("category"),
+            ladder(
+                [(key % 71 == 0, F.lit("-5.00")), (key % 73 == 0, F.lit("n/a")), (stale, F.lit("0.01"))],
+                _decimal_text(cents),
+            ).alias("price"),
+            F.when(key % 79 == 0, "-1")
+            .otherwise(_text((F.col("p_size") - 1) * 20))
+            .alias("stock_quantity"),
+            F.col("p_brand").alias("brand"),
+            _load_time().alias("ingestion_date"),
+        )
+
+    def product_reviews(self) -> DataFrame:
+        reviewer = self._table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+        lines = self._table("lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+            "l_returnflag", "l_linestatus", "l_shipdate",
+        ).where("l_partkey % 40 <> 0")
+        order, part, supplier = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
+        subject = F.concat(F.col("l_returnflag"), F.col("l_linestatus"), F.lit(" review of "), _text(part))
+        return lines.join(reviewer, "l_orderkey").select(
+            F.concat_ws("-", _text(order), _text(F.col("l_linenumber"))).alias("review_id"),
+            _text(part).alias("product_id"),
+            F.when(order % 211 != 0, _text(F.col("o_custkey"))).alias("customer_id"),
+            ladder(
+                [(F.col("l_linenumber") == 7, F.lit("9")), (order % 101 == 0, F.lit("five"))],
+                _text(F.ceil(F.col("l_quantity") / 10)),
+            ).alias("rating"),
+            ladder(
+                [
+                    (supplier % 13 == 0, F.lit(None).cast("string")),
+                    (supplier % 11 == 0, F.concat(subject, F.lit(': "fine", they say\nand more'))),
+                ],
+                subject,
+            ).alias("review_text"),
+            _text(F.col("l_shipdate").cast("date")).alias("review_date"),
+            F.col("l_shipdate").cast("timestamp").alias("ingestion_date"),
+        )
+
+    def bronze(self, table: str) -> DataFrame:
+        assert table in BRONZE, table
+        return getattr(self, table)()
+
+    def land_csv(self, table: str, root: str | None = None) -> str:
+        """Write one frame as landing CSV files (the audit column is not part of them)."""
+        path = f"{root or scratch_path(self.spark, 'landing')}/{table}"
+        (
+            self.bronze(table)
+            .select(*file_schema(table).names)
+            .write.mode("overwrite")
+            .options(**CSV_OPTIONS, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+            .csv(path)
+        )
+        return path
