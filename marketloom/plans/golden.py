@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.contracts import GOLDEN
@@ -97,8 +97,8 @@ def product_performance(
     """Scorecard, rank and attention flag per product.
 
     The scorecard is read twice, for the ranking levels and for the rows;
-    ``cut`` may store it (for instance ``DataFrame.checkpoint``) so that the
-    reviews are aggregated once.
+    ``cut`` may store it (see ``sources.scratch.stored``) so that the reviews
+    are aggregated once.
     """
     attention = (
         F.col("in_stock")
@@ -247,10 +247,14 @@ def reviews_enriched(reviews: DataFrame, products: DataFrame) -> DataFrame:
     return reviews.join(labels, "product_id", "left")
 
 
-def _monthly_product_measures(reviews: DataFrame) -> DataFrame:
-    return reviews.groupBy(
-        "product_id", clean.month_bucket("review_date").alias("review_month")
-    ).agg(*_review_measures())
+def by_product_month(reviews: DataFrame, *measures: Column) -> DataFrame:
+    """Aggregate per product and month; the month label is made after the grouping."""
+    month = F.trunc("review_date", "month")
+    return (
+        reviews.groupBy("product_id", month.alias("review_month"))
+        .agg(*measures)
+        .withColumn("review_month", clean.month_bucket("review_month"))
+    )
 
 
 def monthly_sentiment(reviews: DataFrame, products: DataFrame) -> DataFrame:
@@ -259,7 +263,7 @@ def monthly_sentiment(reviews: DataFrame, products: DataFrame) -> DataFrame:
     The product key is unique in the dimension, so its labels can be joined to
     the monthly rows instead of to every single review.
     """
-    monthly = reviews_enriched(_monthly_product_measures(reviews), products)
+    monthly = reviews_enriched(by_product_month(reviews, *_review_measures()), products)
     return monthly.select(
         "review_month",
         "product_id",

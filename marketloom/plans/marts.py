@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketloom.functions import clean, exact
+from marketloom.functions import exact
 from marketloom.functions.base import ladder
 from marketloom.plans import golden
 
@@ -240,35 +240,38 @@ def top_bottom_products(performance: DataFrame, n: int = TOP) -> DataFrame:
     return end("top", rating.desc()).unionByName(end("bottom", rating.asc()))
 
 
-def _stars_by(reviews: DataFrame, products: DataFrame, *labels: str) -> DataFrame:
-    """Star sums per product (and month), with product labels attached afterwards."""
-    month = clean.month_bucket("review_date").alias("review_month")
-    keys = ["product_id", month] if "review_month" in labels else ["product_id"]
-    per_product = reviews.groupBy(*keys).agg(
+def _star_sums() -> list[Column]:
+    return [
         F.count("review_id").alias("reviews"),
         F.sum("rating").alias("stars"),
         F.count("rating").alias("rated"),
-    )
+    ]
+
+
+def _rating_by(per_product: DataFrame, products: DataFrame, *labels: str) -> DataFrame:
+    """Exact average rating per label, from star sums per product."""
     return (
         golden.reviews_enriched(per_product, products)
         .groupBy(*labels)
-        .agg(
-            F.sum("reviews").alias("review_count"),
-            F.sum("stars").alias("stars"),
-            F.sum("rated").alias("rated"),
+        .agg(*[F.sum(c).alias(c) for c in ("reviews", "stars", "rated")])
+        .select(
+            *labels,
+            F.col("reviews").alias("review_count"),
+            exact.ratio("stars", "rated", 2).alias("avg_rating"),
         )
-        .select(*labels, "review_count", exact.ratio("stars", "rated", 2).alias("avg_rating"))
     )
 
 
 def category_brand_heatmap(reviews: DataFrame, products: DataFrame) -> DataFrame:
     """Average rating per category and brand over all their reviews."""
-    return _stars_by(reviews, products, "category", "brand")
+    per_product = reviews.groupBy("product_id").agg(*_star_sums())
+    return _rating_by(per_product, products, "category", "brand")
 
 
 def category_rating_trend(reviews: DataFrame, products: DataFrame) -> DataFrame:
     """Average rating per category and month, with the change to the month before."""
-    monthly = _stars_by(reviews, products, "category", "review_month")
+    per_product = golden.by_product_month(reviews, *_star_sums())
+    monthly = _rating_by(per_product, products, "category", "review_month")
     return golden.with_previous(
         monthly, "category", "review_month", "avg_rating", "prev_avg_rating", "rating_change"
     )

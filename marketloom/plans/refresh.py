@@ -18,7 +18,7 @@ from marketloom.contracts import BRONZE, SILVER
 from marketloom.operators.quality import has_all
 from marketloom.plans import golden, silver
 from marketloom.sources.landing import read_landing, with_ingestion_date
-from marketloom.sources.scratch import scratch_root
+from marketloom.sources.scratch import stored
 from marketloom.sources.tables import CatalogStore, PathStore
 
 
@@ -72,14 +72,13 @@ READ_ORDER = {
 }
 
 
-def load_golden(spark: SparkSession, store, as_of: dt.date, report: RefreshReport) -> None:
+def load_golden(store, as_of: dt.date, report: RefreshReport) -> None:
     """Build the four aggregates and write them in ranges of their usual filter columns."""
     customers, products, orders, reviews = (store.read("silver", t) for t in SILVER)
-    scratch_root(spark)  # makes sure that a checkpoint folder is set
     tables = {
         "agg_sales_summary": lambda: golden.sales_summary(orders),
         "agg_product_performance": lambda: golden.product_performance(
-            products, reviews, cut=lambda df: df.checkpoint()
+            products, reviews, cut=stored
         ),
         "agg_customer_360": lambda: golden.customer_360(customers, orders, reviews, as_of),
         "agg_review_sentiment": lambda: golden.review_sentiment(reviews, products),
@@ -102,5 +101,5 @@ def full_refresh(
     report = RefreshReport()
     load_bronze(spark, landing, store, load_ts, report)
     load_silver(store, run_ts, report)
-    load_golden(spark, store, as_of, report)
+    load_golden(store, as_of, report)
     return report

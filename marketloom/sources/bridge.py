@@ -9,11 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.contracts import BRONZE, file_schema
-from marketloom.functions.base import ladder
 from marketloom.sources.landing import CSV_OPTIONS
 from marketloom.sources.scratch import scratch_path
 
@@ -21,37 +20,34 @@ from marketloom.sources.scratch import scratch_path
 AS_OF = dt.date(2001, 8, 2)
 LOAD_TS = dt.datetime(2001, 8, 2, tzinfo=dt.timezone.utc)
 
-PAYMENTS = {
-    "1-URGENT": " Credit Card",
-    "2-HIGH": "PayPal",
-    "3-MEDIUM": "CASH ",
-    "4-NOT SPECIFIED": "Bank Transfer",
+INGESTED = (
+    "timestamp(if(stale, timestamp_ntz'2001-08-01', timestamp_ntz'2001-08-02')) AS ingestion_date"
+)
+
+# Columns of the star schema that are used here.  Declaring them
+# saves a schema-inference job per table.
+STAR_SCHEMA = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,"
+    " p_retailprice double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
 }
-OTHER_PAYMENT = "Voucher"
 
 
-def _text(c: Column) -> Column:
-    return c.cast("string")
-
-
-def _decimal_text(cents: Column) -> Column:
-    """Whole cents as text with two decimals."""
-    rest = F.pmod(cents, F.lit(100))
-    return F.concat(
-        _text(((cents - rest) / 100).cast("bigint")), F.lit("."), F.lpad(_text(rest), 2, "0")
-    )
+def _decimal_text(cents: str) -> str:
+    """SQL for whole cents as text with two decimals."""
+    return f"string(cast(cast({cents} AS decimal(18,0)) / 100 AS decimal(18,2)))"
 
 
 def _with_stale_copies(df: DataFrame, key: str) -> DataFrame:
-    """Add an outdated copy (``stale`` = 1) of every tenth key, without a second scan."""
-    copies = F.when(F.col(key) % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return df.withColumn("stale", F.explode(copies))
-
-
-def _load_time() -> Column:
-    fresh = F.lit(LOAD_TS).cast("timestamp")
-    old = F.lit(LOAD_TS - dt.timedelta(days=1)).cast("timestamp")
-    return F.when(F.col("stale") == 1, old).otherwise(fresh)
+    """Add an outdated copy (``stale``) of every tenth key, without a second scan."""
+    return df.withColumn(
+        "stale", F.expr(f"explode(if({key} % 10 = 0, array(false, true), array(false)))")
+    )
 
 
 class Bridge:
@@ -61,115 +57,89 @@ class Bridge:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def _table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(STAR_SCHEMA[name]).parquet(f"{self.folder}/{name}.parquet")
+
+    def _fact(self, name: str, key: str) -> DataFrame:
+        """A fact table, spread by ``key`` if it comes in fewer splits than there are cores.
+
+        A parquet file of one row group is read by one task; a table of many
+        files has splits enough and is left as it is.
+        """
+        table, cores = self._table(name), self.spark.sparkContext.defaultParallelism
+        return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
 
     def customers(self) -> DataFrame:
-        key, stale = F.col("c_custkey"), F.col("stale") == 1
-        nation = self._table("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-        frame = _with_stale_copies(
-            self._table("customer").select("c_custkey", "c_name", "c_nationkey"), "c_custkey"
-        ).join(nation, "c_nationkey")
-        two = lambda number: F.lpad(_text(number), 2, "0")
-        return frame.select(
-            _text(key).alias("customer_id"),
-            F.concat(F.lit("  "), F.lower("c_name"), F.when(stale, " old").otherwise(" ")).alias("name"),
-            ladder(
-                [
-                    (key % 23 == 0, F.lit(None).cast("string")),
-                    (key % 17 == 0, F.concat(F.lit("bad."), _text(key))),
-                ],
-                F.concat(F.lit(" USER"), _text(key), F.lit("@Example.COM ")),
-            ).alias("email"),
-            ladder(
-                [
-                    (key % 6 == 0, "M"),
-                    (key % 6 == 1, "f"),
-                    (key % 6 == 2, "male"),
-                    (key % 6 == 3, " female "),
-                    (key % 6 == 4, "Other"),
-                ],
-                F.lit(None).cast("string"),
-            ).alias("gender"),
-            ladder(
-                [(key % 29 == 0, F.lit("2000-13-01"))],
-                F.concat_ws("-", _text(1995 + key % 5), two(1 + key % 9), _text(10 + key % 10)),
-            ).alias("signup_date"),
-            F.col("n_name").alias("country"),
-            _load_time().alias("ingestion_date"),
+        joined = self._table("customer").join(
+            self._table("nation"), F.expr("c_nationkey = n_nationkey")
+        )
+        return _with_stale_copies(joined, "c_custkey").selectExpr(
+            "string(c_custkey) AS customer_id",
+            "concat('  ', lower(c_name), if(stale, ' old', ' ')) AS name",
+            """CASE WHEN c_custkey % 23 = 0 THEN NULL
+                    WHEN c_custkey % 17 = 0 THEN concat('bad.', c_custkey)
+                    ELSE concat(' USER', c_custkey, '@Example.COM ') END AS email""",
+            """element_at(array('M', 'f', 'male', ' female ', 'Other', NULL),
+                          int(c_custkey % 6) + 1) AS gender""",
+            """if(c_custkey % 29 = 0, '2000-13-01',
+                  concat(1995 + c_custkey % 5, '-0', 1 + c_custkey % 9, '-', 10 + c_custkey % 10)
+               ) AS signup_date""",
+            "n_name AS country",
+            INGESTED,
         )
 
     def orders(self) -> DataFrame:
-        key, stale = F.col("o_orderkey"), F.col("stale") == 1
-        country = (
-            self._table("customer")
-            .select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
-            .join(self._table("nation").select("n_nationkey", "n_name"), "n_nationkey")
-            .select("o_custkey", "n_name")
+        joined = (
+            self._fact("orders", "o_orderkey")
+            .where("o_custkey % 50 <> 0")
+            .join(self._table("customer"), F.expr("o_custkey = c_custkey"))
+            .join(self._table("nation"), F.expr("c_nationkey = n_nationkey"))
         )
-        placed = self._table("orders").where("o_custkey % 50 <> 0").drop("o_orderstatus")
-        frame = _with_stale_copies(placed.join(country, "o_custkey"), "o_orderkey")
-        cents = F.floor(F.round(F.col("o_totalprice") * 100).cast("bigint") / 1000)
-        return frame.select(
-            _text(key).alias("order_id"),
-            F.when(key % 211 != 0, _text(F.col("o_custkey"))).alias("customer_id"),
-            F.when(key % 83 == 0, "bad-date")
-            .otherwise(_text(F.col("o_orderdate").cast("date")))
-            .alias("order_date"),
-            ladder(
-                [(key % 97 == 0, F.lit("-1.00")), (key % 89 == 0, F.lit("n/a")), (stale, F.lit("0.01"))],
-                _decimal_text(cents),
-            ).alias("total_amount"),
-            ladder(
-                [(F.col("o_orderpriority") == code, name) for code, name in PAYMENTS.items()],
-                OTHER_PAYMENT,
-            ).alias("payment_method"),
-            F.col("n_name").alias("shipping_country"),
-            _load_time().alias("ingestion_date"),
+        amount = _decimal_text("bigint(rint(o_totalprice * 100)) div 1000")
+        return _with_stale_copies(joined, "o_orderkey").selectExpr(
+            "string(o_orderkey) AS order_id",
+            "if(o_orderkey % 211 <> 0, string(o_custkey), NULL) AS customer_id",
+            "if(o_orderkey % 83 = 0, 'bad-date', string(date(o_orderdate))) AS order_date",
+            f"""CASE WHEN o_orderkey % 97 = 0 THEN '-1.00' WHEN o_orderkey % 89 = 0 THEN 'n/a'
+                     WHEN stale THEN '0.01' ELSE {amount} END AS total_amount""",
+            """CASE o_orderpriority WHEN '1-URGENT' THEN ' Credit Card' WHEN '2-HIGH' THEN 'PayPal'
+                    WHEN '3-MEDIUM' THEN 'CASH ' WHEN '4-NOT SPECIFIED' THEN 'Bank Transfer'
+                    ELSE 'Voucher' END AS payment_method""",
+            "n_name AS shipping_country",
+            INGESTED,
         )
 
     def products(self) -> DataFrame:
-        key, stale = F.col("p_partkey"), F.col("stale") == 1
-        cents = (F.round(F.col("p_retailprice") * 100).cast("bigint") - 90000) * 5
-        return _with_stale_copies(self._table("part"), "p_partkey").select(
-            F.when(key % 199 != 0, _text(key)).alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_type").alias("category"),
-            ladder(
-                [(key % 71 == 0, F.lit("-5.00")), (key % 73 == 0, F.lit("n/a")), (stale, F.lit("0.01"))],
-                _decimal_text(cents),
-            ).alias("price"),
-            F.when(key % 79 == 0, "-1")
-            .otherwise(_text((F.col("p_size") - 1) * 20))
-            .alias("stock_quantity"),
-            F.col("p_brand").alias("brand"),
-            _load_time().alias("ingestion_date"),
+        price = _decimal_text("(bigint(rint(p_retailprice * 100)) - 90000) * 5")
+        return _with_stale_copies(self._table("part"), "p_partkey").selectExpr(
+            "if(p_partkey % 199 <> 0, string(p_partkey), NULL) AS product_id",
+            "p_name AS product_name",
+            "p_type AS category",
+            f"""CASE WHEN p_partkey % 71 = 0 THEN '-5.00' WHEN p_partkey % 73 = 0 THEN 'n/a'
+                     WHEN stale THEN '0.01' ELSE {price} END AS price""",
+            "if(p_partkey % 79 = 0, '-1', string((p_size - 1) * 20)) AS stock_quantity",
+            "p_brand AS brand",
+            INGESTED,
         )
 
     def product_reviews(self) -> DataFrame:
-        reviewer = self._table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-        lines = self._table("lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_returnflag", "l_linestatus", "l_shipdate",
-        ).where("l_partkey % 40 <> 0")
-        order, part, supplier = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-        subject = F.concat(F.col("l_returnflag"), F.col("l_linestatus"), F.lit(" review of "), _text(part))
-        return lines.join(reviewer, "l_orderkey").select(
-            F.concat_ws("-", _text(order), _text(F.col("l_linenumber"))).alias("review_id"),
-            _text(part).alias("product_id"),
-            F.when(order % 211 != 0, _text(F.col("o_custkey"))).alias("customer_id"),
-            ladder(
-                [(F.col("l_linenumber") == 7, F.lit("9")), (order % 101 == 0, F.lit("five"))],
-                _text(F.ceil(F.col("l_quantity") / 10)),
-            ).alias("rating"),
-            ladder(
-                [
-                    (supplier % 13 == 0, F.lit(None).cast("string")),
-                    (supplier % 11 == 0, F.concat(subject, F.lit(': "fine", they say\nand more'))),
-                ],
-                subject,
-            ).alias("review_text"),
-            _text(F.col("l_shipdate").cast("date")).alias("review_date"),
-            F.col("l_shipdate").cast("timestamp").alias("ingestion_date"),
+        joined = (
+            self._fact("lineitem", "l_orderkey")
+            .where("l_partkey % 40 <> 0")
+            .join(self._table("orders"), F.expr("l_orderkey = o_orderkey"))
+        )
+        text = "concat(l_returnflag, l_linestatus, ' review of ', l_partkey)"
+        return joined.selectExpr(
+            "concat(l_orderkey, '-', l_linenumber) AS review_id",
+            "string(l_partkey) AS product_id",
+            "if(l_orderkey % 211 <> 0, string(o_custkey), NULL) AS customer_id",
+            """CASE WHEN l_linenumber = 7 THEN '9' WHEN l_orderkey % 101 = 0 THEN 'five'
+                    ELSE string(ceil(l_quantity / 10)) END AS rating""",
+            f"""CASE WHEN l_suppkey % 13 = 0 THEN NULL
+                     WHEN l_suppkey % 11 = 0
+                     THEN concat({text}, ': "fine", they say', char(10), 'and more')
+                     ELSE {text} END AS review_text""",
+            "string(date(l_shipdate)) AS review_date",
+            "timestamp(l_shipdate) AS ingestion_date",
         )
 
     def bronze(self, table: str) -> DataFrame:
