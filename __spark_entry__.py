@@ -41,8 +41,9 @@ TEST_HIGH_SALES = 10000
 class Layers:
     """The twelve tables over one folder of parquet tables, each built on first use."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.source = spark, Bridge(spark, folder)
+    def __init__(self, spark: SparkSession, folder: str, store_silver: bool = False):
+        self.spark, self.folder, self.source = spark, folder, Bridge(spark, folder)
+        self.store_silver = store_silver
         self._built: dict[str, DataFrame] = {}
 
     def __call__(self, table: str) -> DataFrame:
@@ -54,7 +55,8 @@ class Layers:
         if table in BRONZE:
             return self.source.bronze(table)
         if table in SILVER:
-            return silver.refine(self(silver.REFINEMENTS[table].source), table, LOAD_TS)
+            refined = silver.refine(self(silver.REFINEMENTS[table].source), table, LOAD_TS)
+            return stored(refined, table) if self.store_silver else refined
         if table == "agg_sales_summary":
             return golden.sales_summary(self("fact_orders"))
         if table == "agg_product_performance":
@@ -83,6 +85,8 @@ def _timestamp_text(name: str):
 
 
 def _all_tables(t: Layers):
+    """(name, frame, contract) of the twelve tables; silver is stored, golden reads it from there."""
+    t = Layers(t.spark, t.folder, store_silver=True)
     for layer, tables in LAYERS.items():
         for table, contract in tables.items():
             yield f"{layer}.{table}", t(table), contract
