@@ -153,7 +153,7 @@ class Bridge:
             self.bronze(table)
             .select(*file_schema(table).names)
             .write.mode("overwrite")
-            .options(**CSV_OPTIONS, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+            .options(header=True, **CSV_OPTIONS, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
             .csv(path)
         )
         return path

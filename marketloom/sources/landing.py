@@ -8,16 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.contracts import file_schema
+from marketloom.sources.multiline import read_split_multiline
 
-# Header row, and a quote inside a quoted field is doubled.
-CSV_OPTIONS = {"header": True, "escape": '"'}
+# Fixed value: a quote inside a quoted field is doubled.
+CSV_OPTIONS = {"escape": '"'}
 
 # Tables whose free text may hold line breaks.
 MULTILINE_TABLES = frozenset({"product_reviews"})
 
 
+# Above this size a file with line breaks in fields is read in many tasks.
+WHOLE_FILE_BYTES = 1 << 30
+
+
 def read_landing(
-    spark: SparkSession, table: str, path: str, corrupt_column: str | None = None
+    spark: SparkSession,
+    table: str,
+    path: str,
+    corrupt_column: str | None = None,
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """Read one landing data set (a file, a folder or a glob) with its fixed schema.
 
@@ -25,15 +34,20 @@ def read_landing(
     an empty field is NULL.  With ``corrupt_column`` the raw text of malformed
     rows is kept in that extra column.
 
-    A file with line breaks inside fields cannot be split, so Spark reads it in
-    one task: land reviews as many files (``landing_files`` shows their sizes).
+    Spark reads a file with line breaks inside fields in one task.  If a file
+    of such a table is larger than ``whole_file_bytes``, the data set is read
+    split by split instead, with the same rows as result.
     """
-    schema = file_schema(table)
-    options = dict(CSV_OPTIONS, multiLine=table in MULTILINE_TABLES)
+    schema, options = file_schema(table), dict(CSV_OPTIONS)
     if corrupt_column:
         schema = schema.add(corrupt_column, "string")
         options["columnNameOfCorruptRecord"] = corrupt_column
-    return spark.read.options(**options).schema(schema).csv(path)
+    if table in MULTILINE_TABLES:
+        largest = landing_files(spark, path).agg(F.max("file_bytes")).first()[0] or 0
+        if largest > whole_file_bytes:
+            return read_split_multiline(spark, path, schema, options)
+        options["multiLine"] = "true"
+    return spark.read.options(header=True, **options).schema(schema).csv(path)
 
 
 def with_ingestion_date(df: DataFrame, load_ts: dt.datetime) -> DataFrame:

@@ -1,0 +1,122 @@
+"""Reading large CSV files whose fields may hold line breaks, many tasks per file.
+
+Spark's ``multiLine`` reader takes each file in one task.  Here a file is read
+as lines, in as many splits as usual, and lines are put together to records:
+
+1. Per split, count the quote characters.  The running total over the splits
+   of a file tells whether a split begins inside a quoted field.
+2. Within a split, a line starts a record if the number of quotes before it is
+   even.  A split is at most ``spark.sql.files.maxPartitionBytes`` long, which
+   bounds the groups in which lines are put in order.
+3. Pieces of records at the edges of splits, at most two per split, are joined
+   across splits.
+
+The records are parsed by ``from_csv``.  This needs properly quoted files: a
+quote occurs only around a field or, doubled, inside a quoted one.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from marketloom.sources.scratch import stored
+
+SPLIT = ("file", "block")
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    text = F.col("value")
+    return spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),  # rising within a split
+        text.alias("text"),
+        (F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))).alias("quotes"),
+    )
+
+
+def _text_in_order(*order: str) -> Column:
+    """Aggregate: the lines of a group, in order, with the line breaks put back."""
+    pieces = F.array_sort(F.collect_list(F.struct(*order, "text")))
+    return F.array_join(F.transform(pieces, lambda piece: piece["text"]), "\n")
+
+
+def _split_records(lines: DataFrame) -> DataFrame:
+    """(file, block, record, text, unfinished): the records and pieces of records per split.
+
+    Record 0 of a split continues a record of an earlier one; an unfinished
+    record goes on in a later one.  Lines are shuffled once, by split.
+    """
+    earlier_splits = (
+        Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    from_start = Window.partitionBy("file").orderBy("block")
+    splits = (
+        lines.groupBy(*SPLIT)
+        .agg(
+            F.sum("quotes").alias("total"),
+            F.min_by(F.col("text").endswith("\r"), "line").alias("first_line_has_cr"),
+        )
+        .select(
+            *SPLIT,
+            F.coalesce(F.sum("total").over(earlier_splits), F.lit(0)).alias("quotes_before"),
+            # the first line of a file decides on its line ends, as in Spark's reader
+            F.first("first_line_has_cr").over(from_start).alias("crlf"),
+        )
+    )
+    in_split = Window.partitionBy(*SPLIT).orderBy("line")
+    up_to_line = F.col("quotes_before") + F.sum("quotes").over(in_split)
+    drop_cr = F.col("crlf") & F.col("text").endswith("\r")
+    return (
+        lines.join(splits, list(SPLIT))
+        .withColumn("text", F.when(drop_cr, F.expr("left(text, length(text) - 1)")).otherwise(F.col("text")))
+        .withColumn("quotes_so_far", up_to_line)
+        .withColumn("starts", (F.col("quotes_so_far") - F.col("quotes")) % 2 == 0)
+        # an empty line is text inside a quoted field, and nothing between records
+        .where(~(F.col("starts") & (F.col("text") == "")))
+        .withColumn("record", F.sum(F.col("starts").cast("int")).over(in_split))
+        .groupBy(*SPLIT, "record")
+        .agg(
+            _text_in_order("line").alias("text"),
+            (F.max("quotes_so_far") % 2 == 1).alias("unfinished"),
+        )
+    )
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """(text): one row per non-empty CSV record, without the header record of each file."""
+    pieces = stored(_split_records(_lines(spark, path)), "csv-records")
+    at_edge = (F.col("record") == 0) | F.col("unfinished")
+    chain = F.sum((F.col("record") > 0).cast("int")).over(
+        Window.partitionBy("file").orderBy("block", "record")
+    )
+    across = (
+        pieces.where(at_edge)
+        .withColumn("chain", chain)
+        .groupBy("file", "chain")
+        .agg(
+            _text_in_order("block", "record").alias("text"),
+            F.min(F.struct("block", "record")).alias("start"),
+        )
+        .select("start.block", "start.record", "text")
+    )
+    is_header = (F.col("block") == 0) & (F.col("record") == 1)
+    return (
+        pieces.where(~at_edge)
+        .select("block", "record", "text")
+        .unionByName(across)
+        .where(~is_header)
+        .select("text")
+    )
+
+
+def read_split_multiline(
+    spark: SparkSession, path: str, schema: T.StructType, options: Mapping[str, str]
+) -> DataFrame:
+    """The rows that the ``multiLine`` reader gives, from many tasks per file."""
+    row = F.from_csv("text", schema.toDDL(), dict(options, multiLine="true"))
+    return read_records(spark, path).select(row.alias("row")).select("row.*")

@@ -108,3 +108,31 @@ def test_refresh_equals_composition(spark, landed, tmp_path):
     for table in GOLDEN:
         have = sorted(map(repr, store.read("golden", table).collect()))
         assert have == sorted(map(repr, layers(table).select(*GOLDEN[table].names).collect()))
+
+
+FIELDS = ["", '"line one\nline two, ""q"" "', '"' + "x\n\n" * 700 + '"', '""', '"a\r\nb"', '"""all"""', "plain",
+          '"' + "long, " * 300 + '"']
+
+
+@pytest.mark.parametrize("header_end,line_end", [("\n", "\n"), ("\r\n", "\r\n"), ("\n", "\r\n")])
+def test_large_multiline_files_are_read_by_many_tasks(spark, tmp_path, header_end, line_end):
+    header = REVIEWS.splitlines()[0] + header_end
+    for name in "ab":
+        lines = [header]
+        for i in range(160):
+            lines.append(f"{name}{i},7,9,5" + ("" if i % 19 == 0 else f",{FIELDS[i * 7 % 8]},2024-01-05") + line_end)
+            if i % 23 == 0:
+                lines.append(line_end)
+        (tmp_path / f"{name}.csv").write_bytes("".join(lines).encode())
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        whole = landing.read_landing(spark, "product_reviews", str(tmp_path))
+        split = landing.read_landing(spark, "product_reviews", str(tmp_path), whole_file_bytes=1000)
+        assert split.columns == whole.columns
+        want = sorted(map(repr, whole.collect()))
+        assert len(want) >= 320 and sorted(map(repr, split.collect())) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
