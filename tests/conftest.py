@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("marketloom-tests")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(warehouse))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))

@@ -24,13 +24,24 @@ def con():
     return con
 
 
+@pytest.fixture(scope="module")
+def layers(spark):
+    """All queries share one set of tables here, with silver stored; each alone derives its own."""
+    return entry.Layers(spark, SF_DIR, store_silver=True)
+
+
 def test_same_keys():
     assert set(entry.queries()) == set(entry.oracle_sql())
 
 
+def test_flagship(spark):
+    rows = entry.entry(spark).collect()
+    assert len(rows) == 10 and rows == sorted(rows, key=lambda r: (-r.total_revenue, r.shipping_country))
+
+
 @pytest.mark.parametrize("key", list(entry.QUERIES))
-def test_matches(spark, con, key):
-    df = entry.queries()[key](spark, SF_DIR)
+def test_matches(spark, layers, con, key):
+    df = entry.QUERIES[key](layers)
     have_columns = sorted(df.columns)
     cursor = con.execute(entry.oracle_sql()[key])
     want_types = {d[0]: str(d[1]) for d in cursor.description}
