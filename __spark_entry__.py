@@ -24,7 +24,6 @@ from marketloom.contracts import (  # noqa: E402
     LAYERS,
     SILVER,
     contract_report,
-    value_columns,
 )
 from marketloom.functions import clean, derive  # noqa: E402
 from marketloom.operators import quality  # noqa: E402
