@@ -1,39 +1,48 @@
-"""Where intermediate files may go."""
+"""Where intermediate tables may go."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for scratch tables: the one the session names in ``spark.checkpoint.dir``.
+    """Shared folder for scratch tables.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would be invisible to the other executors.
+    The folder that the session names in ``spark.checkpoint.dir``, else the checkpoint folder of the
+    context, else a folder of the warehouse.  All three are shared between the driver and the
+    executors; a machine-local temporary folder is never used.
     """
-    context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not shared:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="marketloom-")
-        context.setCheckpointDir(shared)
-    return shared.rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; what is there is removed when the driver ends."""
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    system, jvm_path = _file_system(spark, path)
+    system.deleteOnExit(jvm_path)
+    return path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table that nothing reads any more."""
+    system, jvm_path = _file_system(spark, path)
+    system.delete(jvm_path, True)
 
 
-def stored(df: DataFrame, label: str = "stored") -> DataFrame:
-    """Write a frame to the scratch folder once and read it back.
+def stored(df: DataFrame, label: str = "stored", path: str | None = None) -> DataFrame:
+    """Write a frame to the shared folder once and read it back.
 
     For results that are needed more than once: later readers scan only the
     columns they use, and a lost executor does not recompute what led to them.
     """
-    path = scratch_path(df.sparkSession, label)
+    path = path or scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
