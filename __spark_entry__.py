@@ -359,9 +359,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["dash_top_countries"](spark, "/root/testdata/sf0.001")
 
 
+def _corpus_queries() -> tuple[dict[str, Callable], dict[str, str]]:
+    """Queries and SQL of the training-data operators; none where that subpackage is not installed."""
+    try:
+        import corpus_pipeline
+        from marketloom.llm import queries as llm
+    except ModuleNotFoundError as gone:
+        if gone.name not in ("corpus_pipeline", "marketloom.llm"):
+            raise
+        return {}, {}
+    sql = {**llm.ORACLE_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return (
+        {**llm.QUERIES, "pipeline": corpus_pipeline.run},
+        {name: text for name, text in sql.items() if text},
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _runner(build) for name, build in QUERIES.items()}
+    return {name: _runner(build) for name, build in QUERIES.items()} | _corpus_queries()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.all_sql()
+    return oracle.all_sql() | _corpus_queries()[1]
