@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import simhash
+from marketloom.llm import embedding_dedup, repetition, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,8 +21,20 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return repetition.quality(docs, "text").drop("text")
+
+
+def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return embedding_dedup.embedding_components(vectors, "vec_id", "embedding", cosine=0.95)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op4_quality_rules": op4_quality_rules,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
