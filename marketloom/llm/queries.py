@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import embedding_dedup, repetition, sentencepiece_rounds, simhash
+from marketloom.llm import embedding_dedup, packing, repetition, sentencepiece_rounds, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -40,6 +40,12 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.quality(docs, "text").drop("text")
 
 
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(packing.token_pieces(docs, "text", tokenizer, packing.CAPACITY), packing.CAPACITY)
+
+
 def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding")
     return embedding_dedup.embedding_components(vectors, "vec_id", "embedding", cosine=0.95)
@@ -49,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 

@@ -163,7 +163,9 @@ def merge_rounds(vocabulary: Vocabulary, symbols: np.ndarray, sizes: np.ndarray)
         place = np.cumsum(keep) - 1
         symbols, at, word, rank, piece = (x[keep] for x in (symbols, at, word, rank, piece))
         changed = place[chosen]
-        changed = np.unique(np.concatenate((changed, np.maximum(changed - 1, 0))))
+        touched = np.zeros(len(symbols), bool)
+        touched[changed] = touched[np.maximum(changed - 1, 0)] = True
+        changed = np.nonzero(touched)[0]
         rank[changed], piece[changed] = pair_of(changed)
     if not done_symbols:
         return symbols, at
