@@ -8,13 +8,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import embedding_dedup, packing, repetition, sentencepiece_rounds, simhash
+from marketloom.llm import embedding_dedup, kd_sharding, packing, repetition, sentencepiece_rounds, simhash
+from marketloom.llm.common import utf8_bytes
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_kd_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select(
+        "doc_id",
+        (utf8_bytes(F.col("text")) + 16).alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.xxhash64("text").alias("text_hash"),
+        "lang",
+        "source",
+    )
+    dimensions = {"bytes": F.log2("size"), "lang": F.col("lang"), "source": F.col("source")}
+    sharded = kd_sharding.kd_shards(docs, F.col("size"), dimensions, F.col("text_hash"), shards=40)
+    return sharded.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -52,6 +70,7 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_kd_sharding": op1_kd_sharding,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
