@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import embedding_dedup, kd_sharding, packing, repetition, sentencepiece_rounds, simhash
+from marketloom.llm import (
+    chat_format,
+    embedding_dedup,
+    kd_sharding,
+    packing,
+    repetition,
+    sentencepiece_rounds,
+    simhash,
+)
 from marketloom.llm.common import utf8_bytes
 
 
@@ -64,6 +72,14 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.token_pieces(docs, "text", tokenizer, packing.CAPACITY), packing.CAPACITY)
 
 
+def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    saying = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", saying), (-7, 1, "assistant", saying)], turns.schema)
+    formatted = chat_format.format_turns(turns.unionByName(extra), "conv_id", "turn", "role", "text")
+    return chat_format.read_back(formatted, "conv_id")
+
+
 def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding")
     return embedding_dedup.embedding_components(vectors, "vec_id", "embedding", cosine=0.95)
@@ -75,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op9_chat_format": op9_chat_format,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
