@@ -163,7 +163,8 @@ def quality(df: DataFrame, text: str, limits: Limits = Limits()) -> DataFrame:
     """
     results = (*MEASURES, "base_failed", "covered_fraction", "kept")
     base = df.drop(*[c for c in results if c != text])
-    at = base.columns.index(text)
+    names = base.columns
+    at = names.index(text)
     schema = base.select("*", *[F.lit(0).cast("long").alias(c) for c in MEASURES]).schema
 
     def run(batches):
@@ -176,7 +177,7 @@ def quality(df: DataFrame, text: str, limits: Limits = Limits()) -> DataFrame:
                     part = batch.slice(begin, i + 1 - begin)
                     rows = measure(texts[begin : i + 1], limits)
                     added = [pa.array(c, pa.int64()) for c in zip(*rows)]
-                    yield pa.RecordBatch.from_arrays([*part.columns, *added], [*base.columns, *MEASURES])
+                    yield pa.RecordBatch.from_arrays([*part.columns, *added], [*names, *MEASURES])
                     begin, size = i + 1, 0
 
     n = F.col("n_words")
