@@ -4,9 +4,10 @@ Each vector, scaled to length one, is cut into two halves.  Each half has its ow
 two codebooks form a grid of cells; every vector is entered in the cell of its two nearest codewords.
 A query visits cells in the order of a lower bound of its distance to anything inside: by how much the
 query lies on its own side of the plane between two codewords, squared and added over the halves (the
-multi-sequence order).  The traversal ends where that bound passes the distance that belongs to the
-wanted cosine, so no link can be missed: the target recall is one.  What a visit finds is verified by
-the cosine in double precision.
+multi-sequence order).  The traversal ends where the bound passes a reach that is calibrated for the
+target recall: sample vectors are turned by exactly the wanted angle in random directions, and the
+reach covers the cells of that share of them.  Real links are mostly closer than that and found more
+often.  What a visit finds is verified by the cosine in double precision, so no false link is made.
 """
 
 from __future__ import annotations
@@ -24,7 +25,9 @@ from marketloom.sources.scratch import stored
 
 SAMPLE_ROWS = 20_000  # vectors, chosen by hash, from which the codebooks are fitted
 MAX_CODEWORDS = 1024  # per half; cells: the square of it
-CELL_ROWS = 64  # vectors per cell that the codebook size aims at
+CELL_ROWS = 512  # vectors per cell that the codebook size aims at
+TARGET_RECALL = 0.999  # of pairs that have just the wanted cosine
+CALIBRATION_ROWS = 4096  # sample vectors that are turned to find the reach
 BLOCK_ROWS = 2048  # vectors of one side that are compared in one task at a time
 
 
@@ -76,6 +79,23 @@ def _bounds(points: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return near, np.maximum(bound, 0) ** 2
 
 
+def calibrated_reach(books: Codebooks, sample: np.ndarray, cosine: float, recall: float) -> float:
+    """The bound within which the cell of a neighbour lies for a share ``recall`` of turned vectors.
+
+    It is never beyond the squared distance itself, at which nothing can be missed.
+    """
+    random = np.random.default_rng(11)
+    points = unit(sample[:CALIBRATION_ROWS])
+    aside = random.normal(size=points.shape)
+    aside -= (aside * points).sum(1)[:, None] * points
+    size = np.linalg.norm(aside, axis=1, keepdims=True)
+    turned = cosine * points + np.sqrt(1 - cosine**2) * np.divide(aside, size, out=0 * aside, where=size > 0)
+    cut, at, needed = books.first.shape[1], np.arange(len(points)), 0.0
+    for half, words in ((slice(0, cut), books.first), (slice(cut, None), books.second)):
+        needed = needed + _bounds(points[:, half], words)[1][at, _bounds(turned[:, half], words)[0]]
+    return min(float(np.quantile(needed, recall, method="higher")), 2 - 2 * cosine) + 1e-9
+
+
 def visits(points: np.ndarray, books: Codebooks, reach2: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, cell, own cell): cells in multi-sequence order, until the bound passes ``reach2``."""
     cut = books.first.shape[1]
@@ -93,7 +113,7 @@ def visits(points: np.ndarray, books: Codebooks, reach2: float) -> tuple[np.ndar
     return np.concatenate(rows), np.concatenate(cells), near1 * width + near2
 
 
-def _entries(distinct: DataFrame, books: dict[int, Codebooks], reach2: float) -> DataFrame:
+def _entries(distinct: DataFrame, books: dict[int, tuple[Codebooks, float]]) -> DataFrame:
     """(size, cell, asks, home, key, copies, v): each vector in its cell, and as a query where it visits.
 
     ``home`` marks a query in its own cell.  A pair in different cells is looked for from the cell
@@ -111,7 +131,7 @@ def _entries(distinct: DataFrame, books: dict[int, Codebooks], reach2: float) ->
                 for part in np.array_split(at, -(-len(at) // 1024)):
                     held = flat[offsets[part][:, None] + np.arange(size)[None, :]]
                     if int(size) in books:
-                        rows, cells, own = visits(unit(held), books[int(size)], reach2)
+                        rows, cells, own = visits(unit(held), *books[int(size)])
                     else:
                         rows, cells, own = np.arange(len(part)), np.zeros(len(part), int), np.zeros(len(part), int)
                     onward = cells >= own[rows]
@@ -201,7 +221,12 @@ def _compare(least_cosine: float):
 
 
 def embedding_components(
-    df: DataFrame, id_col: str, vector: str, cosine: float = 0.95, sample_rows: int = SAMPLE_ROWS
+    df: DataFrame,
+    id_col: str,
+    vector: str,
+    cosine: float = 0.95,
+    recall: float = TARGET_RECALL,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """(id, n_links, component_id, kept) for every row of ``df``.
 
@@ -213,6 +238,7 @@ def embedding_components(
     no other; then it has no id and nothing of it is kept.
 
     The codebooks are fitted on at most ``sample_rows`` distinct vectors; all are indexed and asked.
+    Pairs of just the wanted cosine are found with the probability ``recall``.
     """
     spark = df.sparkSession
     rows = df.select(F.col(id_col).alias("id"), F.col(vector).cast("array<double>").alias("v"))
@@ -228,11 +254,14 @@ def embedding_components(
     )
     distinct = stored(distinct.withColumn("key", F.monotonically_increasing_id()), "distinct-vectors")
 
-    sample = distinct.select("v").orderBy(F.xxhash64("v")).limit(sample_rows).collect()
+    chosen = distinct.select("v").orderBy(F.xxhash64("v")).limit(sample_rows).collect()
+    sample = [np.array(r[0], np.float64) for r in chosen]
     k = int(np.clip(np.sqrt(distinct.count() / CELL_ROWS), 1, MAX_CODEWORDS))
-    books = fit_codebooks([np.array(r[0], np.float64) for r in sample], k)
-    reach2 = 2 - 2 * cosine + 1e-9
-    entries = stored(_entries(distinct, books, reach2), "cells")
+    books = {
+        size: (book, calibrated_reach(book, np.array([v for v in sample if len(v) == size]), cosine, recall))
+        for size, book in fit_codebooks(sample, k).items()
+    }
+    entries = stored(_entries(distinct, books), "cells")
     found = stored(
         _blocks(entries)
         .groupBy("size", "cell", "held_block", "asked_block")
