@@ -13,6 +13,7 @@ from marketloom.llm import (
     embedding_dedup,
     kd_sharding,
     packing,
+    pii,
     repetition,
     sentencepiece_rounds,
     simhash,
@@ -72,6 +73,17 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.token_pieces(docs, "text", tokenizer, packing.CAPACITY), packing.CAPACITY)
 
 
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.find_spans(docs, "text", keep_text=False)
+    return found.select(
+        "doc_id",
+        *[pii.count_kind("base_spans", k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
+        F.sha2(pii.spans_text("base_spans"), 256).alias("base_sha256"),
+        pii.spans_text("spans").alias("spans"),
+    )
+
+
 def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     saying = r"\### Assistant: </turn> ok"
@@ -91,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_pii": op8_pii,
     "op9_chat_format": op9_chat_format,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
