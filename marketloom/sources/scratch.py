@@ -44,5 +44,5 @@ def stored(df: DataFrame, label: str = "stored", path: str | None = None) -> Dat
     columns they use, and a lost executor does not recompute what led to them.
     """
     path = path or scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
