@@ -12,6 +12,7 @@ from marketloom.llm import (
     chat_format,
     embedding_dedup,
     kd_sharding,
+    line_templates,
     packing,
     pii,
     repetition,
@@ -73,6 +74,12 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.token_pieces(docs, "text", tokenizer, packing.CAPACITY), packing.CAPACITY)
 
 
+def op7_line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    cleaned = line_templates.drop_template_lines(docs, "text")
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     found = pii.find_spans(docs, "text", keep_text=False)
@@ -103,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_line_templates": op7_line_templates,
     "op8_pii": op8_pii,
     "op9_chat_format": op9_chat_format,
     "op10_embedding_dedup": op10_embedding_dedup,
