@@ -1,20 +1,59 @@
-"""A training corpus from raw documents, stage by stage."""
+"""A training corpus from raw documents, stage by stage.
+
+Each stage takes the documents that the one before has kept and returns documents with the same
+columns; the last packs them into training sequences.  ``n_chars`` follows the text where it changes.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketloom.llm import simhash
+from marketloom.llm import line_templates, packing, pii, repetition, simhash
 from marketloom.sources.scratch import stored
 
 
+def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
+    if "n_chars" in columns:
+        docs = docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return docs.select(*columns)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are too short or repeat themselves go."""
+    return repetition.keep_sound(docs, "text")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of templates that recur across documents go; the documents stay."""
+    cleaned = line_templates.drop_template_lines(docs, "text", lines_col="_lines", dropped_col="_dropped")
+    return _with_length(cleaned, docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return simhash.keep_one_per_component(docs, "doc_id", "text", words=5, distance=4)
 
 
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and secrets are replaced by their kind."""
+    return _with_length(pii.redact(docs, "text"), docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The tokens of all documents in sequences of at most 2048."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.token_pieces(docs.select("doc_id", "text"), "text", tokenizer, packing.CAPACITY, with_ids=True)
+    return packing.pack(pieces, packing.CAPACITY)
+
+
 STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
     ("simhash_near_dedup", near_dedup),
+    ("pii_redaction", redact_pii),
+    ("best_fit_packing", pack),
 ]
 
 # No stage can be said in SQL: the tests hold each against a brute-force version.

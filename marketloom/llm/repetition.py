@@ -192,3 +192,10 @@ def quality(df: DataFrame, text: str, limits: Limits = Limits()) -> DataFrame:
         .withColumn("covered_fraction", share)
         .withColumn("kept", ~failed & (share <= limits.covered) & ~too_long)
     )
+
+
+def keep_sound(df: DataFrame, text: str, limits: Limits = Limits()) -> DataFrame:
+    """The rows of ``df`` whose text is kept, with all columns as they were, whatever they are called."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row_of_df")
+    judged = quality(df.select(whole, F.col(f"`{text}`").alias("text_of_df")), "text_of_df", limits)
+    return judged.where("kept").select(*[F.col(f"row_of_df.`{c}`").alias(c) for c in df.columns])
