@@ -18,6 +18,7 @@ from marketloom.llm import (
     repetition,
     sentencepiece_rounds,
     simhash,
+    suffix_dedup,
 )
 from marketloom.llm.common import utf8_bytes
 
@@ -68,6 +69,11 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.quality(docs, "text").drop("text")
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs, "doc_id", "text", width=100)
+
+
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -109,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_line_templates": op7_line_templates,
     "op8_pii": op8_pii,
