@@ -29,9 +29,9 @@ from marketloom.functions import clean, derive  # noqa: E402
 from marketloom.operators import quality  # noqa: E402
 from marketloom.plans import golden, marts, silver  # noqa: E402
 from marketloom.sources import landing  # noqa: E402
-from marketloom.sources.bridge import AS_OF, LOAD_TS, Bridge  # noqa: E402
 from marketloom.sources.scratch import scratch_path, stored  # noqa: E402
 from marketloom.sources.tables import PathStore  # noqa: E402
+from retail_fixture import AS_OF, LOAD_TS, Bridge  # noqa: E402
 
 # The dashboard's threshold (60000) is above every product of the test tables.
 TEST_HIGH_SALES = 10000
@@ -59,7 +59,7 @@ class Layers:
         if table == "agg_sales_summary":
             return golden.sales_summary(self("fact_orders"))
         if table == "agg_product_performance":
-            return golden.product_performance(self("dim_products"), self("fact_reviews"), stored)
+            return golden.product_performance(self("dim_products"), self("fact_reviews"))
         if table == "agg_customer_360":
             return golden.customer_360(
                 self("dim_customers"), self("fact_orders"), self("fact_reviews"), AS_OF
@@ -276,7 +276,7 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     ),
     "recency_tenure_days": _columns(C360, "customer_id", "days_since_last_order", "tenure_days"),
     "dq_drop_all_null": lambda t: quality.drop_all_null(
-        t("customers").select("customer_id", "email", "gender"), ["email", "gender"]
+        t("customers").drop("ingestion_date"), ["name", "email", "gender", "signup_date", "country"]
     ),
     "dq_required_keys": lambda t: quality.require(
         t("customers").select("customer_id", "email"), ["customer_id", "email"]
@@ -286,7 +286,7 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "dedup_latest": lambda t: _no_audit(silver.latest(t("product_reviews"), REVIEWS)),
     "preferred_payment": _report(golden.preferred_payment, ORDERS),
     "rating_rank": lambda t: golden.rated_rank(
-        stored(golden.product_scorecard(t(PRODUCTS), t(REVIEWS)).select("product_id", "avg_rating"))
+        golden.product_scorecard(t(PRODUCTS), t(REVIEWS)).select("product_id", "avg_rating")
     ),
     "rating_lag_mom": _columns(
         SENTIMENT, "product_id", "review_month", "avg_rating", "prev_month_avg_rating",

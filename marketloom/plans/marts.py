@@ -103,6 +103,12 @@ def weekly_revenue_wow(sales: DataFrame) -> DataFrame:
     )
 
 
+def two_weeks(as_of: dt.date) -> tuple[dt.date, dt.date]:
+    """First and last day that ``kpi_week_vs_prev`` looks at; give them to the store's ``read``."""
+    monday = as_of - dt.timedelta(days=as_of.weekday())
+    return monday - dt.timedelta(days=7), monday + dt.timedelta(days=6)
+
+
 def kpi_week_vs_prev(orders: DataFrame, as_of: dt.date) -> DataFrame:
     """Orders, revenue, average order value and distinct customers: this week, last week.
 
@@ -111,7 +117,7 @@ def kpi_week_vs_prev(orders: DataFrame, as_of: dt.date) -> DataFrame:
     no distinct set is held anywhere.
     """
     monday = as_of - dt.timedelta(days=as_of.weekday())
-    first, last = monday - dt.timedelta(days=7), monday + dt.timedelta(days=6)
+    first, last = two_weeks(as_of)
     per_customer = _measure(
         orders.where(F.col("order_date").between(F.lit(first), F.lit(last))).groupBy(
             (F.col("order_date") >= F.lit(monday)).alias("current"), "customer_id"

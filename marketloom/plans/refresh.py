@@ -4,13 +4,14 @@ Each layer is read back from storage by the next one, so a lost executor costs
 the current table at most.  Every table is written by one job, and its row
 counts are observed during that job instead of being counted again.  They are
 observed in the writing stage itself: shuffle stages that are recomputed after
-a loss cannot count twice.
+a loss cannot count twice.  Landing paths are checked before the first write, and
+a table whose required columns hold NULLs is not published.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 from marketloom.contracts import BRONZE, SILVER
 from marketloom.operators.quality import has_all
 from marketloom.plans import golden, silver
-from marketloom.sources.landing import read_landing, with_ingestion_date
-from marketloom.sources.scratch import stored
+from marketloom.sources.landing import check_landing, read_landing, with_ingestion_date
+from marketloom.sources.scratch import discard, scratch_path, stored
 from marketloom.sources.tables import CatalogStore, PathStore
 
 
@@ -28,6 +29,7 @@ from marketloom.sources.tables import CatalogStore, PathStore
 class RefreshReport:
     rows_written: dict[str, int] = field(default_factory=dict)
     rows_dropped: dict[str, int] = field(default_factory=dict)
+    nulls_published: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 def _observed(df: DataFrame, *metrics: Column) -> tuple[DataFrame, Observation]:
@@ -35,31 +37,40 @@ def _observed(df: DataFrame, *metrics: Column) -> tuple[DataFrame, Observation]:
     return df.observe(watch, F.count(F.lit(1)).alias("rows"), *metrics), watch
 
 
+def _publish(
+    store, layer: str, table: str, df: DataFrame, allow_nulls: Collection[str], report: RefreshReport
+) -> None:
+    nulls = store.overwrite(layer, table, df, allow_nulls=layer in allow_nulls)
+    if nulls:
+        report.nulls_published[f"{layer}.{table}"] = nulls
+
+
 def load_bronze(
     spark: SparkSession, landing: Mapping[str, str], store, load_ts: dt.datetime,
-    report: RefreshReport,
+    report: RefreshReport, allow_nulls: Collection[str] = (),
 ) -> None:
     """Landing paths (one per table) -> all-text tables with their load time."""
     for table in BRONZE:
         raw = with_ingestion_date(read_landing(spark, table, landing[table]), load_ts)
         frame, watch = _observed(raw)
-        store.overwrite("bronze", table, frame)
+        _publish(store, "bronze", table, frame, allow_nulls, report)
         report.rows_written[f"bronze.{table}"] = watch.get["rows"]
 
 
-def load_silver(store, run_ts: dt.datetime, report: RefreshReport) -> None:
+def load_silver(
+    store, run_ts: dt.datetime, report: RefreshReport, allow_nulls: Collection[str] = ()
+) -> None:
     """Deduplicate, validate and type each table.
 
-    The write stage is the stage after the key shuffle, so files are already
-    evenly filled (Spark coalesces small partitions) and no second shuffle of
-    the facts is needed.
+    Dimensions are written by the stage after the key shuffle.  Facts are dealt
+    once more, by month, because reports read few months of them.
     """
     for table, spec in silver.REFINEMENTS.items():
         newest, watch = _observed(
             silver.latest(store.read("bronze", spec.source), table),
             F.count_if(has_all(spec.required)).alias("kept"),
         )
-        store.overwrite("silver", table, silver.clean_columns(newest, table, run_ts))
+        _publish(store, "silver", table, silver.clean_columns(newest, table, run_ts), allow_nulls, report)
         seen = watch.get
         report.rows_written[f"silver.{table}"] = seen["kept"]
         report.rows_dropped[f"silver.{table}"] = seen["rows"] - seen["kept"]
@@ -75,13 +86,26 @@ READ_ORDER = {
 }
 
 
-def load_golden(store, as_of: dt.date, report: RefreshReport) -> None:
-    """Build and write the four aggregates; there is no global sort."""
+def load_golden(
+    spark: SparkSession, store, as_of: dt.date, report: RefreshReport, allow_nulls: Collection[str] = ()
+) -> None:
+    """Build and write the four aggregates; there is no global sort.
+
+    The product scorecard is read twice, so it is stored for the time of the load.
+    """
+    scorecard = scratch_path(spark, "scorecard")
+    try:
+        _load_golden(store, as_of, report, allow_nulls, scorecard)
+    finally:
+        discard(spark, scorecard)
+
+
+def _load_golden(store, as_of, report, allow_nulls, scorecard) -> None:
     customers, products, orders, reviews = (store.read("silver", t) for t in SILVER)
     tables = {
         "agg_sales_summary": lambda: golden.sales_summary(orders),
         "agg_product_performance": lambda: golden.product_performance(
-            products, reviews, cut=stored
+            products, reviews, cut=lambda df: stored(df, path=scorecard)
         ),
         "agg_customer_360": lambda: golden.customer_360(customers, orders, reviews, as_of),
         "agg_review_sentiment": lambda: golden.review_sentiment(reviews, products),
@@ -92,7 +116,7 @@ def load_golden(store, as_of: dt.date, report: RefreshReport) -> None:
             keys = READ_ORDER[table]
             frame = frame.repartitionByRange(*keys).sortWithinPartitions(*keys)
         frame, watch = _observed(frame)
-        store.overwrite("golden", table, frame)
+        _publish(store, "golden", table, frame, allow_nulls, report)
         report.rows_written[f"golden.{table}"] = watch.get["rows"]
 
 
@@ -103,9 +127,13 @@ def full_refresh(
     load_ts: dt.datetime,
     run_ts: dt.datetime,
     as_of: dt.date,
+    allow_nulls: Collection[str] = (),
 ) -> RefreshReport:
+    """Run all layers.  ``allow_nulls`` names layers that are published although required columns
+    hold NULLs; these are then counted in the report."""
+    check_landing(spark, landing)
     report = RefreshReport()
-    load_bronze(spark, landing, store, load_ts, report)
-    load_silver(store, run_ts, report)
-    load_golden(store, as_of, report)
+    load_bronze(spark, landing, store, load_ts, report, allow_nulls)
+    load_silver(store, run_ts, report, allow_nulls)
+    load_golden(spark, store, as_of, report, allow_nulls)
     return report

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from marketloom.contracts import BRONZE, value_columns
 from marketloom.functions import clean, derive
 from marketloom.operators.dedup import latest_per_key
-from marketloom.operators.quality import require
+from marketloom.operators.quality import drop_all_null, require
 
 
 @dataclass(frozen=True)
@@ -110,9 +110,10 @@ def latest(bronze: DataFrame, table: str) -> DataFrame:
 
 
 def clean_columns(newest: DataFrame, table: str, run_ts: dt.datetime) -> DataFrame:
-    """Required-field rule and column expressions, on deduplicated rows."""
+    """All-null rule, required-field rule and column expressions, on deduplicated rows."""
     spec = REFINEMENTS[table]
-    return require(newest, spec.required).select(
+    filled = drop_all_null(newest, value_columns(BRONZE[spec.source]))
+    return require(filled, spec.required).select(
         *[expression.alias(name) for name, expression in spec.columns().items()],
         "ingestion_date",
         F.lit(run_ts).cast("timestamp").alias("silver_ts"),

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.contracts import file_schema
-from marketloom.sources.multiline import read_split_multiline
+from marketloom.contracts import BRONZE, file_schema
 
 # Fixed value: a quote inside a quoted field is doubled.
 CSV_OPTIONS = {"escape": '"'}
@@ -17,16 +18,8 @@ CSV_OPTIONS = {"escape": '"'}
 MULTILINE_TABLES = frozenset({"product_reviews"})
 
 
-# Above this size a file with line breaks in fields is read in many tasks.
-WHOLE_FILE_BYTES = 1 << 30
-
-
 def read_landing(
-    spark: SparkSession,
-    table: str,
-    path: str,
-    corrupt_column: str | None = None,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
+    spark: SparkSession, table: str, path: str, corrupt_column: str | None = None
 ) -> DataFrame:
     """Read one landing data set (a file, a folder or a glob) with its fixed schema.
 
@@ -34,22 +27,33 @@ def read_landing(
     an empty field is NULL.  With ``corrupt_column`` the raw text of malformed
     rows is kept in that extra column.
 
-    Spark reads a file with line breaks inside fields in one task.  If a file
-    of such a table is larger than ``whole_file_bytes``, the data set is read
-    split by split instead, with the same rows as result.
+    Spark reads a file with line breaks inside fields in one task, so such a
+    data set should land as many files.
     """
     schema, options = file_schema(table), dict(CSV_OPTIONS)
     if corrupt_column:
         schema = schema.add(corrupt_column, "string")
         options["columnNameOfCorruptRecord"] = corrupt_column
     if table in MULTILINE_TABLES:
-        largest = landing_files(spark, path).agg(F.max("file_bytes")).first()[0] or 0
-        if largest > whole_file_bytes:
-            return read_split_multiline(spark, path, schema, options)
         options["multiLine"] = "true"
     return spark.read.options(header=True, **options).schema(schema).csv(path)
 
 
+def check_landing(spark: SparkSession, landing: Mapping[str, str]) -> None:
+    """Fail before anything is written if a table has no landing path or no file there."""
+    missing = [table for table in BRONZE if table not in landing]
+    for table in (t for t in BRONZE if t in landing):
+        try:
+            if landing_files(spark, landing[table]).isEmpty():
+                missing.append(table)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            missing.append(table)
+    if missing:
+        raise FileNotFoundError(f"no landing files for {missing}")
+
+
 def with_ingestion_date(df: DataFrame, load_ts: dt.datetime) -> DataFrame:
     """Stamp every row with the load time; the caller supplies it, so reruns repeat."""
     return df.withColumn("ingestion_date", F.lit(load_ts).cast("timestamp"))
@@ -59,7 +63,6 @@ def landing_files(spark: SparkSession, path: str) -> DataFrame:
     """Path, size and time of each landing file; file contents are not read."""
     return (
         spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
         .load(path)
         .select(
             F.col("path").alias("file_path"),

@@ -1,41 +1,152 @@
-"""Reading and fully refreshing the layered tables."""
+"""Reading and fully refreshing the layered tables.
+
+An overwrite never touches what readers see: the new version is written beside the old one, checked,
+and then put in its place by one atomic step (a renamed pointer file, or a replaced view).  If the
+write or the check fails, the old rows stay.  The version before is kept until the next overwrite, so
+a reader that has begun can end.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from marketloom.contracts import LAYERS, conform
 
+# Large tables that are read by date: written in one folder per month of this column.
+MONTHLY = {("silver", "fact_orders"): "order_date", ("silver", "fact_reviews"): "review_date"}
+MONTH = "_month"
+
+
+class NullsInRequiredColumns(ValueError):
+    """A table was not published because columns that are declared NOT NULL hold NULLs."""
+
+
+def _checked(df: DataFrame, layer: str, table: str) -> tuple[DataFrame, Observation | None]:
+    """The frame in the shape of its contract, with the NULLs of required columns counted while writing."""
+    contract = LAYERS[layer][table]
+    frame, required = conform(df, contract), [f.name for f in contract if not f.nullable]
+    if not required:
+        return frame, None
+    watch = Observation()
+    return frame.observe(watch, *[F.count_if(F.col(c).isNull()).alias(c) for c in required]), watch
+
+
+def _violations(watch: Observation | None) -> dict[str, int]:
+    return {column: n for column, n in watch.get.items() if n} if watch else {}
+
+
+def _refuse(layer: str, table: str, found: dict[str, int]) -> None:
+    raise NullsInRequiredColumns(f"{layer}.{table} was not published: NULLs in {found}")
+
+
+def _monthly(df: DataFrame, layer: str, table: str) -> DataFrame:
+    """A month folder for tables that have one; ``rebalance`` splits a large month and merges small ones."""
+    day = MONTHLY.get((layer, table))
+    if day is None:
+        return df
+    return df.withColumn(MONTH, F.date_format(day, "yyyy-MM")).hint("rebalance", F.col(MONTH))
+
+
+def _months_between(df: DataFrame, since: dt.date | None, until: dt.date | None) -> DataFrame:
+    if since:
+        df = df.where(F.col(MONTH) >= f"{since:%Y-%m}")
+    if until:
+        df = df.where(F.col(MONTH) <= f"{until:%Y-%m}")
+    return df
+
 
 @dataclass(frozen=True)
 class PathStore:
-    """Tables as folders ``<root>/<layer>/<table>``."""
+    """Tables as folders ``<root>/<layer>/<table>/<version>``; ``_current`` names the version."""
 
     spark: SparkSession
     root: str
     format: str = "parquet"
 
-    def _path(self, layer: str, table: str) -> str:
+    def _folder(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
-    def read(self, layer: str, table: str) -> DataFrame:
+    def _hadoop(self, path: str):
+        package = self.spark._jvm.org.apache.hadoop.fs
+        where = package.Path(path)
+        return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration()), package
+
+    def _current(self, folder: str) -> str | None:
+        pointer, system, _ = self._hadoop(f"{folder}/_current")
+        if not system.exists(pointer):
+            return None
+        stream = system.open(pointer)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def _switch(self, folder: str, version: str) -> None:
+        """Write the new pointer beside the old one and rename it over that, which is one step."""
+        fresh, system, package = self._hadoop(f"{folder}/_next-{version}")
+        stream = system.create(fresh, True)
+        try:
+            stream.write(bytearray(version.encode()))
+        finally:
+            stream.close()
+        context = package.FileContext.getFileContext(fresh.toUri(), self.spark._jsc.hadoopConfiguration())
+        options = self.spark._sc._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = self.spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        context.rename(fresh, package.Path(f"{folder}/_current"), options)
+
+    def read(
+        self, layer: str, table: str, since: dt.date | None = None, until: dt.date | None = None
+    ) -> DataFrame:
+        """The current version; with ``since`` and ``until`` only the months of a monthly table between them."""
+        folder = self._folder(layer, table)
+        version = self._current(folder)
+        if version is None:
+            raise FileNotFoundError(f"no table {layer}.{table} in {self.root}")
+        contract = LAYERS[layer][table]
         # The contract is the schema, which saves a footer-reading job.
-        return (
-            self.spark.read.format(self.format)
-            .schema(LAYERS[layer][table])
-            .load(self._path(layer, table))
-        )
-
-    def overwrite(self, layer: str, table: str, df: DataFrame) -> None:
-        frame = conform(df, LAYERS[layer][table])
-        frame.write.format(self.format).mode("overwrite").save(self._path(layer, table))
+        schema = contract
+        if (layer, table) in MONTHLY:
+            schema = type(contract)(list(contract)).add(MONTH, "string")
+        frame = self.spark.read.format(self.format).schema(schema).load(f"{folder}/{version}")
+        if (layer, table) in MONTHLY:
+            frame = _months_between(frame, since, until)
+        return frame.select(*contract.names)
+
+    def overwrite(self, layer: str, table: str, df: DataFrame, allow_nulls: bool = False) -> dict[str, int]:
+        """Publish a new version; returns the NULLs found in required columns (none, unless allowed)."""
+        folder, version = self._folder(layer, table), f"v-{uuid.uuid4().hex}"
+        before = self._current(folder)
+        frame, watch = _checked(df, layer, table)
+        monthly = (layer, table) in MONTHLY
+        writer = _monthly(frame, layer, table).write.format(self.format)
+        try:
+            (writer.partitionBy(MONTH) if monthly else writer).save(f"{folder}/{version}")
+            found = _violations(watch)
+            if found and not allow_nulls:
+                _refuse(layer, table, found)
+            self._switch(folder, version)
+        except BaseException:
+            self._drop(folder, keep={before})
+            raise
+        self._drop(folder, keep={before, version})
+        return found
+
+    def _drop(self, folder: str, keep: set[str | None]) -> None:
+        where, system, package = self._hadoop(folder)
+        for status in system.listStatus(where) if system.exists(where) else ():
+            name = status.getPath().getName()
+            if name.startswith(("v-", "_next-")) and name not in keep:
+                system.delete(status.getPath(), True)
 
 
 @dataclass(frozen=True)
 class CatalogStore:
-    """Tables ``<prefix><layer>.<table>`` in the session catalog."""
+    """Views ``<prefix><layer>.<table>`` in the session catalog, each over a table that holds one version."""
 
     spark: SparkSession
     prefix: str = ""
@@ -44,15 +155,50 @@ class CatalogStore:
     def _name(self, layer: str, table: str) -> str:
         return f"{self.prefix}{layer}.{table}"
 
-    def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.table(self._name(layer, table))
+    def _versions(self, layer: str, table: str) -> list[str]:
+        tables = self.spark.sql(f"SHOW TABLES IN {self.prefix}{layer} LIKE '{table}__v*'").collect()
+        return [r.tableName for r in tables]
+
+    def _current(self, layer: str, table: str) -> str | None:
+        if not self.spark.catalog.tableExists(self._name(layer, table)):
+            return None
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self._name(layer, table)}").collect()
+        return next((r.value for r in rows if r.key == "version"), None)
 
-    def overwrite(self, layer: str, table: str, df: DataFrame) -> None:
-        """Positional full refresh; the table is declared from its contract on first use."""
+    def read(
+        self, layer: str, table: str, since: dt.date | None = None, until: dt.date | None = None
+    ) -> DataFrame:
+        """As with ``PathStore``; a monthly table is read from the table of its version."""
         contract = LAYERS[layer][table]
-        name = self._name(layer, table)
-        if not self.spark.catalog.tableExists(name):
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer}")
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in contract)
-            self.spark.sql(f"CREATE TABLE {name} ({columns}) USING {self.format}")
-        conform(df, contract).write.mode("overwrite").insertInto(name)
+        if (layer, table) not in MONTHLY or not (since or until):
+            return self.spark.table(self._name(layer, table))
+        frame = self.spark.table(f"{self.prefix}{layer}.{self._current(layer, table)}")
+        return _months_between(frame, since, until).select(*contract.names)
+
+    def overwrite(self, layer: str, table: str, df: DataFrame, allow_nulls: bool = False) -> dict[str, int]:
+        name, version = self._name(layer, table), f"{table}__v{uuid.uuid4().hex}"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer}")
+        before = self._current(layer, table)
+        frame, watch = _checked(df, layer, table)
+        writer = _monthly(frame, layer, table).write.format(self.format)
+        try:
+            writer = writer.partitionBy(MONTH) if (layer, table) in MONTHLY else writer
+            writer.saveAsTable(f"{self.prefix}{layer}.{version}")
+            found = _violations(watch)
+            if found and not allow_nulls:
+                _refuse(layer, table, found)
+            columns = ", ".join(f"`{c}`" for c in LAYERS[layer][table].names)
+            self.spark.sql(
+                f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('version' = '{version}') "
+                f"AS SELECT {columns} FROM {self.prefix}{layer}.{version}"
+            )
+        except BaseException:
+            self._drop(layer, table, keep={before})
+            raise
+        self._drop(layer, table, keep={before, version})
+        return found
+
+    def _drop(self, layer: str, table: str, keep: set[str | None]) -> None:
+        for version in self._versions(layer, table):
+            if version not in keep:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.prefix}{layer}.{version}")

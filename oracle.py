@@ -66,8 +66,16 @@ FRESH = "TIMESTAMP '2001-08-02 00:00:00'"
 STALE = "TIMESTAMP '2001-08-01 00:00:00'"
 
 
-def copies(table: str, key: str) -> str:
-    return f"(SELECT *, 0 AS stale FROM {table} UNION ALL SELECT *, 1 AS stale FROM {table} WHERE {key} % 10 = 0)"
+def copies(table: str, key: str, lone: int = 0, blank: int = 0) -> str:
+    parts = [
+        f"SELECT *, 0 AS stale, FALSE AS blank FROM {table}",
+        f"SELECT *, 1 AS stale, FALSE AS blank FROM {table} WHERE {key} % 10 = 0",
+    ]
+    for every, shift, empty in ((lone, 1_000_000_000, "FALSE"), (blank, 2_000_000_000, "TRUE")):
+        if every:
+            moved = f"SELECT * REPLACE ({key} + {shift} AS {key}), 0 AS stale, {empty} AS blank"
+            parts.append(f"{moved} FROM {table} WHERE {key} % {every} = 0")
+    return f"({' UNION ALL '.join(parts)})"
 
 
 def money_text(c: str) -> str:
@@ -85,18 +93,18 @@ def newest(table: str, key: str, values: str) -> str:
 CTE = {
     "b_customers": f"""
         SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
-               '  ' || lower(c_name) || CASE WHEN stale = 1 THEN ' old' ELSE ' ' END AS name,
-               CASE WHEN c_custkey % 23 = 0 THEN NULL
+               CASE WHEN NOT blank THEN '  ' || lower(c_name) || CASE WHEN stale = 1 THEN ' old' ELSE ' ' END END AS name,
+               CASE WHEN blank OR c_custkey % 23 = 0 THEN NULL
                     WHEN c_custkey % 17 = 0 THEN 'bad.' || c_custkey
                     ELSE ' USER' || c_custkey || '@Example.COM ' END AS email,
-               CASE c_custkey % 6 WHEN 0 THEN 'M' WHEN 1 THEN 'f' WHEN 2 THEN 'male'
-                    WHEN 3 THEN ' female ' WHEN 4 THEN 'Other' END AS gender,
-               CASE WHEN c_custkey % 29 = 0 THEN '2000-13-01'
+               CASE WHEN blank THEN NULL ELSE CASE c_custkey % 6 WHEN 0 THEN 'M' WHEN 1 THEN 'f' WHEN 2 THEN 'male'
+                    WHEN 3 THEN ' female ' WHEN 4 THEN 'Other' END END AS gender,
+               CASE WHEN blank THEN NULL WHEN c_custkey % 29 = 0 THEN '2000-13-01'
                     ELSE (1995 + c_custkey % 5) || '-0' || (1 + c_custkey % 9) || '-' || (10 + c_custkey % 10)
                END AS signup_date,
-               n_name AS country,
+               CASE WHEN NOT blank THEN n_name END AS country,
                CASE WHEN stale = 1 THEN {STALE} ELSE {FRESH} END AS ingestion_date
-        FROM {copies('customer', 'c_custkey')} JOIN nation ON c_nationkey = n_nationkey""",
+        FROM {copies('customer', 'c_custkey', 50, 100)} LEFT JOIN nation ON c_nationkey = n_nationkey""",
     "b_orders": f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
                CASE WHEN o_orderkey % 211 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
@@ -111,8 +119,7 @@ CTE = {
                n_name AS shipping_country,
                CASE WHEN stale = 1 THEN {STALE} ELSE {FRESH} END AS ingestion_date
         FROM {copies('orders', 'o_orderkey')}
-        JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-        WHERE o_custkey % 50 <> 0""",
+        LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey""",
     "b_products": f"""
         SELECT CASE WHEN p_partkey % 199 <> 0 THEN CAST(p_partkey AS VARCHAR) END AS product_id,
                p_name AS product_name, p_type AS category,
@@ -123,7 +130,7 @@ CTE = {
                CASE WHEN p_partkey % 79 = 0 THEN '-1' ELSE CAST((p_size - 1) * 20 AS VARCHAR) END AS stock_quantity,
                p_brand AS brand,
                CASE WHEN stale = 1 THEN {STALE} ELSE {FRESH} END AS ingestion_date
-        FROM {copies('part', 'p_partkey')}""",
+        FROM {copies('part', 'p_partkey', 40)}""",
     "b_product_reviews": """
         SELECT l_orderkey || '-' || l_linenumber AS review_id,
                CAST(l_partkey AS VARCHAR) AS product_id,
@@ -136,8 +143,7 @@ CTE = {
                     ELSE l_returnflag || l_linestatus || ' review of ' || l_partkey END AS review_text,
                strftime(l_shipdate, '%Y-%m-%d') AS review_date,
                l_shipdate AS ingestion_date
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        WHERE l_partkey % 40 <> 0""",
+        FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""",
     "l_customers": newest("b_customers", "customer_id", "name email gender signup_date country"),
     "l_orders": newest(
         "b_orders", "order_id", "customer_id order_date total_amount payment_method shipping_country"
@@ -426,7 +432,8 @@ FINAL = {
     "month_bucket": f"SELECT review_id, strftime({date('review_date')}, '%Y-%m') AS review_month FROM b_product_reviews",
     "recency_tenure_days": "SELECT customer_id, days_since_last_order, tenure_days FROM g_agg_customer_360",
     # quality and silver
-    "dq_drop_all_null": "SELECT customer_id, email, gender FROM b_customers WHERE email IS NOT NULL OR gender IS NOT NULL",
+    "dq_drop_all_null": "SELECT customer_id, name, email, gender, signup_date, country FROM b_customers WHERE "
+    "coalesce(name, email, gender, signup_date, country) IS NOT NULL",
     "dq_required_keys": "SELECT customer_id, email FROM b_customers WHERE customer_id IS NOT NULL AND email IS NOT NULL",
     "dq_drop_report": _union(
         [

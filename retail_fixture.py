@@ -43,10 +43,23 @@ def _decimal_text(cents: str) -> str:
     return f"string(cast(cast({cents} AS decimal(18,0)) / 100 AS decimal(18,2)))"
 
 
-def _with_stale_copies(df: DataFrame, key: str) -> DataFrame:
-    """Add an outdated copy (``stale``) of every tenth key, without a second scan."""
-    return df.withColumn(
-        "stale", F.expr(f"explode(if({key} % 10 = 0, array(false, true), array(false)))")
+# Keys of added rows that no fact refers to, and of rows without any value.
+LONE, BLANK = 1_000_000_000, 2_000_000_000
+
+
+def _with_copies(df: DataFrame, key: str, lone: int | None = None, blank: int | None = None) -> DataFrame:
+    """Add rows without a second scan: an outdated copy (``stale``) of every tenth key, a copy under a
+    new key of every ``lone``-th one, and one that loses all values (``blank``) of every ``blank``-th one."""
+    variants = ["named_struct('stale', false, 'blank', false, 'shift', 0L)",
+                f"if({key} % 10 = 0, named_struct('stale', true, 'blank', false, 'shift', 0L), NULL)"]
+    if lone:
+        variants.append(f"if({key} % {lone} = 0, named_struct('stale', false, 'blank', false, 'shift', {LONE}L), NULL)")
+    if blank:
+        variants.append(f"if({key} % {blank} = 0, named_struct('stale', false, 'blank', true, 'shift', {BLANK}L), NULL)")
+    every = f"filter(array({', '.join(variants)}), x -> x IS NOT NULL)"
+    return (
+        df.withColumn("copy", F.expr(f"explode({every})"))
+        .select(*[(F.col(key) + F.col("copy.shift")).alias(key) if c == key else c for c in df.columns], "copy.stale", "copy.blank")
     )
 
 
@@ -60,42 +73,41 @@ class Bridge:
         return self.spark.read.schema(STAR_SCHEMA[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def _fact(self, name: str, key: str) -> DataFrame:
-        """A fact table, spread by ``key`` if it comes in fewer splits than there are cores.
+        """A fact table, spread by ``key`` if it comes in fewer files than there are cores.
 
         A parquet file of one row group is read by one task; a table of many
-        files has splits enough and is left as it is.
+        files is left as it is.
         """
         table, cores = self._table(name), self.spark.sparkContext.defaultParallelism
-        return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
+        return table.repartition(cores, key) if len(table.inputFiles()) < cores else table
 
     def customers(self) -> DataFrame:
         joined = self._table("customer").join(
-            self._table("nation"), F.expr("c_nationkey = n_nationkey")
+            self._table("nation"), F.expr("c_nationkey = n_nationkey"), "left"
         )
-        return _with_stale_copies(joined, "c_custkey").selectExpr(
+        return _with_copies(joined, "c_custkey", lone=50, blank=100).selectExpr(
             "string(c_custkey) AS customer_id",
-            "concat('  ', lower(c_name), if(stale, ' old', ' ')) AS name",
-            """CASE WHEN c_custkey % 23 = 0 THEN NULL
+            "if(blank, NULL, concat('  ', lower(c_name), if(stale, ' old', ' '))) AS name",
+            """CASE WHEN blank OR c_custkey % 23 = 0 THEN NULL
                     WHEN c_custkey % 17 = 0 THEN concat('bad.', c_custkey)
                     ELSE concat(' USER', c_custkey, '@Example.COM ') END AS email""",
-            """element_at(array('M', 'f', 'male', ' female ', 'Other', NULL),
-                          int(c_custkey % 6) + 1) AS gender""",
-            """if(c_custkey % 29 = 0, '2000-13-01',
-                  concat(1995 + c_custkey % 5, '-0', 1 + c_custkey % 9, '-', 10 + c_custkey % 10)
-               ) AS signup_date""",
-            "n_name AS country",
+            """if(blank, NULL, element_at(array('M', 'f', 'male', ' female ', 'Other', NULL),
+                                         int(c_custkey % 6) + 1)) AS gender""",
+            """CASE WHEN blank THEN NULL WHEN c_custkey % 29 = 0 THEN '2000-13-01'
+                    ELSE concat(1995 + c_custkey % 5, '-0', 1 + c_custkey % 9, '-', 10 + c_custkey % 10)
+               END AS signup_date""",
+            "if(blank, NULL, n_name) AS country",
             INGESTED,
         )
 
     def orders(self) -> DataFrame:
         joined = (
             self._fact("orders", "o_orderkey")
-            .where("o_custkey % 50 <> 0")
-            .join(self._table("customer"), F.expr("o_custkey = c_custkey"))
-            .join(self._table("nation"), F.expr("c_nationkey = n_nationkey"))
+            .join(self._table("customer"), F.expr("o_custkey = c_custkey"), "left")
+            .join(self._table("nation"), F.expr("c_nationkey = n_nationkey"), "left")
         )
         amount = _decimal_text("bigint(rint(o_totalprice * 100)) div 1000")
-        return _with_stale_copies(joined, "o_orderkey").selectExpr(
+        return _with_copies(joined, "o_orderkey").selectExpr(
             "string(o_orderkey) AS order_id",
             "if(o_orderkey % 211 <> 0, string(o_custkey), NULL) AS customer_id",
             "if(o_orderkey % 83 = 0, 'bad-date', string(date(o_orderdate))) AS order_date",
@@ -110,7 +122,7 @@ class Bridge:
 
     def products(self) -> DataFrame:
         price = _decimal_text("(bigint(rint(p_retailprice * 100)) - 90000) * 5")
-        return _with_stale_copies(self._table("part"), "p_partkey").selectExpr(
+        return _with_copies(self._table("part"), "p_partkey", lone=40).selectExpr(
             "if(p_partkey % 199 <> 0, string(p_partkey), NULL) AS product_id",
             "p_name AS product_name",
             "p_type AS category",
@@ -124,8 +136,7 @@ class Bridge:
     def product_reviews(self) -> DataFrame:
         joined = (
             self._fact("lineitem", "l_orderkey")
-            .where("l_partkey % 40 <> 0")
-            .join(self._table("orders"), F.expr("l_orderkey = o_orderkey"))
+            .join(self._table("orders"), F.expr("l_orderkey = o_orderkey"), "left")
         )
         text = "concat(l_returnflag, l_linestatus, ' review of ', l_partkey)"
         return joined.selectExpr(

@@ -1,18 +1,35 @@
 """CSV reading, stores and the full refresh."""
 
 import datetime as dt
+import contextlib
+import gzip
+import io
+import os
+import re
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from marketloom.contracts import BRONZE, GOLDEN, LAYERS, SILVER
+from marketloom.plans import marts
 from marketloom.plans.refresh import full_refresh
 from marketloom.sources import landing
-from marketloom.sources.bridge import AS_OF, LOAD_TS, Bridge
-from marketloom.sources.tables import CatalogStore, PathStore
+from retail_fixture import AS_OF, LOAD_TS, Bridge
+from marketloom.sources.tables import CatalogStore, NullsInRequiredColumns, PathStore
 
 SF_DIR = "/root/testdata/sf0.001"
+PLANTED = ("bronze",)  # the raw frames hold NULL keys on purpose
+
+
+
+def plan(df):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("simple")
+    return text.getvalue()
+
 
 CUSTOMERS = (
     "customer_id,name,email,gender,signup_date,country\n"
@@ -79,7 +96,7 @@ def landed(spark, tmp_path_factory):
 def test_full_refresh(spark, landed, tmp_path, kind):
     store = PathStore(spark, str(tmp_path)) if kind == "path" else CatalogStore(spark, "refresh_")
     run_ts = dt.datetime(2001, 8, 3, tzinfo=dt.timezone.utc)
-    first = full_refresh(spark, landed, store, LOAD_TS, run_ts, AS_OF)
+    first = full_refresh(spark, landed, store, LOAD_TS, run_ts, AS_OF, PLANTED)
     for layer, tables in LAYERS.items():
         for table, contract in tables.items():
             frame = store.read(layer, table)
@@ -91,16 +108,20 @@ def test_full_refresh(spark, landed, tmp_path, kind):
         ids = store.read("silver", table).select(key)
         assert ids.distinct().count() == ids.count()
     assert first.rows_dropped["silver.dim_customers"] > 0
+    assert first.nulls_published["bronze.orders"]["customer_id"] > 0 and set(first.nulls_published) <= {
+        f"bronze.{t}" for t in BRONZE}
+    scratch = spark.conf.get("spark.checkpoint.dir")
+    assert not [name for name in os.listdir(scratch) if name.startswith("scorecard")]
     sales = store.read("golden", "agg_sales_summary").groupBy().sum("total_orders").first()[0]
     assert sales == first.rows_written["silver.fact_orders"]
     if kind == "catalog":  # the tables exist now
-        assert full_refresh(spark, landed, store, LOAD_TS, run_ts, AS_OF) == first
+        assert full_refresh(spark, landed, store, LOAD_TS, run_ts, AS_OF, PLANTED) == first
 
 
 def test_refresh_equals_composition(spark, landed, tmp_path):
     """Golden tables read back from storage equal the ones built in one go from the same files."""
     store = PathStore(spark, str(tmp_path))
-    full_refresh(spark, landed, store, LOAD_TS, LOAD_TS, AS_OF)
+    full_refresh(spark, landed, store, LOAD_TS, LOAD_TS, AS_OF, PLANTED)
     layers = entry.Layers(spark, SF_DIR)
     for table in BRONZE:
         layers._built[table] = landing.with_ingestion_date(
@@ -110,29 +131,95 @@ def test_refresh_equals_composition(spark, landed, tmp_path):
         assert have == sorted(map(repr, layers(table).select(*GOLDEN[table].names).collect()))
 
 
-FIELDS = ["", '"line one\nline two, ""q"" "', '"' + "x\n\n" * 700 + '"', '""', '"a\r\nb"', '"""all"""', "plain",
-          '"' + "long, " * 300 + '"']
-
-
-@pytest.mark.parametrize("header_end,line_end", [("\n", "\n"), ("\r\n", "\r\n"), ("\n", "\r\n")])
-def test_large_multiline_files_are_read_by_many_tasks(spark, tmp_path, header_end, line_end):
-    header = REVIEWS.splitlines()[0] + header_end
-    for name in "ab":
-        lines = [header]
-        for i in range(160):
-            lines.append(f"{name}{i},7,9,5" + ("" if i % 19 == 0 else f",{FIELDS[i * 7 % 8]},2024-01-05") + line_end)
-            if i % 23 == 0:
-                lines.append(line_end)
-        (tmp_path / f"{name}.csv").write_bytes("".join(lines).encode())
-    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
-    spark.conf.set("spark.sql.files.openCostInBytes", "1")
-    try:
-        whole = landing.read_landing(spark, "product_reviews", str(tmp_path))
-        split = landing.read_landing(spark, "product_reviews", str(tmp_path), whole_file_bytes=1000)
-        assert split.columns == whole.columns
-        want = sorted(map(repr, whole.collect()))
-        assert len(want) >= 320 and sorted(map(repr, split.collect())) == want
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+def test_reviews_are_read_alike_however_they_land(spark, tmp_path):
+    """A stray quote, a packed file and a file in a subfolder; nothing depends on sizes."""
+    header = REVIEWS.splitlines()[0] + "\n"
+    lines = [f"{i},7,9,5,text {i},2024-01-05\n" for i in range(10)]
+    lines[3] = '3,7,9,5,text 3 5" tv,2024-01-05\n'
+    (tmp_path / "plain.csv").write_text(header + "".join(lines))
+    with gzip.open(tmp_path / "packed.csv.gz", "wt") as packed:
+        packed.write(header + "".join(line.replace("text", "packed") for line in lines))
+    (tmp_path / "deeper").mkdir()
+    (tmp_path / "deeper" / "x.csv").write_text(header + "99,7,9,5,deep,2024-01-05\n" * 2000)
+    rows = landing.read_landing(spark, "product_reviews", str(tmp_path)).collect()
+    assert len(rows) == 20 and {r.review_date for r in rows} == {"2024-01-05"}
+    assert {r.review_text for r in rows if r.review_id == "3"} == {'text 3 5" tv', 'packed 3 5" tv'}
+    kept = landing.read_landing(spark, "product_reviews", str(tmp_path), corrupt_column="raw").cache()
+    assert kept.count() == 20 and kept.where("raw IS NOT NULL").count() == 0
+
+
+def test_every_fact_of_the_given_tables_is_used(spark):
+    """Raw orders are all orders and their outdated copies; raw reviews are all line items."""
+    given = {t: spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("orders", "lineitem", "customer", "part")}
+    raw = Bridge(spark, SF_DIR)
+    n = {t: df.count() for t, df in given.items()}
+    assert raw.bronze("orders").count() == n["orders"] + given["orders"].where("o_orderkey % 10 = 0").count()
+    assert raw.bronze("product_reviews").count() == n["lineitem"]
+    layers = entry.Layers(spark, SF_DIR)
+    assert layers("agg_customer_360").where("coalesce(total_orders, 0) = 0").count() > 0
+    assert layers("agg_product_performance").where("review_count = 0").count() > 0
+    enriched = entry.queries()["reviews_enriched"](spark, SF_DIR)
+    assert enriched.where("category IS NULL").count() > 0
+    everything = raw.bronze("customers")
+    assert everything.where("coalesce(name, email, gender, signup_date, country) IS NULL").count() > 0
+
+
+def _customers(spark, *names, key="1"):
+    rows = [(key, n, "a@b.co", "M", "2001-01-01", "Peru", LOAD_TS) for n in names]
+    return spark.createDataFrame(rows, LAYERS["bronze"]["customers"].simpleString().replace("struct<", "").rstrip(">").replace(":", " "))
+
+
+def _stores(spark, tmp_path):
+    return [PathStore(spark, str(tmp_path)), CatalogStore(spark, f"over_{tmp_path.name.replace('-', '_')}_")]
+
+
+def test_a_failed_overwrite_keeps_the_old_rows(spark, tmp_path):
+    for store in _stores(spark, tmp_path):
+        store.overwrite("bronze", "customers", _customers(spark, "a", "b", "c"))
+        early = store.read("bronze", "customers")
+        failing = _customers(spark, "x", "y").repartition(2).withColumn("name", F.expr("raise_error('half-way')").cast("string"))
+        with pytest.raises(Exception, match="half-way"):
+            store.overwrite("bronze", "customers", failing)
+        assert {r.name for r in store.read("bronze", "customers").collect()} == {"a", "b", "c"}
+        store.overwrite("bronze", "customers", _customers(spark, "d"))
+        assert {r.name for r in early.collect()} == {"a", "b", "c"}, "a reader from before the switch can end"
+        assert [r.name for r in store.read("bronze", "customers").collect()] == ["d"]
+
+
+def test_null_keys_are_not_published(spark, tmp_path):
+    layers = entry.Layers(spark, SF_DIR)
+    for store in _stores(spark, tmp_path):
+        store.overwrite("bronze", "customers", _customers(spark, "a"))
+        bad = _customers(spark, "b", key=None)
+        with pytest.raises(NullsInRequiredColumns, match="customer_id"):
+            store.overwrite("bronze", "customers", bad)
+        assert [r.name for r in store.read("bronze", "customers").collect()] == ["a"]
+        assert store.overwrite("bronze", "customers", bad, allow_nulls=True) == {"customer_id": 1}
+        orders = layers("fact_orders").limit(5)
+        with pytest.raises(NullsInRequiredColumns, match="order_id"):
+            store.overwrite("silver", "fact_orders", orders.withColumn("order_id", F.lit(None).cast("string")))
+
+
+def test_a_missing_landing_table_stops_the_refresh_before_any_write(spark, landed, tmp_path):
+    store = PathStore(spark, str(tmp_path / "store"))
+    broken = {**landed, "product_reviews": str(tmp_path / "nowhere")}
+    with pytest.raises(FileNotFoundError, match="product_reviews"):
+        full_refresh(spark, broken, store, LOAD_TS, LOAD_TS, AS_OF, PLANTED)
+    assert not (tmp_path / "store").exists()
+
+
+def test_two_weeks_read_two_months_of_the_stored_fact(spark, landed, tmp_path):
+    layers = entry.Layers(spark, SF_DIR)
+    want = marts.kpi_week_vs_prev(layers("fact_orders"), AS_OF).collect()
+    for store in _stores(spark, tmp_path):
+        store.overwrite("silver", "fact_orders", layers("fact_orders"))
+        recent = store.read("silver", "fact_orders", *marts.two_weeks(AS_OF))
+        months = {f.split("_month=")[1].split("/")[0] for f in recent.inputFiles()}
+        assert recent.count() < store.read("silver", "fact_orders").count()
+        result = marts.kpi_week_vs_prev(recent, AS_OF)
+        text = plan(result)
+        assert re.search(r"PartitionFilters: \[[^\]]*_month", text), text
+        assert result.collect() == want
+        read = recent.select(F.input_file_name().alias("f")).distinct().collect()
+        assert {r.f.split("_month=")[1].split("/")[0] for r in read} <= {"2001-07", "2001-08"} <= months
+        assert store.read("silver", "fact_orders").where("order_date IS NULL").count() > 0

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from marketloom.contracts import BRONZE, SILVER
 from marketloom.plans import golden, marts, silver
-from marketloom.sources.bridge import AS_OF, LOAD_TS
+from retail_fixture import AS_OF, LOAD_TS
 from marketloom.sources.scratch import stored
 
 SF_DIR = "/root/testdata/sf0.001"
