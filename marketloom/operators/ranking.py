@@ -1,39 +1,52 @@
-"""Global rank and most-frequent value without moving all rows to one task."""
+"""Global rank without moving all rows, or all distinct values, to one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A level table up to this many rows (a few hundred KB) is safe to broadcast.
-BROADCAST_LEVELS = 10_000
+# Steps per power of two in which values are pre-counted.
+STEPS = 256
 
 
-def rank_by_level(
-    df: DataFrame, value: str, into: str, max_levels: int | None = None
-) -> DataFrame:
-    """``rank()`` over all rows, highest value first, NULL last; ties share a rank.
+def _coarse(value: Column) -> Column:
+    """A whole number that rises with the value: its power of two and leading binary digits.
+
+    There are at most a few hundred thousand of them, however many values there are.
+    """
+    size = F.abs(value.cast("double"))
+    power = F.floor(F.log2(size))
+    digits = F.least(F.floor(size / F.pow(F.lit(2.0), power) * STEPS) - STEPS, F.lit(STEPS - 1))
+    place = (power + 1100) * STEPS + F.greatest(digits, F.lit(0))
+    return F.when(size == 0, 0).when(value < 0, -place).otherwise(place).cast("long")
 
-    A window without partitions would pull every row into one task.  Instead
-    rows are counted per distinct value, the few counts are summed up in order,
-    and each row looks up how many rows are above its value.
 
-    ``max_levels`` is the caller's bound on the number of distinct values.  If
-    it is small the level table is broadcast; without a bound the join is left
-    to Spark, which shuffles and splits large values at run time.
+def rank_by_level(df: DataFrame, value: str, into: str) -> DataFrame:
+    """``rank()`` over all rows, highest value first, NULL last; ties share a rank.
+
+    A window without partitions would pull every row into one task.  Instead rows are counted per
+    distinct value, and the counts are added up in two steps: over coarse ranges of values, whose
+    number is bounded, and over the values inside each range.  Each row then looks up how many rows
+    are above its value.  All joins are left to Spark, which splits large values at run time.
     """
-    above = (
-        Window.orderBy(F.col("_level").desc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
     levels = (
         df.groupBy(F.col(value).alias("_level"))
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(
-            "_level",
-            (F.coalesce(F.sum("_rows").over(above), F.lit(0)) + 1).cast("int").alias(into),
-        )
+        .withColumn("_range", _coarse(F.col("_level")))
+    )
+    higher = Window.orderBy(F.col("_range").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (
+        levels.groupBy("_range")
+        .agg(F.sum("_rows").alias("_rows"))
+        .select(F.col("_range").alias("_same"), F.coalesce(F.sum("_rows").over(higher), F.lit(0)).alias("_before"))
+    )
+    inside = (
+        Window.partitionBy("_range").orderBy(F.col("_level").desc_nulls_last())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    ranked = (
+        levels.withColumn("_inside", F.coalesce(F.sum("_rows").over(inside), F.lit(0)))
+        .join(ranges, F.col("_range").eqNullSafe(F.col("_same")))
+        .select("_level", (F.col("_before") + F.col("_inside") + 1).cast("int").alias(into))
     )
-    if max_levels is not None and max_levels <= BROADCAST_LEVELS:
-        levels = F.broadcast(levels)
-    return df.join(levels, F.col(value).eqNullSafe(F.col("_level")), "left").drop("_level")
+    return df.join(ranked, F.col(value).eqNullSafe(F.col("_level")), "left").drop("_level")

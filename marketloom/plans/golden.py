@@ -22,9 +22,6 @@ from marketloom.operators.ranking import rank_by_level
 POOR_RATING = 2.5
 ENOUGH_REVIEWS = 5
 
-# Average of whole stars 1..5 rounded to two digits: 1.00 .. 5.00, or NULL.
-RATING_LEVELS = 402
-
 PRODUCT_LABELS = ("product_name", "category", "brand")
 
 
@@ -86,7 +83,17 @@ def product_scorecard(products: DataFrame, reviews: DataFrame) -> DataFrame:
 
 def rated_rank(scorecard: DataFrame) -> DataFrame:
     """Global rank by average rating; unrated products come last."""
-    return rank_by_level(scorecard, "avg_rating", "rating_rank", RATING_LEVELS)
+    return rank_by_level(scorecard, "avg_rating", "rating_rank")
+
+
+def with_attention(scorecard: DataFrame) -> DataFrame:
+    """The scorecard with the attention flag; what reports read that do not need the rank."""
+    attention = (
+        F.col("in_stock")
+        & (F.col("avg_rating") < POOR_RATING)
+        & (F.col("review_count") >= ENOUGH_REVIEWS)
+    )
+    return scorecard.withColumn("needs_review_flag", attention)
 
 
 def product_performance(
@@ -100,16 +107,8 @@ def product_performance(
     ``cut`` may store it (see ``sources.scratch.stored``) so that the reviews
     are aggregated once.
     """
-    attention = (
-        F.col("in_stock")
-        & (F.col("avg_rating") < POOR_RATING)
-        & (F.col("review_count") >= ENOUGH_REVIEWS)
-    )
-    return (
-        rated_rank(cut(product_scorecard(products, reviews)))
-        .withColumn("needs_review_flag", attention)
-        .select(*GOLDEN["agg_product_performance"].names)
-    )
+    ranked = rated_rank(cut(product_scorecard(products, reviews)))
+    return with_attention(ranked).select(*GOLDEN["agg_product_performance"].names)
 
 
 # --- customers -----------------------------------------------------------

@@ -6,10 +6,12 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from marketloom.contracts import BRONZE, SILVER
+from marketloom.contracts import BRONZE, GOLDEN, SILVER, contract_report
+from marketloom.operators.ranking import _coarse, rank_by_level
 from marketloom.plans import golden, marts, silver
 from retail_fixture import AS_OF, LOAD_TS
 from marketloom.sources.scratch import stored
@@ -55,13 +57,29 @@ def test_dedup_limits_before_the_shuffle(spark):
         assert text.count("WindowGroupLimit") == 2
 
 
-def test_rank_moves_only_levels_to_one_task(spark, tables):
-    cards = stored(golden.product_scorecard(tables["dim_products"], tables["fact_reviews"]))
-    text = plan(golden.rated_rank(cards))
-    lines = text.splitlines()
+def test_rank_leaves_many_values_in_many_tasks(spark):
+    values = spark.range(0, 100_000, 1, 8).select("id", (F.rand(3) * 100 - 20).alias("v"))
+    values = stored(values.union(spark.range(5).selectExpr("id", "cast(NULL AS double)")).union(spark.range(3).selectExpr("id", "0D")))
+    ranked = rank_by_level(values, "v", "r")
+    lines = plan(ranked).splitlines()
     single = [i for i, line in enumerate(lines) if "SinglePartition" in line]
-    assert len(single) == 1 and "HashAggregate(keys=[avg_rating" in lines[single[0] + 1]
-    assert cards.select("avg_rating").distinct().count() <= golden.RATING_LEVELS
+    assert len(single) == 1 and re.search(r"HashAggregate\(keys=\[_range", lines[single[0] + 1]), "only ranges meet in one task"
+    assert not any("BroadcastExchange" in line and "hint" in line for line in lines)
+    want = values.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())))
+    assert ranked.exceptAll(want.select(*ranked.columns)).isEmpty()
+    held = values.groupBy("v").count().withColumn("g", _coarse(F.col("v"))).groupBy("g").count().agg(F.max("count")).first()[0]
+    assert held < 2_000, "no range holds many of the distinct values"
+
+
+def test_reports_without_a_rank_do_not_make_one(spark):
+    for key in ("top_bottom_products", "price_vs_rating", "stock_by_category", "needs_review_list", "unreviewed_products",
+                "dash_estimated_sales", "dash_sales_flag"):
+        assert "_level" not in plan(entry.queries()[key](spark, SF_DIR)), key
+
+
+def test_contracts_without_required_columns_are_checked_from_the_schema(spark, tables):
+    sales = golden.sales_summary(tables["fact_orders"])
+    assert "FileScan" not in plan(contract_report(sales, "t", GOLDEN["agg_sales_summary"]))
 
 
 def test_one_scan_for_sentiments_and_profile(spark, tables):
