@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,11 +25,27 @@ def _file_system(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
 
+_recorders: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The scratch paths that are given out meanwhile, so that they can be discarded together."""
+    paths: list[str] = []
+    _recorders.append(paths)
+    try:
+        yield paths
+    finally:
+        _recorders.remove(paths)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder; what is there is removed when the driver ends."""
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
     system, jvm_path = _file_system(spark, path)
     system.deleteOnExit(jvm_path)
+    for paths in _recorders:
+        paths.append(path)
     return path
 
 
