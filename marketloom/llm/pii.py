@@ -190,8 +190,8 @@ def find_spans(df: DataFrame, text: str, keep_text: bool = True) -> DataFrame:
     """All columns of ``df`` with ``base_spans`` and ``spans``: (start, end, kind) by start, then kind.
 
     Places are code points, the end is exclusive, ``kind`` is a place in ``KINDS``.  ``spans`` holds the
-    base spans and the added ones; an added span overlaps no base span, and of added spans that
-    overlap the one with the higher score stays.  A NULL or empty text has no spans.  The frame is
+    base spans and the added ones; an added span overlaps no base span (a secret may hold one), and of
+    added spans that overlap the one with the higher score stays.  A NULL or empty text has no spans.  The frame is
     stored once, so the trees and the result come from the same scan.  Columns of ``df`` that are
     called like a result are replaced.
     """
@@ -230,10 +230,12 @@ def find_spans(df: DataFrame, text: str, keep_text: bool = True) -> DataFrame:
     )
     taken = F.filter(scored, lambda c: c["score"] >= c["least"])
     clash = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
+    secret = KINDS.index("secret")
+    wraps = lambda c, b: (c["kind"] == secret) & (c["start"] <= b["start"]) & (b["end"] <= c["end"])
     rank = lambda c: F.struct(-c["score"], c["start"], -c["end"], c["kind"])
     chosen = free_name(df, "_chosen")
     rows = scanned.withColumn(chosen, F.when(F.size(cands) > 0, taken)).withColumn(
-        chosen, F.filter(chosen, lambda c: ~F.exists("base_spans", lambda b: clash(c, b)))
+        chosen, F.filter(chosen, lambda c: ~F.exists("base_spans", lambda b: clash(c, b) & ~wraps(c, b)))
     )
     alone = F.filter(chosen, lambda c: ~F.exists(chosen, lambda d: clash(c, d) & (rank(d) < rank(c))))
     added = F.transform(alone, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind")))
@@ -265,6 +267,11 @@ def redact(df: DataFrame, text: str) -> DataFrame:
         return F.struct(F.greatest(s["end"], state["at"]).alias("at"), F.concat(state["out"], between, tag).alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    written = F.aggregate("spans", start, put, lambda s: F.concat(s["out"], F.substring(t, s["at"] + 1, F.length(t))))
+    # of spans that start together the longest gives its name
+    ordered = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("col1"), (-s["end"]).alias("col2"), s["kind"].alias("col3"), s["end"].alias("col4"))))
+    longest_first = F.transform(
+        ordered, lambda s: F.struct(s["col1"].alias("start"), s["col4"].alias("end"), s["col3"].alias("kind"))
+    )
+    written = F.aggregate(longest_first, start, put, lambda s: F.concat(s["out"], F.substring(t, s["at"] + 1, F.length(t))))
     redacted = F.when(F.size("spans") > 0, written).otherwise(t)
     return found.withColumn(text, redacted).select(*df.columns)
