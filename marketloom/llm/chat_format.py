@@ -46,13 +46,19 @@ class Template:
             if not control or control[0] in control[1:] or control[0] == self.escape:
                 raise ValueError(f"not usable as a control string: {control!r}")
 
+    def _codes(self) -> dict[str, str]:
+        """What stands for the escape character and for the first character of each control string."""
+        firsts = sorted({c[0] for c in (self.head, self.tail, self.end)})
+        return {self.escape: self.escape * 2} | {c: self.escape + chr(ord("a") + i) for i, c in enumerate(firsts)}
+
     def quoted(self, text: str) -> str:
-        """``text`` without control strings: the escape character and first characters of controls are escaped."""
-        firsts = "".join(sorted({c[0] for c in (self.head, self.tail, self.end)} | {self.escape}))
-        return re.sub(f"([{re.escape(firsts)}])", lambda m: self.escape + m[1], text)
+        """``text`` in a form in which no control string can occur."""
+        codes = self._codes()
+        return re.sub(f"[{re.escape(''.join(codes))}]", lambda m: codes[m[0]], text)
 
     def unquoted(self, text: str) -> str:
-        return re.sub(f"{re.escape(self.escape)}(.)", r"\1", text, flags=re.S)
+        back = {code[1]: plain for plain, code in self._codes().items()}
+        return re.sub(f"{re.escape(self.escape)}(.)", lambda m: back[m[1]], text, flags=re.S)
 
     def segments(self, role: str, text: str) -> list[tuple[str, bool]]:
         """The parts of one turn: (text, learned)."""
