@@ -1,5 +1,5 @@
 """Retail analytics on Spark: raw files -> typed tables -> business answers.
 
-Every public function takes and returns DataFrames (or Columns) and runs no
-action; only :mod:`marketloom.plans.pipeline` and the sinks write.
+Public functions take and return DataFrames (or Columns).  Jobs are run by
+:mod:`marketloom.plans.refresh`, the stores and ``sources.scratch.stored``.
 """

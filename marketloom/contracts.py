@@ -11,93 +11,173 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TYPES = {
-    "string": T.StringType(),
-    "int": T.IntegerType(),
-    "long": T.LongType(),
-    "double": T.DoubleType(),
-    "date": T.DateType(),
-    "boolean": T.BooleanType(),
-    "timestamp": T.TimestampType(),
-}
-
-
-def _contract(columns: str) -> T.StructType:
-    """Build a schema from ``"name! type, name type, ..."`` (``!`` = NOT NULL)."""
-    fields = []
-    for item in columns.split(","):
-        name, kind = item.split()
-        fields.append(T.StructField(name.rstrip("!"), _TYPES[kind], not name.endswith("!")))
-    return T.StructType(fields)
-
-
-# The published column lists of the twelve tables.
+# The published column lists of the twelve tables.  ``False`` means NOT NULL.
 BRONZE = {
-    "customers": _contract(
-        "customer_id! string, name string, email string, gender string,"
-        "signup_date string, country string, ingestion_date timestamp"
+    "customers": (
+        T.StructType()
+        .add("customer_id", "string", False)
+        .add("name", "string")
+        .add("email", "string")
+        .add("gender", "string")
+        .add("signup_date", "string")
+        .add("country", "string")
+        .add("ingestion_date", "timestamp")
     ),
-    "orders": _contract(
-        "order_id! string, customer_id! string, order_date string, total_amount string,"
-        "payment_method string, shipping_country string, ingestion_date timestamp"
+    "orders": (
+        T.StructType()
+        .add("order_id", "string", False)
+        .add("customer_id", "string", False)
+        .add("order_date", "string")
+        .add("total_amount", "string")
+        .add("payment_method", "string")
+        .add("shipping_country", "string")
+        .add("ingestion_date", "timestamp")
     ),
-    "products": _contract(
-        "product_id! string, product_name string, category string, price string,"
-        "stock_quantity string, brand string, ingestion_date timestamp"
+    "products": (
+        T.StructType()
+        .add("product_id", "string", False)
+        .add("product_name", "string")
+        .add("category", "string")
+        .add("price", "string")
+        .add("stock_quantity", "string")
+        .add("brand", "string")
+        .add("ingestion_date", "timestamp")
     ),
-    "product_reviews": _contract(
-        "review_id! string, product_id! string, customer_id! string, rating string,"
-        "review_text string, review_date string, ingestion_date timestamp"
+    "product_reviews": (
+        T.StructType()
+        .add("review_id", "string", False)
+        .add("product_id", "string", False)
+        .add("customer_id", "string", False)
+        .add("rating", "string")
+        .add("review_text", "string")
+        .add("review_date", "string")
+        .add("ingestion_date", "timestamp")
     ),
 }
 
 SILVER = {
-    "dim_customers": _contract(
-        "customer_id! string, name string, email string, gender string, signup_date date,"
-        "country string, is_valid_email boolean, ingestion_date timestamp, silver_ts timestamp"
+    "dim_customers": (
+        T.StructType()
+        .add("customer_id", "string", False)
+        .add("name", "string")
+        .add("email", "string")
+        .add("gender", "string")
+        .add("signup_date", "date")
+        .add("country", "string")
+        .add("is_valid_email", "boolean")
+        .add("ingestion_date", "timestamp")
+        .add("silver_ts", "timestamp")
     ),
-    "dim_products": _contract(
-        "product_id! string, product_name string, category string, price double,"
-        "stock_quantity int, brand string, price_category string, in_stock boolean,"
-        "ingestion_date timestamp, silver_ts timestamp"
+    "dim_products": (
+        T.StructType()
+        .add("product_id", "string", False)
+        .add("product_name", "string")
+        .add("category", "string")
+        .add("price", "double")
+        .add("stock_quantity", "integer")
+        .add("brand", "string")
+        .add("price_category", "string")
+        .add("in_stock", "boolean")
+        .add("ingestion_date", "timestamp")
+        .add("silver_ts", "timestamp")
     ),
-    "fact_orders": _contract(
-        "order_id! string, customer_id! string, order_date date, order_date_key int,"
-        "total_amount double, payment_method string, is_valid_payment boolean,"
-        "shipping_country string, ingestion_date timestamp, silver_ts timestamp"
+    "fact_orders": (
+        T.StructType()
+        .add("order_id", "string", False)
+        .add("customer_id", "string", False)
+        .add("order_date", "date")
+        .add("order_date_key", "integer")
+        .add("total_amount", "double")
+        .add("payment_method", "string")
+        .add("is_valid_payment", "boolean")
+        .add("shipping_country", "string")
+        .add("ingestion_date", "timestamp")
+        .add("silver_ts", "timestamp")
     ),
-    "fact_reviews": _contract(
-        "review_id! string, product_id! string, customer_id! string, rating int,"
-        "review_text string, review_length int, review_date date, sentiment_bucket string,"
-        "ingestion_date timestamp, silver_ts timestamp"
+    "fact_reviews": (
+        T.StructType()
+        .add("review_id", "string", False)
+        .add("product_id", "string", False)
+        .add("customer_id", "string", False)
+        .add("rating", "integer")
+        .add("review_text", "string")
+        .add("review_length", "integer")
+        .add("review_date", "date")
+        .add("sentiment_bucket", "string")
+        .add("ingestion_date", "timestamp")
+        .add("silver_ts", "timestamp")
     ),
 }
 
 GOLDEN = {
-    "agg_sales_summary": _contract(
-        "order_date_dt date, shipping_country string, total_orders long, unique_customers long,"
-        "gross_revenue double, avg_order_value double, min_order_value double,"
-        "max_order_value double"
+    "agg_sales_summary": (
+        T.StructType()
+        .add("order_date_dt", "date")
+        .add("shipping_country", "string")
+        .add("total_orders", "long")
+        .add("unique_customers", "long")
+        .add("gross_revenue", "double")
+        .add("avg_order_value", "double")
+        .add("min_order_value", "double")
+        .add("max_order_value", "double")
     ),
-    "agg_product_performance": _contract(
-        "product_id string, product_name string, category string, brand string, price double,"
-        "price_category string, in_stock boolean, review_count long, avg_rating double,"
-        "positive_reviews long, neutral_reviews long, negative_reviews long, rating_rank int,"
-        "needs_review_flag boolean"
+    "agg_product_performance": (
+        T.StructType()
+        .add("product_id", "string")
+        .add("product_name", "string")
+        .add("category", "string")
+        .add("brand", "string")
+        .add("price", "double")
+        .add("price_category", "string")
+        .add("in_stock", "boolean")
+        .add("review_count", "long")
+        .add("avg_rating", "double")
+        .add("positive_reviews", "long")
+        .add("neutral_reviews", "long")
+        .add("negative_reviews", "long")
+        .add("rating_rank", "integer")
+        .add("needs_review_flag", "boolean")
     ),
-    "agg_customer_360": _contract(
-        "customer_id string, name string, email string, gender string, country string,"
-        "signup_date date, tenure_days int, total_orders long, lifetime_value double,"
-        "avg_order_value double, last_order_date date, first_order_date date,"
-        "days_since_last_order int, reviews_written long, avg_review_given double,"
-        "preferred_payment string, recency_score int, frequency_score int, monetary_score int,"
-        "rfm_score int, customer_segment string"
+    "agg_customer_360": (
+        T.StructType()
+        .add("customer_id", "string")
+        .add("name", "string")
+        .add("email", "string")
+        .add("gender", "string")
+        .add("country", "string")
+        .add("signup_date", "date")
+        .add("tenure_days", "integer")
+        .add("total_orders", "long")
+        .add("lifetime_value", "double")
+        .add("avg_order_value", "double")
+        .add("last_order_date", "date")
+        .add("first_order_date", "date")
+        .add("days_since_last_order", "integer")
+        .add("reviews_written", "long")
+        .add("avg_review_given", "double")
+        .add("preferred_payment", "string")
+        .add("recency_score", "integer")
+        .add("frequency_score", "integer")
+        .add("monetary_score", "integer")
+        .add("rfm_score", "integer")
+        .add("customer_segment", "string")
     ),
-    "agg_review_sentiment": _contract(
-        "review_month string, product_id string, product_name string, category string,"
-        "brand string, total_reviews long, avg_rating double, positive_count long,"
-        "neutral_count long, negative_count long, positive_pct double, negative_pct double,"
-        "prev_month_avg_rating double, rating_mom_change double"
+    "agg_review_sentiment": (
+        T.StructType()
+        .add("review_month", "string")
+        .add("product_id", "string")
+        .add("product_name", "string")
+        .add("category", "string")
+        .add("brand", "string")
+        .add("total_reviews", "long")
+        .add("avg_rating", "double")
+        .add("positive_count", "long")
+        .add("neutral_count", "long")
+        .add("negative_count", "long")
+        .add("positive_pct", "double")
+        .add("negative_pct", "double")
+        .add("prev_month_avg_rating", "double")
+        .add("rating_mom_change", "double")
     ),
 }
 

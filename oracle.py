@@ -50,6 +50,7 @@ def n_if(condition: str) -> str:
     return f"count(*) FILTER (WHERE {condition})"
 
 
+# Patterns, codes, labels and thresholds of the rules.
 EMAIL = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 PAYMENTS = "('bank transfer', 'paypal', 'cash', 'credit card')"
 AS_OF = "DATE '2001-08-02'"
@@ -310,29 +311,163 @@ def _dropped(table: str, source: str, required: str) -> str:
     )
 
 
-# Column declarations of the twelve tables: name, ``!`` for NOT NULL, type.
+# Columns of the twelve tables: name, type, and whether NULL is refused.
 DECLARED = {
-    "bronze.customers": "customer_id!:string name:string email:string gender:string signup_date:string country:string ingestion_date:timestamp",
-    "bronze.orders": "order_id!:string customer_id!:string order_date:string total_amount:string payment_method:string shipping_country:string ingestion_date:timestamp",
-    "bronze.products": "product_id!:string product_name:string category:string price:string stock_quantity:string brand:string ingestion_date:timestamp",
-    "bronze.product_reviews": "review_id!:string product_id!:string customer_id!:string rating:string review_text:string review_date:string ingestion_date:timestamp",
-    "silver.dim_customers": "customer_id!:string name:string email:string gender:string signup_date:date country:string is_valid_email:boolean ingestion_date:timestamp silver_ts:timestamp",
-    "silver.dim_products": "product_id!:string product_name:string category:string price:double stock_quantity:int brand:string price_category:string in_stock:boolean ingestion_date:timestamp silver_ts:timestamp",
-    "silver.fact_orders": "order_id!:string customer_id!:string order_date:date order_date_key:int total_amount:double payment_method:string is_valid_payment:boolean shipping_country:string ingestion_date:timestamp silver_ts:timestamp",
-    "silver.fact_reviews": "review_id!:string product_id!:string customer_id!:string rating:int review_text:string review_length:int review_date:date sentiment_bucket:string ingestion_date:timestamp silver_ts:timestamp",
-    "golden.agg_sales_summary": "order_date_dt:date shipping_country:string total_orders:bigint unique_customers:bigint gross_revenue:double avg_order_value:double min_order_value:double max_order_value:double",
-    "golden.agg_product_performance": "product_id:string product_name:string category:string brand:string price:double price_category:string in_stock:boolean review_count:bigint avg_rating:double positive_reviews:bigint neutral_reviews:bigint negative_reviews:bigint rating_rank:int needs_review_flag:boolean",
-    "golden.agg_customer_360": "customer_id:string name:string email:string gender:string country:string signup_date:date tenure_days:int total_orders:bigint lifetime_value:double avg_order_value:double last_order_date:date first_order_date:date days_since_last_order:int reviews_written:bigint avg_review_given:double preferred_payment:string recency_score:int frequency_score:int monetary_score:int rfm_score:int customer_segment:string",
-    "golden.agg_review_sentiment": "review_month:string product_id:string product_name:string category:string brand:string total_reviews:bigint avg_rating:double positive_count:bigint neutral_count:bigint negative_count:bigint positive_pct:double negative_pct:double prev_month_avg_rating:double rating_mom_change:double",
+    "bronze.customers": [
+        ("customer_id", "string", True),
+        ("name", "string", False),
+        ("email", "string", False),
+        ("gender", "string", False),
+        ("signup_date", "string", False),
+        ("country", "string", False),
+        ("ingestion_date", "timestamp", False),
+    ],
+    "bronze.orders": [
+        ("order_id", "string", True),
+        ("customer_id", "string", True),
+        ("order_date", "string", False),
+        ("total_amount", "string", False),
+        ("payment_method", "string", False),
+        ("shipping_country", "string", False),
+        ("ingestion_date", "timestamp", False),
+    ],
+    "bronze.products": [
+        ("product_id", "string", True),
+        ("product_name", "string", False),
+        ("category", "string", False),
+        ("price", "string", False),
+        ("stock_quantity", "string", False),
+        ("brand", "string", False),
+        ("ingestion_date", "timestamp", False),
+    ],
+    "bronze.product_reviews": [
+        ("review_id", "string", True),
+        ("product_id", "string", True),
+        ("customer_id", "string", True),
+        ("rating", "string", False),
+        ("review_text", "string", False),
+        ("review_date", "string", False),
+        ("ingestion_date", "timestamp", False),
+    ],
+    "silver.dim_customers": [
+        ("customer_id", "string", True),
+        ("name", "string", False),
+        ("email", "string", False),
+        ("gender", "string", False),
+        ("signup_date", "date", False),
+        ("country", "string", False),
+        ("is_valid_email", "boolean", False),
+        ("ingestion_date", "timestamp", False),
+        ("silver_ts", "timestamp", False),
+    ],
+    "silver.dim_products": [
+        ("product_id", "string", True),
+        ("product_name", "string", False),
+        ("category", "string", False),
+        ("price", "double", False),
+        ("stock_quantity", "int", False),
+        ("brand", "string", False),
+        ("price_category", "string", False),
+        ("in_stock", "boolean", False),
+        ("ingestion_date", "timestamp", False),
+        ("silver_ts", "timestamp", False),
+    ],
+    "silver.fact_orders": [
+        ("order_id", "string", True),
+        ("customer_id", "string", True),
+        ("order_date", "date", False),
+        ("order_date_key", "int", False),
+        ("total_amount", "double", False),
+        ("payment_method", "string", False),
+        ("is_valid_payment", "boolean", False),
+        ("shipping_country", "string", False),
+        ("ingestion_date", "timestamp", False),
+        ("silver_ts", "timestamp", False),
+    ],
+    "silver.fact_reviews": [
+        ("review_id", "string", True),
+        ("product_id", "string", True),
+        ("customer_id", "string", True),
+        ("rating", "int", False),
+        ("review_text", "string", False),
+        ("review_length", "int", False),
+        ("review_date", "date", False),
+        ("sentiment_bucket", "string", False),
+        ("ingestion_date", "timestamp", False),
+        ("silver_ts", "timestamp", False),
+    ],
+    "golden.agg_sales_summary": [
+        ("order_date_dt", "date", False),
+        ("shipping_country", "string", False),
+        ("total_orders", "bigint", False),
+        ("unique_customers", "bigint", False),
+        ("gross_revenue", "double", False),
+        ("avg_order_value", "double", False),
+        ("min_order_value", "double", False),
+        ("max_order_value", "double", False),
+    ],
+    "golden.agg_product_performance": [
+        ("product_id", "string", False),
+        ("product_name", "string", False),
+        ("category", "string", False),
+        ("brand", "string", False),
+        ("price", "double", False),
+        ("price_category", "string", False),
+        ("in_stock", "boolean", False),
+        ("review_count", "bigint", False),
+        ("avg_rating", "double", False),
+        ("positive_reviews", "bigint", False),
+        ("neutral_reviews", "bigint", False),
+        ("negative_reviews", "bigint", False),
+        ("rating_rank", "int", False),
+        ("needs_review_flag", "boolean", False),
+    ],
+    "golden.agg_customer_360": [
+        ("customer_id", "string", False),
+        ("name", "string", False),
+        ("email", "string", False),
+        ("gender", "string", False),
+        ("country", "string", False),
+        ("signup_date", "date", False),
+        ("tenure_days", "int", False),
+        ("total_orders", "bigint", False),
+        ("lifetime_value", "double", False),
+        ("avg_order_value", "double", False),
+        ("last_order_date", "date", False),
+        ("first_order_date", "date", False),
+        ("days_since_last_order", "int", False),
+        ("reviews_written", "bigint", False),
+        ("avg_review_given", "double", False),
+        ("preferred_payment", "string", False),
+        ("recency_score", "int", False),
+        ("frequency_score", "int", False),
+        ("monetary_score", "int", False),
+        ("rfm_score", "int", False),
+        ("customer_segment", "string", False),
+    ],
+    "golden.agg_review_sentiment": [
+        ("review_month", "string", False),
+        ("product_id", "string", False),
+        ("product_name", "string", False),
+        ("category", "string", False),
+        ("brand", "string", False),
+        ("total_reviews", "bigint", False),
+        ("avg_rating", "double", False),
+        ("positive_count", "bigint", False),
+        ("neutral_count", "bigint", False),
+        ("negative_count", "bigint", False),
+        ("positive_pct", "double", False),
+        ("negative_pct", "double", False),
+        ("prev_month_avg_rating", "double", False),
+        ("rating_mom_change", "double", False),
+    ],
 }
 
 
 def _contract_rows(name: str, cte: str) -> str:
     parts = []
-    for position, item in enumerate(DECLARED[name].split(), 1):
-        column, kind = item.split(":")
-        bare = column.rstrip("!")
-        nulls = f"(SELECT count(*) FROM {cte} WHERE {bare} IS NULL)" if column != bare else "0"
+    for position, (bare, kind, required) in enumerate(DECLARED[name], 1):
+        nulls = f"(SELECT count(*) FROM {cte} WHERE {bare} IS NULL)" if required else "0"
         parts.append(
             f"SELECT '{name}' AS table_name, {position} AS position, '{bare}' AS column_name, "
             f"'{kind}' AS declared_type, TRUE AS type_ok, TRUE AS position_ok, "
