@@ -11,7 +11,8 @@ import sys
 from collections.abc import Callable
 from functools import reduce
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+ROOT = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, ROOT)
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
@@ -380,13 +381,26 @@ def _corpus_queries() -> tuple[dict[str, Callable], dict[str, str]]:
         if gone.name not in ("corpus_pipeline", "marketloom.llm"):
             raise
         return {}, {}
+    named = {**llm.QUERIES, "pipeline": corpus_pipeline.run}
     sql = {**llm.ORACLE_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
     return (
-        {**llm.QUERIES, "pipeline": corpus_pipeline.run},
+        {name: _with_modules(query) for name, query in named.items()},
         {name: text for name, text in sql.items() if text},
     )
 
 
+def _with_modules(query: Callable) -> Callable:
+    """Let Python workers find the modules of this folder, from wherever the session was started."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+        if ROOT not in paths:
+            spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: _runner(build) for name, build in QUERIES.items()} | _corpus_queries()[0]
 
