@@ -6,12 +6,39 @@ columns; the last packs them into training sequences.  ``n_chars`` follows the t
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.llm import line_templates, packing, pii, repetition, simhash
-from marketloom.sources.scratch import stored
+from marketloom.sources.scratch import discard, recorded, scratch_path, stored
+
+# Scratch tables of the stages that ran before.
+_earlier: list[str] = []
+
+
+def _stage(function: Callable) -> Callable:
+    """A stage that discards the scratch tables of the stage before.
+
+    That stage has been written by then; if ``docs`` still reads them, they stay.
+    """
+
+    @functools.wraps(function)
+    def staged(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = docs.inputFiles() if _earlier else []
+        if not any(path.rsplit("/", 1)[1] in file for path in _earlier for file in read):
+            for path in _earlier:
+                discard(spark, path)
+            _earlier.clear()
+        with recorded() as paths:
+            result = function(spark, docs, sf_dir)
+        _earlier.extend(paths)
+        return result
+
+    return staged
 
 
 def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -20,27 +47,32 @@ def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
     return docs.select(*columns)
 
 
+@_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are too short or repeat themselves go."""
     return repetition.keep_sound(docs, "text")
 
 
+@_stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of templates that recur across documents go; the documents stay."""
     cleaned = line_templates.drop_template_lines(docs, "text", lines_col="_lines", dropped_col="_dropped")
     return _with_length(cleaned, docs.columns)
 
 
+@_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return simhash.keep_one_per_component(docs, "doc_id", "text", words=5, distance=4)
 
 
+@_stage
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets are replaced by their kind."""
     return _with_length(pii.redact(docs, "text"), docs.columns)
 
 
+@_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The tokens of all documents in sequences of at most 2048."""
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -63,6 +95,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after another over ``documents``, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        docs = stored(stage(spark, docs, sf_dir), path=path)
+        if before:
+            discard(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

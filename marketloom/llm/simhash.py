@@ -181,4 +181,5 @@ def keep_one_per_component(
     prints = stored(marked.groupBy(F.col(mark).alias("fp")).agg(F.min(first).alias("first")), "prints")
     kept = _components(prints, distance).groupBy("root").agg(F.min("first").alias("first"))
     kept = stored(kept.select(F.col("first.row").alias(row)), "kept")
-    return marked.join(kept, row, "left_semi").select(*df.columns)
+    # texts are never joined by broadcast: on disk, row numbers are far smaller than in memory
+    return marked.join(kept.hint("merge"), row, "left_semi").select(*df.columns)
