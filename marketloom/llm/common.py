@@ -91,14 +91,19 @@ def gapless_numbers(
 
     A group of any size is cut into buckets by that hash, so that a bucket holds about
     ``bucket_rows`` rows; rows are numbered in their bucket, and what the earlier buckets of the
-    group hold is added.  ``df`` should be a stored table: it is read twice.  Rows that are equal in
-    ``spread`` share a bucket; repeated rows are numbered in any order.
+    group hold is added.  ``df`` should be a stored table: it is read three times, twice without its
+    other columns.  Groups are not NULL, and their number is bounded by a parameter of the caller
+    (shards, lengths up to the capacity): their sizes are broadcast.  Rows that are equal in ``spread`` share a bucket; repeated
+    rows are numbered in any order.
     """
-    buckets = max(1, -(-df.count() // bucket_rows))
     bucket, order = free_name(df, "_bucket"), free_name(df, "_order")
     before, at = free_name(df, "_before"), free_name(df, "_at")
-    hashed = df.withColumn(order, F.xxhash64(*spread)).withColumn(
-        bucket, F.pmod(F.col(order), F.lit(buckets))
+    sizes = df.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / bucket_rows).alias(at))
+    hashed = (
+        df.withColumn(order, F.xxhash64(*spread))
+        .join(F.broadcast(sizes), list(group))
+        .withColumn(bucket, F.pmod(F.col(order), F.col(at)))
+        .drop(at)
     )
     earlier = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     starts = (

@@ -11,6 +11,7 @@ import bisect
 import os
 import re
 import zlib
+from array import array
 from dataclasses import dataclass
 from itertools import chain
 
@@ -25,7 +26,7 @@ from marketloom.llm.common import gapless_numbers
 from marketloom.sources.scratch import stored
 
 CAPACITY = 2048
-CACHE_WORDS = 150_000  # words that a worker remembers; beyond them it starts anew
+CACHE_WORDS = 250_000  # words in each half of what a worker remembers
 CHUNK_CHARS = 1_000_000
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")  # with A-Z lowered, letters that the tokenizer cannot join to others
 
@@ -188,46 +189,69 @@ def places(patterns: list[Pattern]) -> pd.DataFrame:
 # --- tokens --------------------------------------------------------------
 
 
+def _byte_characters() -> dict[int, str]:
+    """What the byte-level alphabet writes for each byte: itself if printable, else the next free character."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: chr(b) if b in printable else chr(next(others)) for b in range(256)}
+
+
 class Tokens:
     """Token ids by the library, word by word, with a bounded memory of words.
 
     The tokenizer never joins characters over a space or line break, so a text has the ids of its words.
+    A word of letters is one unit of its merges and goes to the library's model directly; any other
+    word goes through the whole library.  The memory has two halves: when the newer one is full, it
+    takes the place of the older one, so frequent words stay.
     """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_str(definition)
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.stems: dict[str, tuple[int, ...]] = {}
-
-    def _ask(self, words: list[str]) -> None:
-        for word, code in zip(words, self.library.encode_batch_fast(words, add_special_tokens=False)):
-            self.stems[word] = tuple(code.ids)
+        self.alphabet = _byte_characters()
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {"": b""}
+
+    def _stem(self, stem: str) -> bytes:
+        """The ids of a word of lower-case letters, as little-endian bytes."""
+        found = self.stems.get(stem)
+        if found is None:
+            spelled = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.alphabet)
+            ids = [token.id for token in self.library.model.tokenize(spelled)]
+            found = self.stems[stem] = array("I", ids).tobytes()
+        return found
 
     def _learn(self, new: set[str]) -> None:
-        cut = {}
+        if len(self.stems) > CACHE_WORDS:
+            self.stems = {"": b""}
+        letters, others = [], []
         for word in new:
             stem = word.rstrip(".,")
-            if stem and _LETTERS.fullmatch(stem):
-                cut[word] = (stem.lower(), word[len(stem) :])
+            if word in self.older:
+                self.known[word] = self.older[word]
+            elif stem and _LETTERS.fullmatch(stem):
+                letters.append((word, stem))
             else:
-                cut[word] = (word, "")
-        self._ask(list({part for parts in cut.values() for part in parts if part}.difference(self.stems)))
-        self.stems[""] = ()
-        for word, (stem, tail) in cut.items():
-            self.known[word] = self.stems[stem] + self.stems[tail]
+                others.append(word)
+        tails = {word[len(stem) :] for word, stem in letters if len(stem) < len(word)}
+        asked = others + [tail for tail in tails if tail not in self.known]
+        for word, code in zip(asked, self.library.encode_batch_fast(asked, add_special_tokens=False)):
+            self.known[word] = array("I", code.ids).tobytes()
+        for word, stem in letters:
+            tail = word[len(stem) :]
+            ids = self._stem(stem.lower())
+            self.known[word] = ids + self.known[tail] if tail else ids
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         words = [(t or "").replace("\n", " ").split(" ") for t in texts]
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        if len(self.stems) > CACHE_WORDS:
-            self.stems.clear()
+            self.older, self.known = self.known, {}
         new = set(chain.from_iterable(words)).difference(self.known)
         if new:
             self._learn(new)
         get = self.known.__getitem__
-        return [np.fromiter(chain.from_iterable(map(get, w)), np.uint32) for w in words]
+        return [np.frombuffer(b"".join(map(get, w)), np.uint32) for w in words]
 
 
 _tokens: dict[str, Tokens] = {}
@@ -307,7 +331,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     table = places(plan(counts, capacity))
     keys = (table["length"].to_numpy() << 40) + table["first"].to_numpy()
     first, sequence, each, offset = (table[c].to_numpy() for c in ("first", "sequence", "each", "offset"))
-    ranked = gapless_numbers(numbered, ["length"], [row], "_number").drop(row)
+    bucket_rows = 2_000 if "ids" in pieces.columns else 50_000  # some 16 MB of ids, or of plain rows
+    ranked = gapless_numbers(numbered, ["length"], [row], "_number", bucket_rows).drop(row)
     names = [c for c in ranked.columns if c != "_number"]
     width, at_length, at_number = len(ranked.columns), *map(ranked.columns.index, ("length", "_number"))
 
