@@ -6,7 +6,8 @@ each place stays in the template if most lines of the leaf have it, and becomes
 otherwise.  A line belongs to the template of its leaf if it has all its fixed tokens; else it is a
 template of its own.  A template that enough different documents hold, in different surroundings, is
 boilerplate, and its lines are dropped.  Copies of a document do not make its lines boilerplate: equal
-texts count once, and lines that come again between the same neighbours are the same passage.
+texts count once, and a line that mostly comes after the same line, or mostly before the same line, is
+part of a longer passage.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from marketloom.sources.scratch import stored
 LEADING = 3  # tokens below the token count in the tree
 MIN_TOKENS = 3  # shorter lines have no template
 MIN_DOCUMENTS = 10
-MIN_SURROUNDINGS = 0.5  # different surroundings per document that holds the line
+MIN_SURROUNDINGS = 0.5  # different lines before, and after, per document that holds the line
 FIXED_SHARE = 0.6  # of the places of a template that must be fixed
 FILTER_BUCKETS = 1 << 18  # rows of the broadcast filter at most, whatever the corpus
 VARIABLE = "<*>"
@@ -43,7 +44,10 @@ def _leaf(masked: Column) -> Column:
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """(row, line, document, mask, leaf, around) of lines that are long enough for a template."""
+    """(row, line, document, mask, leaf, before, after) of lines that are long enough for a template.
+
+    The neighbours of a line are masked too; the end of a document counts as one that no other has.
+    """
     masked = F.transform(F.split("t", "\n"), _masked)
     return (
         rows.where("t IS NOT NULL")
@@ -53,7 +57,8 @@ def _lines(rows: DataFrame) -> DataFrame:
         .where(_tokens(F.col("masked")) >= MIN_TOKENS)
         .select(
             "row", "line", "document", F.xxhash64("masked").alias("mask"), _leaf(F.col("masked")).alias("leaf"),
-            F.xxhash64(F.get("h", F.col("line") - 1), F.get("h", F.col("line") + 1)).alias("around"),
+            F.coalesce(F.get("h", F.col("line") - 1), "document").alias("before"),
+            F.coalesce(F.get("h", F.col("line") + 1), "document").alias("after"),
         )
     )
 
@@ -128,21 +133,29 @@ def drop_template_lines(
     )
     lines = stored(_lines(rows), "lines")
     members = stored(_leaf_members(rows, lines, min_documents), "members")
-    marked = lines.select("row", "line", "document", "mask", "around").join(members, "mask", "left")
-    marked = marked.withColumn("template", F.coalesce("template", "mask"))
+    marked = lines.drop("leaf").join(members, "mask", "left")
+    marked = marked.withColumn("template", F.coalesce("template", "mask")).drop("mask")
+    often = marked.groupBy("template").count().where(F.col("count") >= min_documents).select("template")
+    # most templates have one line, so the finer counts are made on what is left
+    frequent = stored(marked.join(often, "template", "left_semi"), "frequent-lines")
+    enough = F.greatest(F.lit(min_documents), MIN_SURROUNDINGS * F.col("documents"))
     recurring = (
-        marked.groupBy("template")
-        .agg(F.count_distinct("document").alias("documents"), F.count_distinct("around").alias("surroundings"))
-        .where((F.col("documents") >= min_documents) & (F.col("surroundings") >= MIN_SURROUNDINGS * F.col("documents")))
+        frequent.groupBy("template", "document")
+        .agg(F.min("before").alias("before"), F.min("after").alias("after"))
+        .groupBy("template")
+        .agg(
+            F.count(F.lit(1)).alias("documents"),
+            F.least(F.count_distinct("before"), F.count_distinct("after")).alias("surroundings"),
+        )
+        .where((F.col("documents") >= min_documents) & (F.col("surroundings") >= enough))
         .select("template")
     )
-    recurring = stored(recurring, "recurring")
-    dropped = marked.join(recurring, "template", "left_semi").groupBy("row").agg(F.collect_set("line").alias("dropped"))
+    dropped = frequent.join(recurring, "template", "left_semi").groupBy("row").agg(F.collect_set("line").alias("dropped"))
     before = F.split("t", "\n")
     kept = F.filter(before, lambda line, i: ~F.array_contains(F.col("dropped"), i))
     other = [F.col(f"{held}.`{c}`").alias(c) if c != text else F.col("t").alias(c) for c in names]
     return (
-        rows.join(dropped, "row", "left")
+        rows.join(dropped.hint("merge"), "row", "left")
         .select(
             held,
             F.when(F.col("dropped").isNull(), F.col("t")).otherwise(F.array_join(kept, "\n")).alias("t"),

@@ -286,7 +286,7 @@ def test_suffix_array():
         assert suffix_dedup.suffix_array(values).tolist() == want
 
 
-@pytest.mark.parametrize("crowded", [4096, 1])
+@pytest.mark.parametrize("crowded", [100_000, 1])
 def test_repeats_against_brute_force(spark, texts, monkeypatch, crowded):
     monkeypatch.setattr(suffix_dedup, "CROWDED", crowded)
     pick = random.Random(4)
