@@ -14,8 +14,8 @@ a corpus as rows would move it many times over, so what has to be sorted is foun
     suffixes by their first byte and the sample after it, and merge).  Neighbours in it whose first
     ``width`` bytes agree are copies; all but the earliest are repeats.
 
-A hash with very many different contexts is not put into one task: its strings are counted one by
-one, which Spark combines before the shuffle.
+A hash with very many anchors is not put into one task: its contexts, and the strings of those that
+differ, are counted one by one, which Spark combines before the shuffle.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import free_name
@@ -35,7 +35,7 @@ WIDTH = 100
 GRAM = 32
 BATCH_BYTES = 1 << 20  # bytes hashed together
 SORT_BYTES = 1 << 20  # bytes of contexts sorted together; at most 2**21, so that three names fit a long
-CROWDED = 4096  # different contexts of one hash from which on its strings are counted one by one
+CROWDED = 100_000  # anchors of one hash from which on its contexts and strings are counted one by one
 FILTER_BITS = 26  # size of the broadcast filter, whatever the corpus: 2**26 bits
 _U = np.uint64
 
@@ -200,10 +200,21 @@ def _filter_words(hashes: DataFrame, column: str) -> np.ndarray:
 
 
 def _identity(row: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """A hash of an anchor's own place."""
-    x = row.astype(np.uint64) * _BASE[0] + low.astype(np.uint64) * _BASE[1]
-    x = (x ^ (x >> _U(31))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(29))
+    """A hash of an anchor's own place, by shifts only, so that SQL can say the same."""
+    x = row.astype(np.uint64) ^ (low.astype(np.uint64) << _U(37))
+    for _ in range(2):
+        x ^= x << _U(13)
+        x ^= x >> _U(7)
+        x ^= x << _U(17)
+    return x
+
+
+def _identity_column() -> Column:
+    x = F.col("row").bitwiseXOR(F.shiftleft("low", 37))
+    for _ in range(2):
+        for shift, n in ((F.shiftleft, 13), (F.shiftrightunsigned, 7), (F.shiftleft, 17)):
+            x = x.bitwiseXOR(shift(x, n))
+    return x
 
 
 def _scan(docs: DataFrame, schema: str, emit) -> DataFrame:
@@ -241,16 +252,16 @@ def _contexts(docs: DataFrame, width: int, words) -> DataFrame:
         keep = _in_filter(words.value, h)
         h, doc, low, high = (x[keep] for x in (h, doc, low, high))
         begin = np.cumsum(sizes) - sizes
-        c1, c2 = (hashed.of(way, low, high + width) for way in range(2))
+        # together with the anchor's own hash, 128 bits; only contexts of one anchor hash are compared
+        c = hashed.of(1, low, high + width)
         return pa.RecordBatch.from_pydict(
             {
-                "h": pa.array(h.view(np.int64)), "c1": pa.array(c1.view(np.int64)), "c2": pa.array(c2.view(np.int64)),
-                "size": pa.array((high - low).astype(np.int32)), "id": pa.array(ids[doc]), "row": pa.array(rows[doc]),
-                "low": pa.array(low - begin[doc]), "me": pa.array(_identity(rows[doc], low - begin[doc]).view(np.int64)),
+                "h": pa.array(h.view(np.int64)), "c": pa.array(c.view(np.int64)), "size": pa.array((high - low).astype(np.int32)),
+                "id": pa.array(ids[doc]), "row": pa.array(rows[doc]), "low": pa.array(low - begin[doc]),
             }
         )
 
-    return _scan(docs, "h long, c1 long, c2 long, size int, id long, row long, low long, me long", emit)
+    return _scan(docs, "h long, c long, size int, id long, row long, low long", emit)
 
 
 def _context_bytes(docs: DataFrame, width: int, words) -> DataFrame:
@@ -339,33 +350,60 @@ def _counted_repeats(contexts: DataFrame, width: int) -> DataFrame:
     return strings.join(first, "s").where("p > first").select("p.row", F.col("p.at").alias("low"), F.col("p.at").alias("high"))
 
 
+def _settled(found: DataFrame) -> DataFrame:
+    """(row, low, high, first, mixed): of equal contexts all but the first; the firsts where contexts differ.
+
+    One shuffle by the anchor's hash; contexts of a hash are in order, so equal ones are neighbours.
+    """
+    ordered = Window.partitionBy("h").orderBy("c", "size", "id", "row", "low")
+    same = F.col("c").eqNullSafe(F.lag("c").over(ordered)) & F.col("size").eqNullSafe(F.lag("size").over(ordered))
+    return (
+        found.withColumn("first", ~same)
+        .withColumn("mixed", F.count_if("first").over(Window.partitionBy("h")) > 1)
+        .where(~F.col("first") | F.col("mixed"))
+        .select("row", "low", (F.col("low") + F.col("size")).alias("high"), "first")
+    )
+
+
+def _settled_apart(found: DataFrame) -> DataFrame:
+    """The same for crowded hashes: counts combined before the shuffle, and joins that Spark can split."""
+    key = ["h", "c", "size"]
+    firsts = stored(found.groupBy(*key).agg(F.min(F.struct("id", "row", "low")).alias("at")), "crowded-contexts")
+    mixed = firsts.groupBy("h").agg((F.count(F.lit(1)) > 1).alias("mixed"))
+    return (
+        found.join(firsts, key)
+        .withColumn("first", (F.col("row") == F.col("at.row")) & (F.col("low") == F.col("at.low")))
+        .join(mixed, "h")
+        .where(~F.col("first") | F.col("mixed"))
+        .select("row", "low", (F.col("low") + F.col("size")).alias("high"), "first")
+    )
+
+
 def repeated_spans(docs: DataFrame, width: int) -> DataFrame:
     """(row, low, high): runs of starts of repeated strings in ``docs`` (row, id, data), a stored table."""
-    context = docs.sparkSession.sparkContext
     spark = docs.sparkSession
-    again = _all_hashes(docs, width).groupBy("h").count().where("count > 1")
+    context = spark.sparkContext
+    again = stored(_all_hashes(docs, width).groupBy("h").count().where("count > 1"), "repeated-hashes")
     words = context.broadcast(_filter_words(again, "h"))
-    found = stored(_contexts(docs, width, words), "contexts")
-    key = ["h", "c1", "c2", "size"]
-    firsts = found.groupBy(*key).agg(
-        F.min(F.struct("id", "row", "low", "me")).alias("first"), F.count(F.lit(1)).alias("n")
-    )
-    firsts = stored(firsts, "first-contexts")
-    copies = (
-        found.join(firsts.where("n > 1"), key)
-        .where((F.col("row") != F.col("first.row")) | (F.col("low") != F.col("first.low")))
-        .select("row", "low", (F.col("low") + F.col("size")).alias("high"))
-    )
-    mixed = stored(firsts.groupBy("h").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1"), "mixed")
-    to_sort = firsts.join(mixed.select("h"), "h", "left_semi").select(F.col("first.me").alias("me"))
-    places = context.broadcast(_filter_words(to_sort, "me"))
-    texts = _context_bytes(docs, width, places).join(mixed, "h")
-    texts = stored(texts, "context-bytes")
-    usual = texts.where(F.col("contexts") <= CROWDED)
+    found = _contexts(docs, width, words)
+    hot = again.where(F.col("count") > CROWDED).select("h")
+    crowded = not hot.isEmpty()
+    usual = stored(_settled(found.join(hot, "h", "left_anti") if crowded else found), "settled")
+    spans = [usual]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    dealt = usual.repartition(parts, "h").sortWithinPartitions("h")
-    spans = [copies, _sorted_repeats(dealt, width), _counted_repeats(texts.where(F.col("contexts") > CROWDED), width)]
-    return stored(reduce(DataFrame.unionByName, spans), "repeats")
+
+    def to_compare(settled: DataFrame) -> DataFrame:
+        places = settled.where("first").select(_identity_column().alias("me"))
+        return _context_bytes(docs, width, context.broadcast(_filter_words(places, "me")))
+
+    dealt = to_compare(usual).repartition(parts, "h").sortWithinPartitions("h")
+    compared = [_sorted_repeats(dealt, width)]
+    if crowded:
+        apart = stored(_settled_apart(found.join(hot, "h", "left_semi")), "settled-apart")
+        spans.append(apart)
+        compared.append(_counted_repeats(to_compare(apart), width))
+    copies = [x.where("NOT first").select("row", "low", "high") for x in spans]
+    return stored(reduce(DataFrame.unionByName, [*copies, *compared]), "repeats")
 
 
 def remove_repeats(
