@@ -15,7 +15,8 @@ a corpus as rows would move it many times over, so what has to be sorted is foun
     ``width`` bytes agree are copies; all but the earliest are repeats.
 
 A hash with very many anchors is not put into one task: its contexts, and the strings of those that
-differ, are counted one by one, which Spark combines before the shuffle.
+differ, are counted one by one, which Spark combines before the shuffle.  So are the strings of a hash
+whose differing contexts hold more bytes than are sorted together.
 """
 
 from __future__ import annotations
@@ -34,9 +35,10 @@ from marketloom.sources.scratch import scratch_path, stored
 WIDTH = 100
 GRAM = 32
 BATCH_BYTES = 1 << 20  # bytes hashed together
-SORT_BYTES = 1 << 20  # bytes of contexts sorted together; at most 2**21, so that three names fit a long
+SORT_BYTES = 1 << 20  # bytes of contexts of one hash that are sorted; a text holds less than twice as many
 CROWDED = 100_000  # anchors of one hash from which on its contexts and strings are counted one by one
 FILTER_BITS = 26  # size of the broadcast filter, whatever the corpus: 2**26 bits
+NARROW, WIDE = 21, 31  # bits of a name: three narrow ones fit a long, of wide ones two
 _U = np.uint64
 
 
@@ -52,8 +54,15 @@ def _dense(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     return order, names, int(names[order[-1]]) if len(keys) else 0
 
 
+def _pairs(s: np.ndarray, bits: int) -> np.ndarray:
+    """Keys of neighbours, in their order, that leave ``bits`` bits of a long free."""
+    if bits == NARROW:
+        return (s[:-1] << bits) | s[1:]
+    return _dense((s[:-1] << bits) | s[1:])[1]
+
+
 def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Suffix array by the difference cover of three; values from 1, fewer than 2**21 of them."""
+    """Suffix array by the difference cover of three; values from 1, they and the length below 2**31 - 3."""
     n = len(text)
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: text[i:].tolist()), np.int64)
@@ -61,7 +70,9 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     # a sample at n stands for the empty suffix, so that the first part of the named text ends by itself
     ones = np.arange(1, n + (n % 3 == 1), 3)
     sample = np.concatenate((ones, np.arange(2, n, 3)))
-    _, names, count = _dense((s[sample] << 42) | (s[sample + 1] << 21) | s[np.minimum(sample + 2, n + 2)])
+    bits = NARROW if max(int(s.max()), n + 3) < 1 << NARROW else WIDE
+    pair = _pairs(s, bits)
+    _, names, count = _dense((pair[sample] << bits) | s[np.minimum(sample + 2, n + 2)])
     if count < len(sample):
         order = suffix_array(names)
     else:
@@ -71,14 +82,14 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     rank[sorted_sample] = np.arange(1, len(sample) + 1)
     sorted_sample = sorted_sample[sorted_sample < n]
     rest = np.arange(0, n, 3)
-    rest_key = (s[rest] << 21) | rank[rest + 1]
+    rest_key = (s[rest] << bits) | rank[rest + 1]
     by_key = np.argsort(rest_key, kind="stable")
     rest, rest_key = rest[by_key], rest_key[by_key]
     first = sorted_sample[sorted_sample % 3 == 1]
     second = sorted_sample[sorted_sample % 3 == 2]
-    below_first = np.searchsorted((s[first] << 21) | rank[first + 1], rest_key)
-    second_key = (s[second] << 42) | (s[second + 1] << 21) | rank[second + 2]
-    below_second = np.searchsorted(second_key, (s[rest] << 42) | (s[rest + 1] << 21) | rank[rest + 2])
+    below_first = np.searchsorted((s[first] << bits) | rank[first + 1], rest_key)
+    second_key = (pair[second] << bits) | rank[second + 2]
+    below_second = np.searchsorted(second_key, (pair[rest] << bits) | rank[rest + 2])
     place = np.arange(len(rest)) + below_first + below_second
     out = np.empty(n, np.int64)
     taken = np.zeros(n, bool)
@@ -350,18 +361,25 @@ def _counted_repeats(contexts: DataFrame, width: int) -> DataFrame:
     return strings.join(first, "s").where("p > first").select("p.row", F.col("p.at").alias("low"), F.col("p.at").alias("high"))
 
 
-def _settled(found: DataFrame) -> DataFrame:
-    """(row, low, high, first, mixed): of equal contexts all but the first; the firsts where contexts differ.
+def _settled(found: DataFrame, width: int) -> DataFrame:
+    """(row, low, high, first, h, large): of equal contexts all but the first; the firsts where contexts differ.
 
     One shuffle by the anchor's hash; contexts of a hash are in order, so equal ones are neighbours.
+    ``large`` says that the firsts of the hash ``h`` hold too many bytes to be sorted together.
     """
+    of_hash = Window.partitionBy("h")
+    bytes_of_firsts = F.sum(F.when(F.col("first"), F.col("size").cast("long") + width + 1)).over(of_hash)
     ordered = Window.partitionBy("h").orderBy("c", "size", "id", "row", "low")
     same = F.col("c").eqNullSafe(F.lag("c").over(ordered)) & F.col("size").eqNullSafe(F.lag("size").over(ordered))
     return (
         found.withColumn("first", ~same)
-        .withColumn("mixed", F.count_if("first").over(Window.partitionBy("h")) > 1)
+        .withColumn("mixed", F.count_if("first").over(of_hash) > 1)
+        .withColumn("large", bytes_of_firsts > SORT_BYTES)
         .where(~F.col("first") | F.col("mixed"))
-        .select("row", "low", (F.col("low") + F.col("size")).alias("high"), "first")
+        .select(
+            "row", "low", (F.col("low") + F.col("size")).alias("high"), "first",
+            F.when(F.col("first"), F.col("h")).alias("h"), (F.col("first") & F.col("large")).alias("large"),
+        )
     )
 
 
@@ -388,20 +406,24 @@ def repeated_spans(docs: DataFrame, width: int) -> DataFrame:
     found = _contexts(docs, width, words)
     hot = again.where(F.col("count") > CROWDED).select("h")
     crowded = not hot.isEmpty()
-    usual = stored(_settled(found.join(hot, "h", "left_anti") if crowded else found), "settled")
+    usual = stored(_settled(found.join(hot, "h", "left_anti") if crowded else found, width), "settled")
     spans = [usual]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
-    def to_compare(settled: DataFrame) -> DataFrame:
-        places = settled.where("first").select(_identity_column().alias("me"))
+    def to_compare(firsts: DataFrame) -> DataFrame:
+        places = firsts.select(_identity_column().alias("me"))
         return _context_bytes(docs, width, context.broadcast(_filter_words(places, "me")))
 
-    dealt = to_compare(usual).repartition(parts, "h").sortWithinPartitions("h")
+    firsts, large = usual.where("first AND NOT large"), usual.where("large")
+    dealt = to_compare(firsts).repartition(parts, "h").sortWithinPartitions("h")
     compared = [_sorted_repeats(dealt, width)]
+    counted = [] if large.isEmpty() else [large.select("row", "low")]
     if crowded:
         apart = stored(_settled_apart(found.join(hot, "h", "left_semi")), "settled-apart")
         spans.append(apart)
-        compared.append(_counted_repeats(to_compare(apart), width))
+        counted.append(apart.where("first").select("row", "low"))
+    if counted:
+        compared.append(_counted_repeats(to_compare(reduce(DataFrame.unionByName, counted)), width))
     copies = [x.where("NOT first").select("row", "low", "high") for x in spans]
     return stored(reduce(DataFrame.unionByName, [*copies, *compared]), "repeats")
 

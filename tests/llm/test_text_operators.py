@@ -317,6 +317,38 @@ def test_repeats_against_brute_force(spark, texts, monkeypatch, crowded):
     assert {r.doc_id: tuple(r)[1:] for r in out} == want
 
 
+def test_repeats_in_one_text_of_more_than_two_to_the_21_names():
+    pick = np.random.default_rng(3)
+    texts = [pick.integers(0, 256, 134, np.uint8).tobytes() for _ in range(25_000)]
+    # the last bytes have the highest ranks
+    for i in range(400):
+        shared = bytes([255]) + pick.integers(0, 256, 99, np.uint8).tobytes()
+        texts[i] = shared + texts[i][100:]
+        texts[20_000 + i] = texts[20_000 + i][:30] + shared + texts[20_000 + i][130:]
+    assert sum(map(len, texts)) > 3_200_000
+    ids = np.arange(len(texts))
+    row, low, high = suffix_dedup.repeats_in(texts, ids, ids, np.zeros(len(texts), np.int64), 100)
+    assert [*zip(row.tolist(), low.tolist(), high.tolist())] == [(20_000 + i, 30, 30) for i in range(400)]
+
+
+def test_wide_names_sort_like_narrow_ones(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "NARROW", 3)
+    test_suffix_array()
+
+
+def test_repeats_of_hashes_with_many_bytes_are_counted(spark, texts, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SORT_BYTES", 700)
+    counted, plain = [], suffix_dedup._counted_repeats
+
+    def seen(contexts, width):
+        counted.append(contexts.count())
+        return plain(contexts, width)
+
+    monkeypatch.setattr(suffix_dedup, "_counted_repeats", seen)
+    test_repeats_against_brute_force(spark, texts, monkeypatch, 100_000)
+    assert counted and counted[0] > 0
+
+
 # --- packing -------------------------------------------------------------
 
 def fewest(items, capacity):
