@@ -187,12 +187,9 @@ def _batches(texts: list[bytes]):
         yield begin, texts[begin:]
 
 
-def _bit(x: np.ndarray) -> np.ndarray:
-    return (x >> _U(64 - FILTER_BITS)).astype(np.int64)
-
-
 def _in_filter(words: np.ndarray, x: np.ndarray) -> np.ndarray:
-    bit = _bit(x)
+    bits = 6 + len(words).bit_length() - 1
+    bit = (x >> _U(64 - bits)).astype(np.int64)
     return (words[bit >> 6] >> (bit & 63).astype(np.uint64)) & _U(1) > 0
 
 
@@ -324,11 +321,14 @@ def repeats_in(texts: list[bytes], ids: np.ndarray, rows: np.ndarray, lows: np.n
 
 
 def _sorted_repeats(contexts: DataFrame, width: int) -> DataFrame:
-    """(row, low, high) from contexts that are dealt and sorted by their hash."""
+    """(row, low, high) from contexts that are dealt and sorted by their hash and place.
+
+    A context counts if a row of its place without bytes stands before it.
+    """
 
     def run(batches):
         held: list[tuple] = []
-        size, last = 0, None
+        size, last, wanted = 0, None, None
 
         def flush():
             ids, rows, lows = (np.array([c[i] for c in held], np.int64) for i in range(3))
@@ -338,6 +338,11 @@ def _sorted_repeats(contexts: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             hs, ids, rows, lows, texts = (c.to_pylist() for c in batch.columns)
             for h, *one in zip(hs, ids, rows, lows, texts):
+                if one[3] is None:
+                    wanted = (one[1], one[2])
+                    continue
+                if wanted != (one[1], one[2]):
+                    continue
                 if h != last and size > SORT_BYTES:
                     yield flush()
                     held, size = [], 0
@@ -415,15 +420,30 @@ def repeated_spans(docs: DataFrame, width: int) -> DataFrame:
         return _context_bytes(docs, width, context.broadcast(_filter_words(places, "me")))
 
     firsts, large = usual.where("first AND NOT large"), usual.where("large")
-    dealt = to_compare(firsts).repartition(parts, "h").sortWithinPartitions("h")
-    compared = [_sorted_repeats(dealt, width)]
-    counted = [] if large.isEmpty() else [large.select("row", "low")]
+    counted, apart_hashes = [], []
+    if not large.isEmpty():
+        counted.append(large.select("row", "low"))
+        apart_hashes.append(large.select("h").distinct())
     if crowded:
         apart = stored(_settled_apart(found.join(hot, "h", "left_semi")), "settled-apart")
         spans.append(apart)
         counted.append(apart.where("first").select("row", "low"))
+        apart_hashes.append(hot)
+    # the filter only saves work: hashes that are counted are taken out, and of the others only the places
+    # themselves are sorted, each announced by a row without bytes
+    contexts = to_compare(firsts)
+    if counted:
+        elsewhere = stored(reduce(DataFrame.unionByName, apart_hashes), "counted-hashes")
+        contexts = contexts.join(elsewhere, "h", "left_anti")
+        in_counted = to_compare(reduce(DataFrame.unionByName, counted)).join(elsewhere, "h", "left_semi")
+    announced = firsts.select(
+        "h", F.lit(None).cast("long").alias("id"), "row", "low", F.lit(None).cast("binary").alias("bytes")
+    )
+    in_order = ["h", "row", "low", F.col("bytes").isNotNull()]
+    dealt = contexts.unionByName(announced).repartition(parts, "h").sortWithinPartitions(*in_order)
+    compared = [_sorted_repeats(dealt, width)]
     if counted:
-        compared.append(_counted_repeats(to_compare(reduce(DataFrame.unionByName, counted)), width))
+        compared.append(_counted_repeats(in_counted, width))
     copies = [x.where("NOT first").select("row", "low", "high") for x in spans]
     return stored(reduce(DataFrame.unionByName, [*copies, *compared]), "repeats")
 

@@ -349,6 +349,31 @@ def test_repeats_of_hashes_with_many_bytes_are_counted(spark, texts, monkeypatch
     assert counted and counted[0] > 0
 
 
+def test_what_passes_the_filter_by_chance_is_not_sorted(spark, texts, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "FILTER_BITS", 8)
+    monkeypatch.setattr(suffix_dedup, "SORT_BYTES", 2000)
+    dealt, plain, crowded = [], suffix_dedup._sorted_repeats, 20
+
+    def seen(contexts, width):
+        dealt.extend(contexts.select("h", F.length("bytes").alias("n")).collect())
+        return plain(contexts, width)
+
+    monkeypatch.setattr(suffix_dedup, "_sorted_repeats", seen)
+    test_repeats_against_brute_force(spark, texts, monkeypatch, crowded)
+    anchors = Counter(r.h for r in dealt if r.n is not None)
+    assert anchors and max(anchors.values()) <= crowded
+
+
+def test_only_announced_contexts_are_sorted(spark):
+    text = bytes(range(150))
+    rows = [(h, None, row, 0, None) for h, row in ((1, 1), (1, 3), (2, 4))]
+    rows += [(h, row, row, 0, text) for h, row in ((1, 1), (1, 2), (1, 3), (2, 4), (2, 5), (3, 6))]
+    rows.sort(key=lambda r: (r[0], r[2], r[4] is not None))
+    frame = spark.createDataFrame(rows, "h long, id long, row long, low long, bytes binary").coalesce(1)
+    found = suffix_dedup._sorted_repeats(frame, 100).collect()
+    assert sorted(tuple(r) for r in found) == [(3, 0, 50), (4, 0, 50)]
+
+
 # --- packing -------------------------------------------------------------
 
 def fewest(items, capacity):
