@@ -7,12 +7,14 @@ otherwise.  A line belongs to the template of its leaf if it has all its fixed t
 template of its own.  A template that enough different documents hold, in different surroundings, is
 boilerplate, and its lines are dropped.  Copies of a document do not make its lines boilerplate: equal
 texts count once, and a line that mostly comes after the same line, or mostly before the same line, is
-part of a longer passage.
+part of a longer passage.  Such a passage is boilerplate itself if what stands before and after the
+whole run of frequent lines varies, over documents that consist of other lines by half or more.
+Blank lines are skipped when neighbours are looked at.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import free_name
@@ -44,21 +46,24 @@ def _leaf(masked: Column) -> Column:
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """(row, line, document, mask, leaf, before, after) of lines that are long enough for a template.
+    """(row, line, k, n, document, mask, leaf, before, after) of lines that are long enough for a template.
 
-    The neighbours of a line are masked too; the end of a document counts as one that no other has.
+    ``k`` is the place among the ``n`` lines that are not blank.  The neighbours of a line are the next
+    of these, masked too; the end of a document counts as one that no other has.
     """
-    masked = F.transform(F.split("t", "\n"), _masked)
+    masked = F.transform(F.split("t", "\n"), lambda line, i: F.struct(_masked(line).alias("masked"), i.alias("line")))
     return (
         rows.where("t IS NOT NULL")
         .select("row", F.xxhash64("t").alias("document"), masked.alias("m"))
-        .withColumn("h", F.transform("m", lambda m: F.xxhash64(m)))
-        .select("row", "document", "m", "h", F.posexplode("m").alias("line", "masked"))
+        .withColumn("m", F.filter("m", lambda m: m["masked"] != ""))
+        .withColumn("h", F.transform("m", lambda m: F.xxhash64(m["masked"])))
+        .select("row", "document", "h", F.size("m").alias("n"), F.posexplode("m").alias("k", "m"))
+        .select("row", "document", "h", "n", "k", "m.line", "m.masked")
         .where(_tokens(F.col("masked")) >= MIN_TOKENS)
         .select(
-            "row", "line", "document", F.xxhash64("masked").alias("mask"), _leaf(F.col("masked")).alias("leaf"),
-            F.coalesce(F.get("h", F.col("line") - 1), "document").alias("before"),
-            F.coalesce(F.get("h", F.col("line") + 1), "document").alias("after"),
+            "row", "line", "k", "n", "document", F.xxhash64("masked").alias("mask"), _leaf(F.col("masked")).alias("leaf"),
+            F.coalesce(F.get("h", F.col("k") - 1), "document").alias("before"),
+            F.coalesce(F.get("h", F.col("k") + 1), "document").alias("after"),
         )
     )
 
@@ -112,6 +117,19 @@ def _leaf_members(rows: DataFrame, lines: DataFrame, min_documents: int) -> Data
     )
 
 
+def _in_runs(frequent: DataFrame) -> DataFrame:
+    """``frequent`` with what stands before and after the run of its lines; NULL where too little else does."""
+    of_row = Window.partitionBy("row")
+    runs = frequent.withColumn("run", F.col("k") - F.row_number().over(of_row.orderBy("k")))
+    of_run = Window.partitionBy("row", "run")
+    other = 2 * F.count(F.lit(1)).over(of_row) <= F.col("n")
+    return runs.select(
+        "template", "document", "before", "after",
+        F.when(other, F.min_by("before", "k").over(of_run)).alias("run_before"),
+        F.when(other, F.max_by("after", "k").over(of_run)).alias("run_after"),
+    )
+
+
 def drop_template_lines(
     df: DataFrame, text: str, min_documents: int = MIN_DOCUMENTS, lines_col: str = "n_lines", dropped_col: str = "n_dropped"
 ) -> DataFrame:
@@ -138,16 +156,21 @@ def drop_template_lines(
     often = marked.groupBy("template").count().where(F.col("count") >= min_documents).select("template")
     # most templates have one line, so the finer counts are made on what is left
     frequent = stored(marked.join(often, "template", "left_semi"), "frequent-lines")
-    enough = F.greatest(F.lit(min_documents), MIN_SURROUNDINGS * F.col("documents"))
+    varied = lambda documents, surroundings: (F.col(documents) >= min_documents) & (
+        F.col(surroundings) >= F.greatest(F.lit(min_documents), MIN_SURROUNDINGS * F.col(documents))
+    )
     recurring = (
-        frequent.groupBy("template", "document")
-        .agg(F.min("before").alias("before"), F.min("after").alias("after"))
+        _in_runs(frequent)
+        .groupBy("template", "document")
+        .agg(*[F.min(c).alias(c) for c in ("before", "after", "run_before", "run_after")])
         .groupBy("template")
         .agg(
             F.count(F.lit(1)).alias("documents"),
             F.least(F.count_distinct("before"), F.count_distinct("after")).alias("surroundings"),
+            F.count("run_before").alias("run_documents"),
+            F.least(F.count_distinct("run_before"), F.count_distinct("run_after")).alias("run_surroundings"),
         )
-        .where((F.col("documents") >= min_documents) & (F.col("surroundings") >= enough))
+        .where(varied("documents", "surroundings") | varied("run_documents", "run_surroundings"))
         .select("template")
     )
     dropped = frequent.join(recurring, "template", "left_semi").groupBy("row").agg(F.collect_set("line").alias("dropped"))

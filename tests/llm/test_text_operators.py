@@ -460,6 +460,51 @@ def test_templates_are_dropped_and_copies_stay(spark):
             assert r.text == texts[r.doc_id] and r.n_dropped == 0
 
 
+def own_lines(pick, n, words=6):
+    """Lines that no other call gives."""
+    return [" ".join(f"{pick.choice('bcdfg')}{chr(97 + pick.randint(0, 25))}{pick.choice('aeiou')}{pick.getrandbits(40):x}".translate(
+        str.maketrans("0123456789", "ghijklmnop")) for _ in range(words)) for _ in range(n)]
+
+
+def plain_blocks(texts, least=10):
+    """Lines that go from texts without variable fields, by the rule for runs of frequent lines."""
+    held, rows = Counter(), [[line for line in t.split("\n") if line] for t in texts]
+    for lines in rows:
+        held.update(lines)
+    sides = {}
+    for text, lines in zip(texts, rows):
+        often = [held[line] >= least for line in lines]
+        if 2 * sum(often) > len(lines):
+            continue
+        for k, line in enumerate(lines):
+            if not often[k]:
+                continue
+            a = next((i for i in range(k, -1, -1) if not often[i]), None)
+            b = next((i for i in range(k, len(lines)) if not often[i]), None)
+            sides.setdefault(line, {})[text] = (text if a is None else lines[a], text if b is None else lines[b])
+    return {
+        line for line, found in sides.items()
+        if min(len({s[0] for s in found.values()}), len({s[1] for s in found.values()})) >= max(least, len(found) / 2)
+    }
+
+
+@pytest.mark.parametrize("gap", ["\n", "\n\n"])
+def test_blocks_of_lines_are_dropped(spark, gap):
+    pick = random.Random(9)
+    footer = ["all rights stay with their owners", "read the terms of this page", "thanks for your visit here"]
+    copied = own_lines(pick, 6)
+    texts = []
+    for i in range(30):
+        own = own_lines(pick, 8)
+        at = 8 if i % 2 else pick.randint(0, 8)
+        texts.append(gap.join(own[:at] + footer + own[at:]))
+    texts += [gap.join(copied + own_lines(pick, 1)) for _ in range(20)]
+    gone = plain_blocks(texts)
+    assert gone == set(footer)
+    for r in line_templates.drop_template_lines(docs_frame(spark, texts), "text").collect():
+        assert r.text == "\n".join(line for line in texts[r.doc_id].split("\n") if line not in gone)
+
+
 # --- personal data -------------------------------------------------------
 
 def luhn(digits):
