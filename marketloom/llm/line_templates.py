@@ -9,7 +9,8 @@ boilerplate, and its lines are dropped.  Copies of a document do not make its li
 texts count once, and a line that mostly comes after the same line, or mostly before the same line, is
 part of a longer passage.  Such a passage is boilerplate itself if what stands before and after the
 whole run of frequent lines varies, over documents that consist of other lines by half or more.
-Blank lines are skipped when neighbours are looked at.
+Blank lines are skipped when neighbours are looked at.  A long line is such a passage from two
+documents on.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from marketloom.sources.scratch import stored
 LEADING = 3  # tokens below the token count in the tree
 MIN_TOKENS = 3  # shorter lines have no template
 MIN_DOCUMENTS = 10
+LONG_TOKENS = 20  # tokens from which on a line is long
+LONG_DOCUMENTS = 2  # documents from which on a long line recurs
 MIN_SURROUNDINGS = 0.5  # different lines before, and after, per document that holds the line
 FIXED_SHARE = 0.6  # of the places of a template that must be fixed
 FILTER_BUCKETS = 1 << 18  # rows of the broadcast filter at most, whatever the corpus
@@ -46,7 +49,7 @@ def _leaf(masked: Column) -> Column:
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """(row, line, k, n, document, mask, leaf, before, after) of lines that are long enough for a template.
+    """(row, line, k, n, document, long, mask, leaf, before, after) of lines that are long enough for a template.
 
     ``k`` is the place among the ``n`` lines that are not blank.  The neighbours of a line are the next
     of these, masked too; the end of a document counts as one that no other has.
@@ -61,7 +64,8 @@ def _lines(rows: DataFrame) -> DataFrame:
         .select("row", "document", "h", "n", "k", "m.line", "m.masked")
         .where(_tokens(F.col("masked")) >= MIN_TOKENS)
         .select(
-            "row", "line", "k", "n", "document", F.xxhash64("masked").alias("mask"), _leaf(F.col("masked")).alias("leaf"),
+            "row", "line", "k", "n", "document", (_tokens(F.col("masked")) >= LONG_TOKENS).alias("long"),
+            F.xxhash64("masked").alias("mask"), _leaf(F.col("masked")).alias("leaf"),
             F.coalesce(F.get("h", F.col("k") - 1), "document").alias("before"),
             F.coalesce(F.get("h", F.col("k") + 1), "document").alias("after"),
         )
@@ -124,7 +128,7 @@ def _in_runs(frequent: DataFrame) -> DataFrame:
     of_run = Window.partitionBy("row", "run")
     other = 2 * F.count(F.lit(1)).over(of_row) <= F.col("n")
     return runs.select(
-        "template", "document", "before", "after",
+        "template", "long", "document", "before", "after",
         F.when(other, F.min_by("before", "k").over(of_run)).alias("run_before"),
         F.when(other, F.max_by("after", "k").over(of_run)).alias("run_after"),
     )
@@ -153,24 +157,26 @@ def drop_template_lines(
     members = stored(_leaf_members(rows, lines, min_documents), "members")
     marked = lines.drop("leaf").join(members, "mask", "left")
     marked = marked.withColumn("template", F.coalesce("template", "mask")).drop("mask")
-    often = marked.groupBy("template").count().where(F.col("count") >= min_documents).select("template")
+    least = F.when(F.col("long"), F.least(F.lit(min_documents), F.lit(LONG_DOCUMENTS))).otherwise(F.lit(min_documents))
+    # the lines of a template have one number of tokens
+    often = marked.groupBy("template", "long").count().where(F.col("count") >= least).select("template")
     # most templates have one line, so the finer counts are made on what is left
     frequent = stored(marked.join(often, "template", "left_semi"), "frequent-lines")
-    varied = lambda documents, surroundings: (F.col(documents) >= min_documents) & (
-        F.col(surroundings) >= F.greatest(F.lit(min_documents), MIN_SURROUNDINGS * F.col(documents))
+    varied = lambda documents, surroundings, least: (F.col(documents) >= least) & (
+        F.col(surroundings) >= F.greatest(least, MIN_SURROUNDINGS * F.col(documents))
     )
     recurring = (
         _in_runs(frequent)
-        .groupBy("template", "document")
+        .groupBy("template", "long", "document")
         .agg(*[F.min(c).alias(c) for c in ("before", "after", "run_before", "run_after")])
-        .groupBy("template")
+        .groupBy("template", "long")
         .agg(
             F.count(F.lit(1)).alias("documents"),
             F.least(F.count_distinct("before"), F.count_distinct("after")).alias("surroundings"),
             F.count("run_before").alias("run_documents"),
             F.least(F.count_distinct("run_before"), F.count_distinct("run_after")).alias("run_surroundings"),
         )
-        .where(varied("documents", "surroundings") | varied("run_documents", "run_surroundings"))
+        .where(varied("documents", "surroundings", F.lit(min_documents)) | varied("run_documents", "run_surroundings", least))
         .select("template")
     )
     dropped = frequent.join(recurring, "template", "left_semi").groupBy("row").agg(F.collect_set("line").alias("dropped"))

@@ -505,6 +505,20 @@ def test_blocks_of_lines_are_dropped(spark, gap):
         assert r.text == "\n".join(line for line in texts[r.doc_id].split("\n") if line not in gone)
 
 
+def test_long_lines_recur_from_two_documents_on(spark):
+    pick = random.Random(10)
+    long, short = own_lines(pick, 1, 60)[0], own_lines(pick, 1, 12)[0]
+    texts = []
+    for _ in range(2):
+        own = own_lines(pick, 8)
+        texts.append("\n".join(own[:3] + [long] + own[3:6] + [short] + own[6:]))
+    copied = own_lines(pick, 4, 60)
+    texts += ["\n".join([copied[0], edit, *copied[1:]]) for edit in own_lines(pick, 3)]
+    out = {r.doc_id: r.text for r in line_templates.drop_template_lines(docs_frame(spark, texts), "text").collect()}
+    for i, text in enumerate(texts):
+        assert out[i] == "\n".join(line for line in text.split("\n") if line != long)
+
+
 # --- personal data -------------------------------------------------------
 
 def luhn(digits):
