@@ -22,7 +22,7 @@ from marketloom.llm.common import free_name
 from marketloom.sources.scratch import stored
 
 LEADING = 3  # tokens below the token count in the tree
-MIN_TOKENS = 3  # shorter lines have no template
+MIN_TOKENS = 3  # shorter lines have a template if they hold a token that is no variable field
 MIN_DOCUMENTS = 10
 LONG_TOKENS = 20  # tokens from which on a line is long
 LONG_DOCUMENTS = 2  # documents from which on a long line recurs
@@ -44,12 +44,16 @@ def _tokens(masked: Column) -> Column:
     return F.length(masked) - F.length(F.replace(masked, F.lit(" "), F.lit(""))) + 1
 
 
+def _has_template(masked: Column) -> Column:
+    return (_tokens(masked) >= MIN_TOKENS) | ~masked.isin("", VARIABLE, f"{VARIABLE} {VARIABLE}")
+
+
 def _leaf(masked: Column) -> Column:
     return F.xxhash64(_tokens(masked), F.substring_index(masked, " ", LEADING))
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """(row, line, k, n, document, long, mask, leaf, before, after) of lines that are long enough for a template.
+    """(row, line, k, n, document, long, mask, leaf, before, after) of lines that have a template.
 
     ``k`` is the place among the ``n`` lines that are not blank.  The neighbours of a line are the next
     of these, masked too; the end of a document counts as one that no other has.
@@ -62,7 +66,7 @@ def _lines(rows: DataFrame) -> DataFrame:
         .withColumn("h", F.transform("m", lambda m: F.xxhash64(m["masked"])))
         .select("row", "document", "h", F.size("m").alias("n"), F.posexplode("m").alias("k", "m"))
         .select("row", "document", "h", "n", "k", "m.line", "m.masked")
-        .where(_tokens(F.col("masked")) >= MIN_TOKENS)
+        .where(_has_template(F.col("masked")))
         .select(
             "row", "line", "k", "n", "document", (_tokens(F.col("masked")) >= LONG_TOKENS).alias("long"),
             F.xxhash64("masked").alias("mask"), _leaf(F.col("masked")).alias("leaf"),

@@ -519,6 +519,17 @@ def test_long_lines_recur_from_two_documents_on(spark):
         assert out[i] == "\n".join(line for line in text.split("\n") if line != long)
 
 
+def test_short_lines_are_dropped(spark):
+    pick = random.Random(11)
+    texts = []
+    for i in range(20):
+        own = own_lines(pick, 8)
+        own[4:4] = ["Read more", own_lines(pick, 1)[0], "Advertisement", own_lines(pick, 1)[0], f"{i}", own_lines(pick, 1)[0], ""]
+        texts.append("\n".join(own))
+    for r in line_templates.drop_template_lines(docs_frame(spark, texts), "text").collect():
+        assert r.text == "\n".join(line for line in texts[r.doc_id].split("\n") if line not in ("Read more", "Advertisement"))
+
+
 # --- personal data -------------------------------------------------------
 
 def luhn(digits):
