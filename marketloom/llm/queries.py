@@ -12,6 +12,7 @@ from marketloom.llm import (
     chat_format,
     embedding_dedup,
     kd_sharding,
+    lexical_bags,
     line_templates,
     packing,
     pii,
@@ -19,6 +20,7 @@ from marketloom.llm import (
     sentencepiece_rounds,
     simhash,
     suffix_dedup,
+    topk_nra,
 )
 from marketloom.llm.common import utf8_bytes
 
@@ -110,6 +112,19 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.embedding_components(vectors, "vec_id", "embedding", cosine=0.95)
 
 
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    items = _table(spark, folder, "benchmark").select("item_id", "text")
+    return lexical_bags.search(docs, "doc_id", "text", items, "item_id", "text", k=20)
+
+
+def op13_topk_nra(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding")
+    asked = vectors.where(F.col("vec_id") % 50 == 0)
+    found = topk_nra.top_k(vectors, asked, "vec_id", "embedding", k=5, scale=256)
+    return found.withColumnRenamed("found_id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kd_sharding": op1_kd_sharding,
     "op2_sentencepiece": op2_sentencepiece,
@@ -121,6 +136,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_chat_format": op9_chat_format,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_topk_nra": op13_topk_nra,
 }
 
 ORACLE_SQL: dict[str, str] = {}
