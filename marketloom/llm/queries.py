@@ -15,6 +15,7 @@ from marketloom.llm import (
     lexical_bags,
     line_templates,
     packing,
+    phrases_era,
     pii,
     repetition,
     sentencepiece_rounds,
@@ -112,6 +113,11 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.embedding_components(vectors, "vec_id", "embedding", cosine=0.95)
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("text", "lang")
+    return phrases_era.collocations(docs, "text", "lang", least=30, top=2000)
+
+
 def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     items = _table(spark, folder, "benchmark").select("item_id", "text")
@@ -136,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_chat_format": op9_chat_format,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_phrases": op11_phrases,
     "op12_lexical_search": op12_lexical_search,
     "op13_topk_nra": op13_topk_nra,
 }
