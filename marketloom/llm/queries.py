@@ -24,6 +24,7 @@ from marketloom.llm import (
     topk_nra,
 )
 from marketloom.llm.common import utf8_bytes
+from marketloom.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -146,5 +147,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_lexical_search": op12_lexical_search,
     "op13_topk_nra": op13_topk_nra,
 }
-
-ORACLE_SQL: dict[str, str] = {}
