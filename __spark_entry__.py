@@ -6,9 +6,10 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -28,8 +29,10 @@ from marketloom.contracts import (  # noqa: E402
 )
 from marketloom.functions import clean, derive  # noqa: E402
 from marketloom.operators import quality  # noqa: E402
-from marketloom.plans import golden, marts, silver  # noqa: E402
+from marketloom.plans import consistency, golden, marts, reach, series, silver  # noqa: E402
+from marketloom.plans.refresh import full_refresh  # noqa: E402
 from marketloom.sources import landing  # noqa: E402
+from marketloom.sources.ledger import RunLedger, run_history  # noqa: E402
 from marketloom.sources.scratch import scratch_path, stored  # noqa: E402
 from marketloom.sources.tables import PathStore  # noqa: E402
 from retail_fixture import AS_OF, LOAD_TS, Bridge  # noqa: E402
@@ -225,6 +228,67 @@ def freshness(t: Layers) -> DataFrame:
     )
 
 
+# --- agreement, records and rejects --------------------------------------
+
+CHECKED = (*SILVER, *GOLDEN)
+
+
+def _agreeing(t: Layers) -> Mapping[str, DataFrame]:
+    """Silver, stored once, and golden tables read from there; the scorecard without its rank."""
+    t = Layers(t.spark, t.folder, store_silver=True)
+    return {name: t(CARDS if name == "agg_product_performance" else name) for name in CHECKED}
+
+
+def run_history_query(t: Layers) -> DataFrame:
+    """A run that fails, is repeated until it succeeds, and is asked for once more."""
+    spark, paths = t.spark, {table: t.source.land_csv(table) for table in BRONZE}
+    store = PathStore(spark, scratch_path(spark, "refreshed"))
+    ledger = RunLedger(spark, scratch_path(spark, "ledger"))
+    refresh = functools.partial(
+        full_refresh, spark, store=store, load_ts=LOAD_TS, run_ts=LOAD_TS, as_of=AS_OF, allow_nulls=("bronze",),
+        ledger=ledger, run_id="2001-W31",
+    )
+    try:
+        refresh({k: v for k, v in paths.items() if k != "orders"})
+    except FileNotFoundError:
+        pass
+    first = refresh(paths)
+    if refresh(paths) != first:
+        raise AssertionError("a run that has succeeded was repeated")
+    return run_history(ledger.read()).drop("error")
+
+
+def _split(t: Layers) -> list[tuple[str, DataFrame, DataFrame, DataFrame]]:
+    """(table, all records, good rows, rejects) of landing folders with malformed records among the others."""
+    out = []
+    for table in BRONZE:
+        path = t.source.land_csv(table)
+        t.source.land_malformed(table, path)
+        good, rejects, _ = landing.split_landing(t.spark, table, path, scratch_path(t.spark, "split"))
+        out.append((table, landing.read_landing(t.spark, table, path), good, rejects))
+    return out
+
+
+def bronze_rejects(t: Layers) -> DataFrame:
+    return _union(rejects.drop("source_file") for _, _, _, rejects in _split(t))
+
+
+def landing_reconciliation(t: Layers) -> DataFrame:
+    counted = [
+        quality.row_counts({"records": records, "good_rows": good, "rejected_rows": rejects})
+        .groupBy(F.lit(table).alias("landing_table"))
+        .pivot("table_name", ["records", "good_rows", "rejected_rows"])
+        .agg(F.sum("row_count"))
+        for table, records, good, rejects in _split(t)
+    ]
+    return _union(counted).withColumn("reconciled", F.expr("records = good_rows + rejected_rows"))
+
+
+def customers_by_period(t: Layers) -> DataFrame:
+    numbers = reach.dense_numbers(t(ORDERS), "customer_id", "customer_number")
+    return reach.customers_by_period(reach.daily_customer_bitmaps(t(ORDERS), numbers))
+
+
 def _columns(table: str, *names: str) -> Callable[[Layers], DataFrame]:
     return lambda t: t(table).select(*names)
 
@@ -356,6 +420,19 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "stock_by_category": _report(marts.stock_by_category, CARDS),
     "unreviewed_products": _report(marts.unreviewed_products, CARDS),
     "freshness": freshness,
+    "consistency_report": lambda t: consistency.consistency_report(_agreeing(t)),
+    "orphan_keys": lambda t: consistency.orphan_keys({name: t(name) for name in SILVER}),
+    "run_history": run_history_query,
+    "bronze_rejects": bronze_rejects,
+    "landing_reconciliation": landing_reconciliation,
+    "weekly_revenue_calendar": lambda t: series.weekly_revenue_calendar(t(SALES), AS_OF),
+    "weekly_activity_calendar": lambda t: series.weekly_activity_calendar(t(ORDERS), t(REVIEWS), AS_OF),
+    "order_value_calendar": _report(series.order_value_calendar, SALES),
+    "category_rating_calendar": _report(series.category_rating_calendar, REVIEWS, PRODUCTS),
+    "weekly_anomalies": lambda t: series.weekly_anomalies(t(SALES), t(ORDERS), t(REVIEWS), AS_OF),
+    "sentiment_trend": _report(series.sentiment_trend, REVIEWS, PRODUCTS),
+    "order_value_forecast": _report(series.order_value_forecast, SALES),
+    "customers_by_period": customers_by_period,
 }
 
 
@@ -369,7 +446,7 @@ def _runner(build: Callable[[Layers], DataFrame]) -> Callable[[SparkSession, str
 
 def entry(spark: SparkSession) -> DataFrame:
     """Top ten countries by revenue, from raw orders through all layers."""
-    return queries()["dash_top_countries"](spark, "/root/testdata/sf0.001")
+    return queries()["dash_top_countries"](spark, os.environ.get("ENTRY_SF_DIR", "/root/testdata/sf0.001"))
 
 
 def _corpus_queries() -> tuple[dict[str, Callable], dict[str, str]]:

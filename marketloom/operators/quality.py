@@ -14,6 +14,11 @@ def has_all(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
 
+def has_any(columns: Sequence[str]) -> Column:
+    """True where at least one listed column is present."""
+    return F.coalesce(*columns).isNotNull()
+
+
 def drop_all_null(df: DataFrame, value_columns: Sequence[str]) -> DataFrame:
     """Drop rows in which all value columns are NULL; audit columns do not count."""
     return df.dropna("all", subset=list(value_columns))

@@ -82,8 +82,11 @@ def product_scorecard(products: DataFrame, reviews: DataFrame) -> DataFrame:
 
 
 def rated_rank(scorecard: DataFrame) -> DataFrame:
-    """Global rank by average rating; unrated products come last."""
-    return rank_by_level(scorecard, "avg_rating", "rating_rank")
+    """Global rank by average rating; unrated products come last.
+
+    Ratings of one to five stars in two digits have at most 402 levels.
+    """
+    return rank_by_level(scorecard, "avg_rating", "rating_rank", few_levels=True)
 
 
 def with_attention(scorecard: DataFrame) -> DataFrame:

@@ -133,7 +133,7 @@ def kpi_week_vs_prev(orders: DataFrame, as_of: dt.date) -> DataFrame:
             F.count_if(chosen).alias(f"{name}_customers"),
             *[
                 F.sum(F.when(chosen, F.col(part))).alias(f"{name}_{part}")
-                for part in ("cents", "loose", "paid")
+                for part in exact.PARTS
             ],
         ]
     out = [F.lit(monday).alias("week_start")]

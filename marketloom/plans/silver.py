@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from marketloom.contracts import BRONZE, value_columns
 from marketloom.functions import clean, derive
 from marketloom.operators.dedup import latest_per_key
-from marketloom.operators.quality import drop_all_null, require
+from marketloom.operators.quality import has_all, has_any
 
 
 @dataclass(frozen=True)
@@ -109,19 +109,28 @@ def latest(bronze: DataFrame, table: str) -> DataFrame:
     return latest_per_key(bronze, spec.key, "ingestion_date", ties)
 
 
-def clean_columns(newest: DataFrame, table: str, run_ts: dt.datetime) -> DataFrame:
-    """All-null rule, required-field rule and column expressions, on deduplicated rows."""
+# Marks the rows that pass the quality rules, for a writer that counts the others.
+KEPT = "_kept"
+
+
+def _passes(table: str) -> Column:
+    """All-null rule and required-field rule, on deduplicated rows."""
     spec = REFINEMENTS[table]
-    filled = drop_all_null(newest, value_columns(BRONZE[spec.source]))
-    return require(filled, spec.required).select(
-        *[expression.alias(name) for name, expression in spec.columns().items()],
-        "ingestion_date",
-        F.lit(run_ts).cast("timestamp").alias("silver_ts"),
-    )
+    return has_any(value_columns(BRONZE[spec.source])) & has_all(spec.required)
+
+
+def _columns(table: str, run_ts: dt.datetime) -> list[Column | str]:
+    typed = [expression.alias(name) for name, expression in REFINEMENTS[table].columns().items()]
+    return [*typed, F.col("ingestion_date"), F.lit(run_ts).cast("timestamp").alias("silver_ts")]
+
+
+def flagged(newest: DataFrame, table: str, run_ts: dt.datetime) -> DataFrame:
+    """All deduplicated rows, typed, with the flag ``KEPT``."""
+    return newest.select(*_columns(table, run_ts), _passes(table).alias(KEPT))
 
 
 def refine(bronze: DataFrame, table: str, run_ts: dt.datetime) -> DataFrame:
-    return clean_columns(latest(bronze, table), table, run_ts)
+    return latest(bronze, table).where(_passes(table)).select(*_columns(table, run_ts))
 
 
 def dim_customers(bronze: DataFrame, run_ts: dt.datetime) -> DataFrame:

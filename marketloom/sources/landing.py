@@ -6,10 +6,11 @@ import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.contracts import BRONZE, file_schema
+from marketloom.functions.base import ladder
 
 # Fixed value: a quote inside a quoted field is doubled.
 CSV_OPTIONS = {"escape": '"'}
@@ -39,6 +40,48 @@ def read_landing(
     return spark.read.options(header=True, **options).schema(schema).csv(path)
 
 
+RAW, FILE, REJECTED = "_raw_record", "_source_file", "_rejected"
+
+# Why a record is not a row of its table.
+SHORT, SURPLUS, OPEN_QUOTE, MALFORMED = "too few fields", "too many fields", "quote not closed", "malformed"
+
+
+def reject_reason(raw: Column, fields: int) -> Column:
+    """What is wrong with a record that the reader could not fit into so many fields; NULL for NULL."""
+    bare = F.regexp_replace(raw, '"(?:[^"]|"")*+"', "")
+    commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
+    steps = [
+        (raw.isNull(), F.lit(None).cast("string")),
+        (F.contains(bare, F.lit('"')), OPEN_QUOTE),
+        (commas < fields - 1, SHORT),
+        (commas > fields - 1, SURPLUS),
+    ]
+    return ladder(steps, MALFORMED)
+
+
+def split_landing(spark: SparkSession, table: str, path: str, into: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Read a landing data set once and write good rows and rejected records apart, below ``into``.
+
+    Returns the good rows (columns of the file), the rejects (table_name, source_file, raw_record,
+    reason) and the counts of both; their sum is the number of records in the files.  A record is
+    rejected if it has too few or too many fields or a quote that is not closed; one job reads the
+    files and fills both folders.  What is in ``into`` is replaced.
+    """
+    names, watch = file_schema(table).names, Observation()
+    read = read_landing(spark, table, path, corrupt_column=RAW)
+    flagged = read.withColumn(FILE, F.col("_metadata.file_path")).withColumn(REJECTED, F.col(RAW).isNotNull())
+    counted = flagged.observe(watch, F.count_if(~F.col(REJECTED)).alias("good"), F.count_if(REJECTED).alias("rejected"))
+    counted.write.mode("overwrite").partitionBy(REJECTED).parquet(into)
+    schema = file_schema(table).add(RAW, "string").add(FILE, "string").add(REJECTED, "boolean")
+    split = spark.read.schema(schema).parquet(into)
+    rejects = split.where(REJECTED).select(
+        F.lit(table).alias("table_name"), F.col(FILE).alias("source_file"),
+        F.regexp_replace(RAW, r"[\r\n]+$", "").alias("raw_record"),
+        reject_reason(F.col(RAW), len(names)).alias("reason"),
+    )
+    return split.where(~F.col(REJECTED)).select(*names), rejects, watch.get
+
+
 def check_landing(spark: SparkSession, landing: Mapping[str, str]) -> None:
     """Fail before anything is written if a table has no landing path or no file there."""
     missing = [table for table in BRONZE if table not in landing]

@@ -4,14 +4,22 @@ An overwrite never touches what readers see: the new version is written beside t
 and then put in its place by one atomic step (a renamed pointer file, or a replaced view).  If the
 write or the check fails, the old rows stay.  The version before is kept until the next overwrite, so
 a reader that has begun can end.
+
+A table has one writer at a time: a second one is refused before it writes anything, so no writer
+removes what another is filling.  After a driver has died while writing, ``unlock`` frees the table.
+The rename is one step on HDFS and local disks; plain object stores have no such step, so there a
+table format with its own log, or ``CatalogStore``, is the right choice.
 """
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,18 +34,40 @@ class NullsInRequiredColumns(ValueError):
     """A table was not published because columns that are declared NOT NULL hold NULLs."""
 
 
-def _checked(df: DataFrame, layer: str, table: str) -> tuple[DataFrame, Observation | None]:
-    """The frame in the shape of its contract, with the NULLs of required columns counted while writing."""
+class ConcurrentWrite(RuntimeError):
+    """Another writer is at work on the table, or has died there; see ``unlock``."""
+
+
+@dataclass(frozen=True)
+class Published:
+    """What an overwrite has written: rows, rows left out by the ``keep`` flag, NULLs in required columns."""
+
+    rows: int
+    dropped: int
+    nulls: dict[str, int]
+
+
+def _prepared(df: DataFrame, layer: str, table: str, keep: str | None) -> tuple[DataFrame, Observation]:
+    """The frame as it is written, with its rows, dropped rows and NULLs counted in the writing stage.
+
+    Everything is observed after the last shuffle: an earlier stage that is run again after a loss
+    would count twice.  That is why rows to be dropped come along, flagged, until here.
+    """
     contract = LAYERS[layer][table]
-    frame, required = conform(df, contract), [f.name for f in contract if not f.nullable]
-    if not required:
-        return frame, None
+    shape = type(contract)(list(contract))
+    frame = conform(df, shape.add(keep, "boolean") if keep else shape)
+    frame = _monthly(frame, layer, table)
+    kept = F.coalesce(F.col(keep), F.lit(False)) if keep else F.lit(True)
+    nulls = [F.count_if(kept & F.col(f.name).isNull()).alias(f"null {f.name}") for f in contract if not f.nullable]
     watch = Observation()
-    return frame.observe(watch, *[F.count_if(F.col(c).isNull()).alias(c) for c in required]), watch
+    frame = frame.observe(watch, F.count(F.lit(1)).alias("rows"), F.count_if(kept).alias("kept"), *nulls)
+    return (frame.where(kept).drop(keep) if keep else frame), watch
 
 
-def _violations(watch: Observation | None) -> dict[str, int]:
-    return {column: n for column, n in watch.get.items() if n} if watch else {}
+def _published(watch: Observation) -> Published:
+    seen = watch.get
+    nulls = {name.removeprefix("null "): n for name, n in seen.items() if name.startswith("null ") and n}
+    return Published(seen["kept"], seen["rows"] - seen["kept"], nulls)
 
 
 def _refuse(layer: str, table: str, found: dict[str, int]) -> None:
@@ -117,24 +147,47 @@ class PathStore:
             frame = _months_between(frame, since, until)
         return frame.select(*contract.names)
 
-    def overwrite(self, layer: str, table: str, df: DataFrame, allow_nulls: bool = False) -> dict[str, int]:
-        """Publish a new version; returns the NULLs found in required columns (none, unless allowed)."""
+    def overwrite(
+        self, layer: str, table: str, df: DataFrame, allow_nulls: bool = False, keep: str | None = None
+    ) -> Published:
+        """Publish a new version; with ``keep``, a flag column, only the rows that it marks."""
         folder, version = self._folder(layer, table), f"v-{uuid.uuid4().hex}"
-        before = self._current(folder)
-        frame, watch = _checked(df, layer, table)
-        monthly = (layer, table) in MONTHLY
-        writer = _monthly(frame, layer, table).write.format(self.format)
+        frame, watch = _prepared(df, layer, table, keep)
+        writer = frame.write.format(self.format)
+        writer = writer.partitionBy(MONTH) if (layer, table) in MONTHLY else writer
+        with self._claimed(layer, table):
+            before = self._current(folder)
+            try:
+                writer.save(f"{folder}/{version}")
+                done = _published(watch)
+                if done.nulls and not allow_nulls:
+                    _refuse(layer, table, done.nulls)
+                self._switch(folder, version)
+            except BaseException:
+                self._drop(folder, keep={before})
+                raise
+            self._drop(folder, keep={before, version})
+        return done
+
+    @contextlib.contextmanager
+    def _claimed(self, layer: str, table: str):
+        """Hold the file that marks the table's only writer."""
+        lock, system, _ = self._hadoop(f"{self._folder(layer, table)}/_writer")
+        try:
+            system.create(lock, False).close()
+        except Py4JJavaError as refused:
+            if not system.exists(lock):
+                raise
+            raise ConcurrentWrite(f"{layer}.{table} in {self.root} is being written") from refused
         try:
-            (writer.partitionBy(MONTH) if monthly else writer).save(f"{folder}/{version}")
-            found = _violations(watch)
-            if found and not allow_nulls:
-                _refuse(layer, table, found)
-            self._switch(folder, version)
-        except BaseException:
-            self._drop(folder, keep={before})
-            raise
-        self._drop(folder, keep={before, version})
-        return found
+            yield
+        finally:
+            system.delete(lock, False)
+
+    def unlock(self, layer: str, table: str) -> None:
+        """Free a table whose writer has died; call it only when that is certain."""
+        lock, system, _ = self._hadoop(f"{self._folder(layer, table)}/_writer")
+        system.delete(lock, False)
 
     def _drop(self, folder: str, keep: set[str | None]) -> None:
         where, system, package = self._hadoop(folder)
@@ -175,28 +228,51 @@ class CatalogStore:
         frame = self.spark.table(f"{self.prefix}{layer}.{self._current(layer, table)}")
         return _months_between(frame, since, until).select(*contract.names)
 
-    def overwrite(self, layer: str, table: str, df: DataFrame, allow_nulls: bool = False) -> dict[str, int]:
+    def overwrite(
+        self, layer: str, table: str, df: DataFrame, allow_nulls: bool = False, keep: str | None = None
+    ) -> Published:
+        """As with ``PathStore``."""
         name, version = self._name(layer, table), f"{table}__v{uuid.uuid4().hex}"
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer}")
-        before = self._current(layer, table)
-        frame, watch = _checked(df, layer, table)
-        writer = _monthly(frame, layer, table).write.format(self.format)
+        frame, watch = _prepared(df, layer, table, keep)
+        writer = frame.write.format(self.format)
+        writer = writer.partitionBy(MONTH) if (layer, table) in MONTHLY else writer
+        with self._claimed(layer, table):
+            before = self._current(layer, table)
+            try:
+                writer.saveAsTable(f"{self.prefix}{layer}.{version}")
+                done = _published(watch)
+                if done.nulls and not allow_nulls:
+                    _refuse(layer, table, done.nulls)
+                columns = ", ".join(f"`{c}`" for c in LAYERS[layer][table].names)
+                self.spark.sql(
+                    f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('version' = '{version}') "
+                    f"AS SELECT {columns} FROM {self.prefix}{layer}.{version}"
+                )
+            except BaseException:
+                self._drop(layer, table, keep={before})
+                raise
+            self._drop(layer, table, keep={before, version})
+        return done
+
+    @contextlib.contextmanager
+    def _claimed(self, layer: str, table: str):
+        """Hold the empty table that marks the only writer; the catalog creates it for one of them."""
+        lock = f"{self._name(layer, table)}__writer"
         try:
-            writer = writer.partitionBy(MONTH) if (layer, table) in MONTHLY else writer
-            writer.saveAsTable(f"{self.prefix}{layer}.{version}")
-            found = _violations(watch)
-            if found and not allow_nulls:
-                _refuse(layer, table, found)
-            columns = ", ".join(f"`{c}`" for c in LAYERS[layer][table].names)
-            self.spark.sql(
-                f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('version' = '{version}') "
-                f"AS SELECT {columns} FROM {self.prefix}{layer}.{version}"
-            )
-        except BaseException:
-            self._drop(layer, table, keep={before})
-            raise
-        self._drop(layer, table, keep={before, version})
-        return found
+            self.spark.sql(f"CREATE TABLE {lock} (held boolean) USING parquet")
+        except AnalysisException as refused:
+            if refused.getCondition() != "TABLE_OR_VIEW_ALREADY_EXISTS":
+                raise
+            raise ConcurrentWrite(f"{self._name(layer, table)} is being written") from refused
+        try:
+            yield
+        finally:
+            self.unlock(layer, table)
+
+    def unlock(self, layer: str, table: str) -> None:
+        """Free a table whose writer has died; call it only when that is certain."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._name(layer, table)}__writer")
 
     def _drop(self, layer: str, table: str, keep: set[str | None]) -> None:
         for version in self._versions(layer, table):

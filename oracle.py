@@ -268,6 +268,69 @@ CTE = {
         UNION ALL
         SELECT 'Negative', category, CAST(sum(negative_count) AS BIGINT)
         FROM g_agg_review_sentiment GROUP BY category""",
+    # calendars: every period between the first and the last is generated and joined
+    "country_weeks": f"""
+        SELECT shipping_country, CAST(date_trunc('week', order_date_dt) AS DATE) AS week_start,
+               CAST(sum(total_orders) AS BIGINT) AS orders, coalesce({money_sum('gross_revenue')}, 0) AS gross_revenue
+        FROM g_agg_sales_summary WHERE order_date_dt IS NOT NULL GROUP BY 1, 2""",
+    "country_calendar": """
+        SELECT s.shipping_country, s.week_start, coalesce(w.orders, 0) AS orders,
+               coalesce(w.gross_revenue, 0) AS gross_revenue, w.week_start IS NULL AS is_filled
+        FROM (SELECT shipping_country, CAST(unnest(generate_series(min(week_start),
+                     greatest(max(week_start), DATE '2001-07-30'), INTERVAL 7 DAY)) AS DATE) AS week_start
+              FROM country_weeks GROUP BY shipping_country) s
+        LEFT JOIN country_weeks w
+          ON w.shipping_country IS NOT DISTINCT FROM s.shipping_country AND w.week_start = s.week_start""",
+    "activity_weeks": """
+        SELECT week_start, CAST(sum(o) AS BIGINT) AS order_count, CAST(sum(r) AS BIGINT) AS review_count,
+               CAST(sum(v) AS BIGINT) AS valid_orders
+        FROM (SELECT CAST(date_trunc('week', order_date) AS DATE) AS week_start, 1 AS o, 0 AS r,
+                     CASE WHEN is_valid_payment THEN 1 ELSE 0 END AS v
+              FROM s_fact_orders WHERE order_date IS NOT NULL
+              UNION ALL
+              SELECT CAST(date_trunc('week', review_date) AS DATE), 0, 1, 0
+              FROM s_fact_reviews WHERE review_date IS NOT NULL) GROUP BY 1""",
+    "activity_calendar": f"""
+        SELECT s.week_start, coalesce(order_count, 0) AS order_count, coalesce(review_count, 0) AS review_count,
+               coalesce(valid_orders, 0) AS valid_orders,
+               {ratio('coalesce(valid_orders, 0)', 'coalesce(order_count, 0)', 4)} AS valid_rate,
+               w.week_start IS NULL AS is_filled
+        FROM (SELECT CAST(unnest(generate_series(min(week_start), greatest(max(week_start), DATE '2001-07-30'),
+                     INTERVAL 7 DAY)) AS DATE) AS week_start FROM activity_weeks) s
+        LEFT JOIN activity_weeks w ON w.week_start = s.week_start""",
+    "metric_rows": """
+        SELECT *, row_number() OVER (PARTITION BY metric ORDER BY week_start) AS n
+        FROM (SELECT 'order_count' AS metric, week_start, CAST(order_count AS DOUBLE) AS value FROM activity_calendar
+              UNION ALL SELECT 'review_count', week_start, CAST(review_count AS DOUBLE) FROM activity_calendar
+              UNION ALL SELECT 'valid_rate', week_start, valid_rate FROM activity_calendar
+              UNION ALL
+              SELECT 'gross_revenue', week_start, round(sum(gross_revenue) * 100) / 100 FROM country_calendar GROUP BY 2)
+        WHERE week_start <= DATE '2001-07-23'""",
+    "daily_values": f"""
+        SELECT s.order_date_dt, coalesce(total_order_value, 0) AS total_order_value, d.order_date_dt IS NULL AS is_filled,
+               row_number() OVER (ORDER BY s.order_date_dt) AS n
+        FROM (SELECT CAST(unnest(generate_series(min(order_date_dt), max(order_date_dt), INTERVAL 1 DAY)) AS DATE)
+                     AS order_date_dt FROM g_agg_sales_summary) s
+        LEFT JOIN (SELECT order_date_dt, {money_sum('avg_order_value')} AS total_order_value
+                   FROM g_agg_sales_summary GROUP BY 1) d ON d.order_date_dt = s.order_date_dt""",
+    "smoothed": """
+        SELECT n, total_order_value AS level, CAST(0 AS DOUBLE) AS trend FROM daily_values WHERE n = 1
+        UNION ALL
+        SELECT d.n, CAST(0.3 AS DOUBLE) * d.total_order_value + CAST(0.7 AS DOUBLE) * (s.level + s.trend),
+               CAST(0.1 AS DOUBLE) * ((CAST(0.3 AS DOUBLE) * d.total_order_value
+                                       + CAST(0.7 AS DOUBLE) * (s.level + s.trend)) - s.level)
+               + CAST(0.9 AS DOUBLE) * s.trend
+        FROM smoothed s JOIN daily_values d ON d.n = s.n + 1""",
+    "category_months": """
+        SELECT category, CAST(date_trunc('month', review_date) AS DATE) AS month_start,
+               coalesce(sum(rating), 0) AS stars, count(rating) AS rated
+        FROM enriched WHERE review_date IS NOT NULL GROUP BY 1, 2""",
+    "category_calendar": f"""
+        SELECT s.category, s.month_start, coalesce(rated, 0) AS rated,
+               {ratio('coalesce(stars, 0)', 'coalesce(rated, 0)', 2)} AS avg_rating, m.month_start IS NULL AS is_filled
+        FROM (SELECT category, CAST(unnest(generate_series(min(month_start), max(month_start), INTERVAL 1 MONTH)) AS DATE)
+                     AS month_start FROM category_months GROUP BY category) s
+        LEFT JOIN category_months m ON m.category IS NOT DISTINCT FROM s.category AND m.month_start = s.month_start""",
 }
 
 BRONZE = ("customers", "orders", "products", "product_reviews")
@@ -509,6 +572,193 @@ def _split(columns: str, overall: str, group: str) -> str:
     )
 
 
+def _check(name: str, left: str, right: str, keys: str, left_sql: str, right_sql: str, subset: bool = False) -> str:
+    """One line of the consistency report, from two derived tables (keys, figure)."""
+    same = " AND ".join(f"l.{k} IS NOT DISTINCT FROM r.{k}" for k in keys.split(", "))
+    differing = "0" if subset else n_if("l.here AND r.here AND l.figure IS DISTINCT FROM r.figure")
+    right_total = "sum(l.figure) FILTER (WHERE r.here)" if subset else "sum(r.figure)"
+    wrong = "only_left" if subset else "only_left + only_right + differing"
+    return f"""
+        SELECT '{name}' AS check_name, '{left}' AS left_table, '{right}' AS right_table, '{keys}' AS key_name, *,
+               {wrong} = 0 AS consistent
+        FROM (SELECT count(l.here) AS left_keys, count(r.here) AS right_keys,
+                     {n_if('l.here AND r.here IS NULL')} AS only_left, {n_if('l.here IS NULL AND r.here')} AS only_right,
+                     CAST({differing} AS BIGINT) AS differing,
+                     CAST(coalesce(sum(l.figure), 0) AS BIGINT) AS left_total,
+                     CAST(coalesce({right_total}, 0) AS BIGINT) AS right_total
+              FROM (SELECT *, TRUE AS here FROM ({left_sql})) l
+              FULL OUTER JOIN (SELECT *, TRUE AS here FROM ({right_sql})) r ON {same})"""
+
+
+def _per_key(table: str, key: str, where: str = "TRUE") -> str:
+    return f"SELECT {key}, count(*) AS figure FROM {table} WHERE {where} GROUP BY ALL"
+
+
+def _published(table: str, keys: str, figure: str) -> str:
+    return f"SELECT {keys}, {figure} AS figure FROM {table} WHERE {figure} > 0"
+
+
+REFERENCES = (
+    ("fact_orders", "customer_id", "dim_customers"),
+    ("fact_reviews", "customer_id", "dim_customers"),
+    ("fact_reviews", "product_id", "dim_products"),
+)
+_DAY = "order_date_dt, shipping_country"
+_DATED = "(SELECT * RENAME (order_date AS order_date_dt) FROM s_fact_orders)"
+_MONTHLY = "(SELECT *, strftime(review_date, '%Y-%m') AS review_month FROM s_fact_reviews)"
+_CUSTOMERS, _PRODUCTS = "SELECT customer_id FROM s_dim_customers", "SELECT product_id FROM s_dim_products"
+
+
+def _consistency() -> str:
+    lines = [
+        _check("orphans", f, d, k, _per_key(f"s_{f}", k), _per_key(f"s_{d}", k), True) for f, k, d in REFERENCES
+    ]
+    lines += [
+        _check("orders", "agg_sales_summary", "fact_orders", _DAY,
+               _published("g_agg_sales_summary", _DAY, "total_orders"), _per_key(_DATED, _DAY)),
+        _check("revenue_cents", "agg_sales_summary", "fact_orders", _DAY,
+               f"SELECT {_DAY}, {cents('gross_revenue')} AS figure FROM g_agg_sales_summary",
+               f"SELECT {_DAY}, CAST(sum({cents('total_amount')}) AS BIGINT) AS figure FROM {_DATED} GROUP BY ALL"),
+        _check("orders", "agg_customer_360", "fact_orders", "customer_id",
+               _published("g_agg_customer_360", "customer_id", "total_orders"),
+               _per_key("s_fact_orders", "customer_id", f"customer_id IN ({_CUSTOMERS})")),
+        _check("reviews", "agg_customer_360", "fact_reviews", "customer_id",
+               _published("g_agg_customer_360", "customer_id", "reviews_written"),
+               _per_key("s_fact_reviews", "customer_id", f"customer_id IN ({_CUSTOMERS})")),
+        _check("reviews", "agg_product_performance", "fact_reviews", "product_id",
+               _published("g_agg_product_performance", "product_id", "review_count"),
+               _per_key("s_fact_reviews", "product_id", f"product_id IN ({_PRODUCTS})")),
+        _check("reviews", "agg_review_sentiment", "fact_reviews", "review_month, product_id",
+               _published("g_agg_review_sentiment", "review_month, product_id", "total_reviews"),
+               _per_key(_MONTHLY, "review_month, product_id")),
+        _check("rows", "agg_customer_360", "dim_customers", "customer_id",
+               _per_key("g_agg_customer_360", "customer_id"), _per_key("s_dim_customers", "customer_id")),
+        _check("rows", "agg_product_performance", "dim_products", "product_id",
+               _per_key("g_agg_product_performance", "product_id"), _per_key("s_dim_products", "product_id")),
+    ]
+    return _union(lines)
+
+
+def _orphan_keys() -> str:
+    return _union(
+        f"""SELECT '{f}' AS table_name, '{d}' AS reference_table, '{k}' AS key_name, {k} AS key_value,
+                   count(*) AS orphan_rows
+            FROM s_{f} f WHERE NOT EXISTS (SELECT 1 FROM s_{d} d WHERE d.{k} = f.{k}) GROUP BY {k}"""
+        for f, k, d in REFERENCES
+    )
+
+
+def _history() -> str:
+    parts = []
+    raw = {"dim_customers": "customers", "dim_products": "products", "fact_orders": "orders", "fact_reviews": "product_reviews"}
+    for name, cte in ALL_TABLES:
+        table = name.split(".")[1]
+        dropped = (
+            f"(SELECT count(*) FROM l_{raw[table]}) - (SELECT count(*) FROM {cte})" if table in raw else "NULL"
+        )
+        nulls = " + ".join(
+            f"(SELECT count(*) FROM {cte} WHERE {column} IS NULL)" for column, _, required in DECLARED[name] if required
+        )
+        parts.append(
+            f"""SELECT '2001-W31' AS run_id, 2 AS attempts, 'succeeded' AS status, '{name}' AS table_name,
+                       (SELECT count(*) FROM {cte}) AS rows_written, CAST({dropped} AS BIGINT) AS rows_dropped,
+                       CAST(NULL AS BIGINT) AS rows_rejected, CAST({nulls or '0'} AS BIGINT) AS nulls_published,
+                       CAST(NULL AS BIGINT) AS previous_rows, CAST(NULL AS BIGINT) AS rows_change"""
+        )
+    return _union(parts)
+
+
+def _field(x: str) -> str:
+    """A value as a landing file has it."""
+    return (
+        f"CASE WHEN {x} IS NULL THEN '' WHEN regexp_matches({x}, '[\",\n]') "
+        f"THEN '\"' || replace({x}, '\"', '\"\"') || '\"' ELSE {x} END"
+    )
+
+
+def _malformed(table: str) -> str:
+    """Rows that are landed once more with too few and with too many fields."""
+    key, every = FILES[table].split()[0], 500 if table in ("orders", "product_reviews") else 50
+    return f"b_{table} WHERE TRY_CAST(split_part({key}, '-', 1) AS BIGINT) % {every} = 0"
+
+
+def _rejects() -> str:
+    parts = []
+    for table in BRONZE:
+        fields = [_field(c) for c in FILES[table].split()]
+        for reason, values in (("too few fields", fields[:2]), ("too many fields", [*fields, "'more'"])):
+            line = " || ',' || ".join(f"({v})" for v in values)
+            parts.append(
+                f"SELECT '{table}' AS table_name, {line} AS raw_record, '{reason}' AS reason FROM {_malformed(table)}"
+            )
+    return _union(parts)
+
+
+def _reconciled() -> str:
+    return _union(
+        f"""SELECT '{t}' AS landing_table, good + 2 * bad AS records, good AS good_rows, 2 * bad AS rejected_rows,
+                   TRUE AS reconciled
+            FROM (SELECT (SELECT count(*) FROM b_{t}) AS good, (SELECT count(*) FROM {_malformed(t)}) AS bad)"""
+        for t in BRONZE
+    )
+
+
+WEEK = "DATE '2001-07-30'"
+_CHANGE = "round(gross_revenue * 100) - round(prev_revenue * 100)"
+
+
+def _anomalies() -> str:
+    """The deviation of each week from the eight rows before it, by a self join."""
+    middle = "(list_sort({0})[(len({0}) + 1) // 2] + list_sort({0})[(len({0}) + 2) // 2]) / 2"
+    score = "round((value - trailing_median) / (CAST(1.4826 AS DOUBLE) * nullif(trailing_mad, 0)) * 10000) / 10000"
+    judged = "value IS NOT NULL AND len(before) >= 4"
+    return f"""
+        SELECT metric, week_start, value, trailing_median, trailing_mad,
+               CASE WHEN {judged} THEN {score} END AS score,
+               CASE WHEN {judged} AND trailing_mad = 0 THEN value <> trailing_median
+                    WHEN {judged} THEN abs({score}) > 3.5 END AS is_anomaly
+        FROM (SELECT *, {middle.format('distances')} AS trailing_mad
+              FROM (SELECT *, list_transform(before, lambda y: abs(y - trailing_median)) AS distances
+                    FROM (SELECT *, {middle.format('before')} AS trailing_median
+                          FROM (SELECT a.metric, a.week_start, a.value,
+                                       coalesce(list(b.value) FILTER (WHERE b.value IS NOT NULL), []) AS before
+                                FROM metric_rows a LEFT JOIN metric_rows b
+                                  ON a.metric = b.metric AND b.n BETWEEN a.n - 8 AND a.n - 1
+                                GROUP BY a.metric, a.week_start, a.value))))"""
+
+
+def _trend(level: str, key: str, table: str) -> str:
+    slope = (
+        "round(CAST(n * ty - t * y AS DOUBLE) / nullif(CAST(n * tt - t * t AS DOUBLE), 0) * 1000000) / 1000000"
+    )
+    return f"""
+        SELECT '{level}' AS level, key_value, rated_reviews, first_month, last_month, slope,
+               CASE WHEN slope >= 0.01 THEN 'improving' WHEN slope <= -0.01 THEN 'declining'
+                    WHEN slope IS NOT NULL THEN 'steady' END AS direction
+        FROM (SELECT {key} AS key_value, CAST(n AS BIGINT) AS rated_reviews, first_month, last_month, {slope} AS slope
+              FROM (SELECT {key}, CAST(count(*) AS HUGEINT) AS n, CAST(sum(m) AS HUGEINT) AS t, sum(rating) AS y,
+                           CAST(sum(m * m) AS HUGEINT) AS tt, CAST(sum(m * rating) AS HUGEINT) AS ty,
+                           strftime(min(review_date), '%Y-%m') AS first_month,
+                           strftime(max(review_date), '%Y-%m') AS last_month
+                    FROM (SELECT *, year(review_date) * 12 + month(review_date) AS m FROM {table}
+                          WHERE rating IS NOT NULL AND review_date IS NOT NULL) GROUP BY {key}))"""
+
+
+FORECAST = """
+    SELECT step, last_day + step AS order_date_dt, round((level + step * trend) * 100) / 100 AS forecast
+    FROM (SELECT level, trend, (SELECT max(order_date_dt) FROM daily_values) AS last_day
+          FROM smoothed ORDER BY n DESC LIMIT 1), (SELECT CAST(unnest(range(1, 15)) AS INTEGER) AS step)"""
+
+DISTINCT_CUSTOMERS = _union(
+    f"""SELECT '{kind}' AS period_kind, {start} AS period_start, count(DISTINCT customer_id) AS customers
+        FROM s_fact_orders WHERE order_date IS NOT NULL GROUP BY 2"""
+    for kind, start in (
+        ("day", "order_date"),
+        ("week", "CAST(date_trunc('week', order_date) AS DATE)"),
+        ("month", "CAST(date_trunc('month', order_date) AS DATE)"),
+    )
+)
+
 ESTIMATED = "price * review_count"
 IS_CHAMPION = "customer_segment = 'Champions'"
 LAST_RUN = "strftime(max(silver_ts), '%Y-%m-%d %H:%M:%S')"
@@ -639,6 +889,21 @@ FINAL = {
     "activation_rate": f"SELECT count(*) AS total_customers, {n_if('total_orders >= 1')} AS active_customers, {ratio(n_if('total_orders >= 1') + ' * 100', 'count(*)', 1)} AS activation_pct FROM g_agg_customer_360",
     "stock_by_category": f"SELECT category, {n_if('in_stock')} AS in_stock_products, {n_if('NOT in_stock')} AS out_of_stock_products FROM g_agg_product_performance GROUP BY 1",
     "unreviewed_products": "SELECT product_id, product_name, category, brand, review_count FROM g_agg_product_performance WHERE avg_rating IS NULL",
+    # agreement, records, rejects
+    "consistency_report": _consistency(),
+    "orphan_keys": _orphan_keys(),
+    "run_history": _history(),
+    "bronze_rejects": _rejects(),
+    "landing_reconciliation": _reconciled(),
+    # gapless series
+    "weekly_revenue_calendar": f"SELECT shipping_country, week_start, orders, gross_revenue, prev_revenue, ({_CHANGE}) / 100 AS revenue_change, {ratio(f'({_CHANGE}) * 100', 'round(prev_revenue * 100)', 1)} AS change_pct, is_filled FROM (SELECT *, lag(gross_revenue) OVER (PARTITION BY shipping_country ORDER BY week_start) AS prev_revenue FROM country_calendar)",
+    "weekly_activity_calendar": "SELECT * FROM activity_calendar",
+    "order_value_calendar": "SELECT order_date_dt, total_order_value, is_filled FROM daily_values",
+    "category_rating_calendar": "SELECT *, round(avg_rating - prev_avg_rating, 2) AS rating_change FROM (SELECT *, lag(avg_rating) OVER (PARTITION BY category ORDER BY month_start) AS prev_avg_rating FROM category_calendar)",
+    "weekly_anomalies": _anomalies(),
+    "sentiment_trend": _union([_trend("product", "product_id", "enriched"), _trend("category", "category", "enriched")]),
+    "order_value_forecast": FORECAST,
+    "customers_by_period": DISTINCT_CUSTOMERS,
     "freshness": _union(f"SELECT '{t}' AS table_name, {LAST_RUN} AS last_run FROM s_{t}" for t in SILVER),
 }
 
@@ -646,7 +911,7 @@ FINAL = {
 def _needed(text: str, found: list[str]) -> list[str]:
     """Names of the common table expressions that ``text`` uses, dependencies first."""
     for name in CTE:
-        if name not in found and re.search(rf"\b{name}\b", text):
+        if name not in found and text is not CTE[name] and re.search(rf"\b{name}\b", text):
             _needed(CTE[name], found)
             if name not in found:
                 found.append(name)
@@ -655,7 +920,9 @@ def _needed(text: str, found: list[str]) -> list[str]:
 
 def sql(key: str) -> str:
     parts = [f"{name} AS ({CTE[name]})" for name in _needed(FINAL[key], [])]
-    return f"WITH {', '.join(parts)}\n{FINAL[key]}"
+    if key == "run_history":  # rows that were landed as files share one load time
+        parts = [part.replace("ORDER BY ingestion_date DESC NULLS LAST, ", "ORDER BY ") for part in parts]
+    return f"WITH RECURSIVE {', '.join(parts)}\n{FINAL[key]}"
 
 
 def all_sql() -> dict[str, str]:

@@ -168,3 +168,18 @@ class Bridge:
             .csv(path)
         )
         return path
+
+    def land_malformed(self, table: str, path: str) -> None:
+        """Add records that do not fit the table to its landing folder: two fields only, or one too many.
+
+        They are made of the rows of every 50th key (orders and reviews: of every 500th order).
+        """
+        names = file_schema(table).names
+        raw = self.bronze(table).select(*names)
+        number = F.try_to_number(F.split(names[0], "-")[0], F.lit("9999999999"))
+        every = 500 if table in ("orders", "product_reviews") else 50
+        chosen = raw.where(number % every == 0)
+        surplus = chosen.withColumn("surplus", F.lit("more"))
+        for frame in (chosen.select(*names[:2]), surplus):
+            writer = frame.write.mode("append").options(header=True, **CSV_OPTIONS)
+            writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)

@@ -194,7 +194,7 @@ def test_null_keys_are_not_published(spark, tmp_path):
         with pytest.raises(NullsInRequiredColumns, match="customer_id"):
             store.overwrite("bronze", "customers", bad)
         assert [r.name for r in store.read("bronze", "customers").collect()] == ["a"]
-        assert store.overwrite("bronze", "customers", bad, allow_nulls=True) == {"customer_id": 1}
+        assert store.overwrite("bronze", "customers", bad, allow_nulls=True).nulls == {"customer_id": 1}
         orders = layers("fact_orders").limit(5)
         with pytest.raises(NullsInRequiredColumns, match="order_id"):
             store.overwrite("silver", "fact_orders", orders.withColumn("order_id", F.lit(None).cast("string")))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from marketloom.contracts import BRONZE, GOLDEN, SILVER, contract_report
-from marketloom.operators.ranking import _coarse, rank_by_level
+from marketloom.operators.ranking import _ranges, rank_by_level
 from marketloom.plans import golden, marts, silver
 from retail_fixture import AS_OF, LOAD_TS
 from marketloom.sources.scratch import stored
@@ -67,10 +67,31 @@ def test_rank_leaves_many_values_in_many_tasks(spark):
     assert not any("BroadcastExchange" in line and "hint" in line for line in lines)
     want = values.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())))
     assert ranked.exceptAll(want.select(*ranked.columns)).isEmpty()
-    held = values.groupBy("v").count().withColumn("g", _coarse(F.col("v"))).groupBy("g").count().agg(F.max("count")).first()[0]
+    held = values.groupBy("v").count().groupBy(_ranges(F.col("v"))[0]).count().agg(F.max("count")).first()[0]
     assert held < 2_000, "no range holds many of the distinct values"
 
 
+def test_rank_splits_values_that_crowd_in_one_range(spark):
+    """Amounts of 1,000.00 to 1,001.99 have one power of two and leading digits; they still part."""
+    crowded = spark.range(0, 20_000, 1, 8).select("id", (1000 + F.col("id") % 15_000 / 10_000).alias("v"))
+    odd = [(-1, float("nan")), (-2, float("inf")), (-3, float("-inf")), (-4, None), (-5, 0.0), (-6, -0.0), (-7, -1e-300),
+           (-8, 1e300), (-9, -1000.00001), (-10, -1000.00002), (-11, 5e-324)]
+    values = stored(crowded.union(spark.createDataFrame(odd, "id long, v double")))
+    ranked = rank_by_level(values, "v", "r")
+    want = values.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())))
+    assert ranked.exceptAll(want.select(*ranked.columns)).isEmpty()
+    levels = values.groupBy("v").count()
+    first, *_ = ranges = _ranges(F.col("v"))
+    assert levels.groupBy(first).count().agg(F.max("count")).first()[0] > 10_000
+    assert levels.groupBy(*[r.alias(f"r{i}") for i, r in enumerate(ranges)]).count().agg(F.max("count")).first()[0] < 50
+
+
+def test_rank_over_few_levels(spark):
+    values = spark.range(3000).select("id", F.when(F.col("id") % 7 > 0, F.col("id") % 400 / 100).alias("v"))
+    few, many = (rank_by_level(values, "v", "r", few_levels=f) for f in (True, False))
+    assert few.exceptAll(many.select(*few.columns)).isEmpty()
+
+
 def test_reports_without_a_rank_do_not_make_one(spark):
     for key in ("top_bottom_products", "price_vs_rating", "stock_by_category", "needs_review_list", "unreviewed_products",
                 "dash_estimated_sales", "dash_sales_flag"):
