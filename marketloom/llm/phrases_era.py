@@ -34,10 +34,10 @@ SEPARATORS = byte_table(" \t")
 NO_LANG = "und"
 DEPTH = 4
 
-BUDGET = 1 << 20  # suffixes of a group, at most twice as many
+BUDGET = 1 << 19  # suffixes of a group, at most twice as many
 DICTIONARY_WORDS = 1 << 20  # the most frequent words, sent to every task as numbers
 DICTIONARY_BYTES = 64  # longer words are spelled out
-FLUSH_WORDS = 2_000_000  # words whose suffixes are sorted together before the shuffle
+FLUSH_WORDS = 500_000  # words whose suffixes are sorted together before the shuffle
 _BITS = 21  # of a word's number in a key
 
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 8 << 20  # texts that are cut together; a longer text is cut alone
+SLICE_BYTES = 4 << 20  # texts that are cut together; a longer text is cut alone
 
 
 def byte_table(characters: str) -> np.ndarray:
