@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from marketloom.contracts import BRONZE, GOLDEN, LAYERS, SILVER
-from marketloom.plans import marts
-from marketloom.plans.refresh import full_refresh
+from marketloom.plans import marts, silver
+from marketloom.plans.refresh import RefreshReport, full_refresh
 from marketloom.sources import landing
+from marketloom.sources.ledger import AlreadyRecorded, RunLedger, run_history
+from marketloom.sources.tables import CatalogStore, ConcurrentWrite, NullsInRequiredColumns, PathStore, _prepared
 from retail_fixture import AS_OF, LOAD_TS, Bridge
-from marketloom.sources.tables import CatalogStore, NullsInRequiredColumns, PathStore
 
 SF_DIR = "/root/testdata/sf0.001"
 PLANTED = ("bronze",)  # the raw frames hold NULL keys on purpose
@@ -223,3 +224,122 @@ def test_two_weeks_read_two_months_of_the_stored_fact(spark, landed, tmp_path):
         read = recent.select(F.input_file_name().alias("f")).distinct().collect()
         assert {r.f.split("_month=")[1].split("/")[0] for r in read} <= {"2001-07", "2001-08"} <= months
         assert store.read("silver", "fact_orders").where("order_date IS NULL").count() > 0
+
+
+# --- rejects, ledger, one writer ---------------------------------------------
+
+def test_rejects_are_kept_apart_in_one_pass(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(CUSTOMERS + '4,"Dan, Dee",d@d.dd,M,2024-01-07,Mali\n')
+    (tmp_path / "in" / "b.csv").write_text(CUSTOMERS.splitlines(keepends=True)[0] + "9,Zed,z@z.zz,M,2024-01-01,Mali\n")
+    good, rejects, counts = landing.split_landing(spark, "customers", str(tmp_path / "in"), str(tmp_path / "out"))
+    assert {r.customer_id for r in good.collect()} == {"1", "4", "9"}
+    assert {(r.table_name, r.source_file.rsplit("/", 1)[1], r.raw_record, r.reason) for r in rejects.collect()} == {
+        ("customers", "a.csv", "2,Bob", landing.SHORT),
+        ("customers", "a.csv", "3,Cid,,M,2024-01-06,Chad,surplus", landing.SURPLUS)}
+    assert counts == {"good": 3, "rejected": 2}
+    assert landing.read_landing(spark, "customers", str(tmp_path / "in")).count() == 5
+
+
+def test_rejects_of_records_with_line_breaks(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "r.csv").write_text(REVIEWS + '3,7,9,5,"two\nlines, ""quoted""",2024-01-05,more\n4,7\n5,7,9,4,"never\nclosed,2024-01-06\n')
+    good, rejects, counts = landing.split_landing(spark, "product_reviews", str(tmp_path / "in"), str(tmp_path / "out"))
+    assert {r.review_id for r in good.collect()} == {"1", "2"}
+    found = {r.reason: r.raw_record for r in rejects.collect()}
+    assert found[landing.SURPLUS] == '3,7,9,5,"two\nlines, ""quoted""",2024-01-05,more'
+    assert found[landing.SHORT] == "4,7"
+    assert counts["good"] + counts["rejected"] == landing.read_landing(spark, "product_reviews", str(tmp_path / "in")).count()
+
+
+def test_reject_reasons(spark):
+    raws = [None, "a,b", '"a,b",c,d', 'a,"b""",c', 'a,"b', "a,b,c,d", "a,b,c"]
+    frame = spark.createDataFrame([(r,) for r in raws], "raw string")
+    reasons = [r[0] for r in frame.select(landing.reject_reason(F.col("raw"), 3)).collect()]
+    assert reasons == [None, landing.SHORT, landing.MALFORMED, landing.MALFORMED, landing.OPEN_QUOTE, landing.SURPLUS, landing.MALFORMED]
+
+
+def test_refresh_with_ledger_and_quarantine(spark, tmp_path):
+    bridge = Bridge(spark, SF_DIR)
+    paths = {table: bridge.land_csv(table, str(tmp_path / "landing")) for table in BRONZE}
+    clean = {table: landing.read_landing(spark, table, path).count() for table, path in paths.items()}
+    for table, path in paths.items():
+        bridge.land_malformed(table, path)
+    store, ledger = PathStore(spark, str(tmp_path / "store")), RunLedger(spark, str(tmp_path / "ledger"))
+    assert ledger.read().count() == 0
+
+    def refresh(run_id, day, landed=paths):
+        run_ts = dt.datetime(2001, 8, day, tzinfo=dt.timezone.utc)
+        return full_refresh(spark, landed, store, LOAD_TS, run_ts, AS_OF, PLANTED, str(tmp_path / "bad"), ledger, run_id)
+
+    with pytest.raises(FileNotFoundError):
+        refresh("w/1", 2, {**paths, "orders": str(tmp_path / "nowhere")})
+    failed = ledger.read().collect()
+    assert [(r.run_id, r.attempt, r.status, r.table_name) for r in failed] == [("w/1", 1, "failed", None)]
+    assert "orders" in failed[0].error
+    first = refresh("w/1", 2)
+    assert {t: first.rows_written[f"bronze.{t}"] for t in BRONZE} == clean
+    assert all(first.rows_rejected[f"bronze.{t}"] > 0 for t in BRONZE)
+    assert ledger.read().count() == 13
+    assert refresh("w/1", 2) == first and ledger.read().count() == 13, "a rerun of a run adds nothing"
+    assert not ledger.record("w/1", first, LOAD_TS, AS_OF, RuntimeError("late"))
+    assert not (tmp_path / "bad" / "orders" / "_rejected=false").exists()
+    assert (tmp_path / "bad" / "orders" / "_rejected=true").exists()
+    second = refresh("w/2", 9)
+    history = {(r.run_id, r.table_name): r for r in run_history(ledger.read()).collect()}
+    assert len(history) == 24 and {r.attempts for (run, _), r in history.items() if run == "w/1"} == {2}
+    for table, rows in second.rows_written.items():
+        row = history["w/2", table]
+        assert (row.rows_written, row.previous_rows, row.rows_change) == (rows, first.rows_written[table], rows - first.rows_written[table])
+    assert history["w/1", "bronze.orders"].nulls_published == sum(first.nulls_published["bronze.orders"].values())
+
+
+def test_a_failure_half_way_is_recorded_with_what_was_written(spark, landed, tmp_path):
+    class Broken(PathStore):
+        def overwrite(self, layer, table, *args, **kwargs):
+            if table == "fact_orders":
+                raise OSError("disk full")
+            return super().overwrite(layer, table, *args, **kwargs)
+
+    ledger = RunLedger(spark, str(tmp_path / "ledger"))
+    with pytest.raises(OSError):
+        full_refresh(spark, landed, Broken(spark, str(tmp_path / "s")), LOAD_TS, LOAD_TS, AS_OF, PLANTED, ledger=ledger, run_id="x")
+    rows = ledger.read().collect()
+    assert {r.table_name for r in rows} == {*(f"bronze.{t}" for t in BRONZE), "silver.dim_customers", "silver.dim_products"}
+    assert {(r.status, r.error) for r in rows} == {("failed", "OSError: disk full")}
+
+
+def test_an_attempt_is_recorded_once(spark, tmp_path, monkeypatch):
+    ledger, report = RunLedger(spark, str(tmp_path)), RefreshReport({"bronze.orders": 3})
+    assert ledger.record("r", report, LOAD_TS, AS_OF, ValueError("first"))
+    monkeypatch.setattr(RunLedger, "_attempts", lambda self, run: 0)
+    with pytest.raises(AlreadyRecorded):
+        ledger.record("r", report, LOAD_TS, AS_OF)
+    assert [name for name in os.listdir(tmp_path) if name.startswith("_next")] == []
+
+
+def test_a_second_writer_is_refused(spark, tmp_path):
+    for store in _stores(spark, tmp_path):
+        store.overwrite("bronze", "customers", _customers(spark, "a"))
+        with store._claimed("bronze", "customers"):
+            with pytest.raises(ConcurrentWrite):
+                store.overwrite("bronze", "customers", _customers(spark, "b"))
+            assert [r.name for r in store.read("bronze", "customers").collect()] == ["a"]
+        store.overwrite("bronze", "customers", _customers(spark, "c"))
+        dead = store._claimed("bronze", "customers")
+        dead.__enter__()  # a driver that dies here
+        with pytest.raises(ConcurrentWrite):
+            store.overwrite("bronze", "customers", _customers(spark, "d"))
+        store.unlock("bronze", "customers")
+        store.overwrite("bronze", "customers", _customers(spark, "e"))
+        assert [r.name for r in store.read("bronze", "customers").collect()] == ["e"]
+
+
+def test_counts_are_taken_after_the_last_shuffle(spark):
+    """The observation stands above the rebalance by month, and dropped rows are counted there too."""
+    layers = entry.Layers(spark, SF_DIR)
+    flagged = silver.flagged(silver.latest(layers("orders"), "fact_orders"), "fact_orders", LOAD_TS)
+    frame, _ = _prepared(flagged, "silver", "fact_orders", silver.KEPT)
+    text = plan(frame)
+    assert text.index("CollectMetrics") < text.index("REBALANCE_PARTITIONS_BY_COL")
+    assert text.count("CollectMetrics") == 1
