@@ -5,7 +5,7 @@ leaf is split along the dimension in which its documents spread widest, at the w
 quantile that belongs to the leaves on either side), and so on until every node is one shard.  All
 nodes of a level are split together: three aggregations find the boundary coordinate, and inside it the
 boundary among hashes, so that weights are equal up to a document even if a third of all rows share
-every coordinate.  Only tables with a row per node are broadcast.
+every coordinate.  The tables with a row per node are joined as Spark sees fit by their size.
 """
 
 from __future__ import annotations
@@ -17,25 +17,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import free_name, gapless_numbers
-from marketloom.sources.scratch import stored
+from marketloom.sources.scratch import discard, scratch_path, stored
 
 COORDINATES = 1024
 TIES = 4096
 
 
-def _coordinates(df: DataFrame, dimensions: Mapping[str, Column]) -> list[Column]:
-    """0 for NULL or NaN; numbers by their place in the range of all, other values by a hash."""
-    typed = df.select(*[d.alias(f"d{i}") for i, d in enumerate(dimensions.values())])
-    numeric = [f.name for f in typed.schema if f.dataType.typeName() in ("byte", "short", "integer", "long", "float", "double")]
+_NUMERIC = ("byte", "short", "integer", "long", "float", "double")
+
+
+def _coordinates(stored_rows: DataFrame, dims: int) -> list[Column]:
+    """0 for NULL or NaN; numbers by their place in the range of all, other values by a hash.
+
+    ``stored_rows`` holds the dimensions as ``d0``, ``d1``, ...; their ranges are read from there.
+    """
+    numeric = [f"d{i}" for i in range(dims) if stored_rows.schema[f"d{i}"].dataType.typeName() in _NUMERIC]
     clean = {n: F.when(~F.isnan(F.col(n).cast("double")), F.col(n).cast("double")) for n in numeric}
     ranges = {}
     if numeric:
         ends = [f(clean[n]).alias(f"{k}{n}") for n in numeric for k, f in (("low", F.min), ("high", F.max))]
-        row = typed.agg(*ends).first()
+        row = stored_rows.agg(*ends).first()
         ranges = {n: (row[f"low{n}"], row[f"high{n}"]) for n in numeric}
     out = []
-    for i, column in enumerate(dimensions.values()):
-        name = f"d{i}"
+    for name in (f"d{i}" for i in range(dims)):
+        column = F.col(name)
         if name not in ranges:
             place = 1 + F.pmod(F.xxhash64(column), F.lit(COORDINATES - 1))
             out.append(F.when(column.isNull(), 0).otherwise(place).cast("int"))
@@ -70,7 +75,11 @@ def _boundary(weights: DataFrame, by: str, keep: list[str]) -> DataFrame:
 
 
 def _splits(rows: DataFrame, dims: int) -> DataFrame:
-    """(node, dim, c, t1, t2): what lies below (c, t1, t2) along ``dim`` goes to the left."""
+    """(node, dim, c, t1, t2): what lies below (c, t1, t2) along ``dim`` goes to the left.
+
+    Each of the three boundaries is a stored table of one row per node, so a level's plans do not
+    contain each other.
+    """
     open_rows = rows.where("leaves > 1")
     axes = F.posexplode(F.array(*[f"c{i}" for i in range(dims)])).alias("dim", "c")
     weights = open_rows.select("node", "leaves", "w", axes).groupBy("node", "leaves", "dim", "c").agg(F.sum("w").alias("w"))
@@ -84,21 +93,21 @@ def _splits(rows: DataFrame, dims: int) -> DataFrame:
     total = Window.partitionBy("node")
     share = F.floor(F.col("leaves") / 2) / F.col("leaves")
     along = (
-        weights.join(F.broadcast(widest), ["node", "dim"])
+        weights.join(widest, ["node", "dim"])
         .withColumn("target", F.sum("w").over(total) * share)
         .withColumn("below", F.lit(0).cast("long"))
     )
-    first = _boundary(along, "c", ["dim"])
+    first = stored(_boundary(along, "c", ["dim"]), "boundary")
     chosen = F.element_at(F.array(*[f"c{i}" for i in range(dims)]), F.col("dim") + 1)
 
     def inside(found: DataFrame, tie: str, fixed: list[str]) -> DataFrame:
-        here = open_rows.join(F.broadcast(found.drop("upto")), "node").where(chosen == F.col("c"))
+        here = open_rows.join(found.drop("upto"), "node").where(chosen == F.col("c"))
         for f in fixed:
             here = here.where(F.col(f) == F.col(f"cut_{f}"))
         names = ["dim", "c", *[f"cut_{f}" for f in fixed]]
         return here.groupBy("node", *names, "target", "below", tie).agg(F.sum("w").alias("w"))
 
-    second = _boundary(inside(first, "t1", []), "t1", ["dim", "c"]).withColumnRenamed("t1", "cut_t1")
+    second = stored(_boundary(inside(first, "t1", []), "t1", ["dim", "c"]).withColumnRenamed("t1", "cut_t1"), "boundary")
     third = _boundary(inside(second, "t2", ["t1"]), "t2", ["dim", "c", "cut_t1"])
     # the boundary value itself goes to the side that leaves the weights closer to the target
     nearer = F.col("upto") - F.col("target") <= F.col("target") - F.col("below")
@@ -111,7 +120,7 @@ def _descend(rows: DataFrame, splits: DataFrame, dims: int) -> DataFrame:
     left_leaves = F.floor(F.col("leaves") / 2).cast("int")
     left = mine < cut
     return (
-        rows.join(F.broadcast(splits), "node", "left")
+        rows.join(splits, "node", "left")
         .withColumn("left_leaves", left_leaves)
         .withColumn("go", F.when(F.col("dim").isNull(), 0).when(left, 1).otherwise(2))
         .withColumn("node", F.when(F.col("go") == 2, F.col("node") + F.col("left_leaves")).otherwise(F.col("node")))
@@ -139,31 +148,39 @@ def kd_shards(
     side among rows with equal coordinates.  Give the number of shards, or the bytes that one should
     have.  Shards get nearly the same weight.  NULL metadata has a coordinate of its own, repeated rows
     are sharded one by one, and an empty table gives an empty result.  Columns of ``df`` that are
-    called ``shard`` or ``slot`` are replaced.  The frame is stored once; each level reads only
-    coordinates and weights of it.
+    called ``shard`` or ``slot`` are replaced.  The frame is stored once and joined again once, by
+    row number; each level reads and writes coordinates and weights only.
     """
     df = df.drop("shard", "slot")
-    names = list(df.columns)
+    spark, names = df.sparkSession, list(df.columns)
     payload = free_name(df, "_row_of_df")
-    coordinates = _coordinates(df, dimensions)
-    dims = len(coordinates)
+    dims = len(dimensions)
     base = stored(
         df.select(
             F.struct(*[F.col(f"`{c}`") for c in names]).alias(payload),
             F.coalesce(size.cast("long"), F.lit(0).cast("long")).alias("w"),
-            *[c.alias(f"c{i}") for i, c in enumerate(coordinates)],
+            *[d.alias(f"d{i}") for i, d in enumerate(dimensions.values())],
             F.pmod(F.xxhash64(together), F.lit(TIES)).cast("int").alias("t1"),
             F.monotonically_increasing_id().alias("row"),
         ),
         "shard-rows",
-    ).withColumn("t2", F.pmod(F.xxhash64("row"), F.lit(TIES)).cast("int"))
+    )
     if shards is None:
         total = base.agg(F.sum("w")).first()[0] or 0
         shards = max(1, -(-total // target_bytes))
-    at_root = base.withColumn("node", F.lit(0)).withColumn("leaves", F.lit(shards))
-    rows = at_root
+    path = scratch_path(spark, "level")
+    narrow = base.select(
+        "row", "w", *[c.alias(f"c{i}") for i, c in enumerate(_coordinates(base, dims))], "t1",
+        F.pmod(F.xxhash64("row"), F.lit(TIES)).cast("int").alias("t2"),
+        F.lit(0).alias("node"), F.lit(shards).cast("int").alias("leaves"),
+    )
+    rows = stored(narrow, path=path)
     for level in range(math.ceil(math.log2(shards)) if shards > 1 else 0):
-        rows = _descend(rows, stored(_splits(rows, dims), f"splits-{level}"), dims)
-    placed = rows.select(payload, "row", F.col("node").alias("shard"))
-    numbered = gapless_numbers(placed, ["shard"], ["row"], "slot")
-    return numbered.select(*[F.col(f"{payload}.`{c}`").alias(c) for c in names], "shard", "slot")
+        splits = stored(_splits(rows, dims), f"splits-{level}")
+        next_path = scratch_path(spark, "level")
+        rows = stored(_descend(rows, splits, dims).select(*narrow.columns), path=next_path)
+        discard(spark, path)
+        path = next_path
+    numbered = gapless_numbers(rows.select("row", F.col("node").alias("shard")), ["shard"], ["row"], "slot")
+    whole = numbered.join(base.select("row", payload), "row")
+    return whole.select(*[F.col(f"{payload}.`{c}`").alias(c) for c in names], "shard", "slot")
