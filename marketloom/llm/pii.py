@@ -4,10 +4,12 @@ Everything runs in Spark's own expressions.  The patterns give the base spans.
 recall propose spans that may overlap; each is described by its format and by what stands before it.
 Candidates that a strict rule confirms are the positive examples, all others the negative ones.  Trees
 are grown on four fifths of them, and a threshold per kind is calibrated on the rest, so that a
-candidate is added where what looks like it is nearly always confirmed.
+candidate is added where what looks like it is nearly always confirmed.  Where there is nothing to
+learn or calibrate a kind on, the strict rule itself decides.
 
 The patterns are written without backtracking into groups, so a text of any length needs bounded
 stack and time in proportion: a run of characters that failed once is not tried again from its middle.
+Arrays of spans are folded in blocks and swept in order of their places, never compared all with all.
 """
 
 from __future__ import annotations
@@ -32,9 +34,9 @@ CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}+(?![\x20-]?[0-
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # generators
 _KEY = "[A-Za-z0-9_/+-]"
-LONG_TOKEN = rf"(?<!{_KEY}){_KEY}{{16,128}}+(?!{_KEY})"
+LONG_TOKEN = rf"(?<!{_KEY}){_KEY}{{16,}}+"
 NUMBER = r"(?<![0-9.+-])\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,18}+(?![0-9])"
-SPELLED = rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}+\x20?[\[(]at[\])]\x20?{_HOST}{{1,64}}+(?:\x20?(?:[\[(]dot[\])]|\.)\x20?{_HOST}{{1,64}}+){{1,5}}+"
+SPELLED = rf"(?<!{_LOCAL}){_LOCAL}++\x20?[\[(]at[\])]\x20?{_HOST}++(?:\x20?(?:[\[(]dot[\])]|\.)\x20?{_HOST}++)++"
 
 SPAN = "array<struct<start:int,end:int,kind:int>>"
 FEATURES = ("kind", "digits", "size", "separators", "before", "alphabet", "turns", "checks")
@@ -44,23 +46,87 @@ CONTEXT = 24  # characters before a candidate that are looked at
 _NAMES = "(?i)(pass(word|wd)?|token|secret|api[_-]?key|access[_-]?key|bearer|auth|card|iban|phone|tel|mail)[^A-Za-z0-9]{0,4}$"
 
 
+BLOCK = 64  # items of an array that are folded together
+CHUNK = 1024  # code points of a text that are cut from together
+
+
+def _later(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, also inside further lambdas."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _running(items: Column, zero: Column, value, combine, emit) -> Column:
+    """``emit(state, item)`` for every item, where ``state`` folds the ``value`` of all items before it.
+
+    ``combine`` is associative and ``zero`` neutral.  Blocks are folded by themselves and their totals
+    after one another, so the work is about the number of items to the power 1.5, with small factors.
+    """
+
+    def fold(part):
+        return F.aggregate(part, zero, lambda state, x: combine(state, value(x)))
+
+    def over(all_items):
+        last = F.greatest(F.floor((F.size(all_items) - 1) / BLOCK).cast("int"), F.lit(0))
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(all_items, b * BLOCK + 1, F.lit(BLOCK)))
+
+        def with_blocks(parts):
+            def with_totals(totals):
+                def one(part, b):
+                    before = F.aggregate(F.slice(totals, F.lit(1), b), zero, combine)
+                    return _let(
+                        before,
+                        lambda at: F.transform(part, lambda x, i: emit(combine(at, fold(F.slice(part, F.lit(1), i))), x)),
+                    )
+
+                return F.flatten(F.transform(parts, one))
+
+            return _let(F.transform(parts, fold), with_totals)
+
+        return _let(blocks, with_blocks)
+
+    return _let(items, over)
+
+
 def _occurrences(text: Column, pattern: str) -> Column:
     """array<struct<start,end,found>> in code points: what is between the matches gives the places."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    nothing = F.lit(None).cast("array<struct<start:int,end:int,found:string>>")
-    empty = F.struct(F.lit(0).alias("at"), F.coalesce(nothing, F.array()).alias("out"))
 
-    def add(state, pair):
-        start = state["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["found"])
-        one = F.struct(start.alias("start"), end.alias("end"), pair["found"].alias("found"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
+    def placed(found):
+        pairs = F.zip_with(
+            F.slice(between, F.lit(1), F.size(found)), found, lambda gap, f: F.struct(gap.alias("gap"), f.alias("found"))
+        )
+        return _running(
+            pairs, F.lit(0), lambda p: F.length(p["gap"]) + F.length(p["found"]), lambda a, b: a + b,
+            lambda at, p: F.struct(
+                (at + F.length(p["gap"])).alias("start"),
+                (at + F.length(p["gap"]) + F.length(p["found"])).alias("end"),
+                p["found"].alias("found"),
+            ),
+        )
+
+    return F.when(
+        F.rlike(text, F.lit(pattern)), _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
+    )
+
 
-    pairs = F.zip_with(
-        F.slice(between, 1, F.size(found)), found, lambda gap, f: F.struct(gap.alias("gap"), f.alias("found"))
+def _with_reach(items: Column, base: Column, key) -> Column:
+    """array<struct<item,reach>> in order of the items: the largest end of the base spans that start before ``key``."""
+    nothing = F.get(F.slice(items, F.lit(1), F.lit(0)), F.lit(0))  # a NULL of the items' type
+    asks = F.transform(
+        items, lambda x: F.struct(key(x).alias("key"), F.lit(0).alias("late"), F.lit(0).alias("end"), x.alias("item"))
+    )
+    spans = F.transform(
+        base, lambda b: F.struct(b["start"].alias("key"), F.lit(1).alias("late"), b["end"].alias("end"), nothing.alias("item"))
     )
-    return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(pairs, empty, add, lambda s: s["out"]))
+    swept = _running(
+        F.array_sort(F.concat(asks, spans)), F.lit(0), lambda e: e["end"], _later,
+        lambda reach, e: F.struct(e["item"].alias("item"), reach.alias("reach")),
+    )
+    return F.array_sort(F.filter(swept, lambda e: e["item"].isNotNull()))
 
 
 def _spans(occurrences: Column, kind: int) -> Column:
@@ -142,10 +208,6 @@ def _described(text: Column, kind: int, occurrence: Column, confirmed: Column) -
 
 def _candidates(text: Column, base: Column) -> Column:
     """All proposals of the generators, described; empty where there are none."""
-
-    def overlaps(o):
-        return F.exists(base, lambda b: (b["start"] < o["end"]) & (o["start"] < b["end"]))
-
     def keyed(o):
         before = F.substring(text, F.greatest(o["start"] - (CONTEXT - 1), F.lit(1)), F.least(o["start"], F.lit(CONTEXT)))
         letters_and_digits = F.rlike(o["found"], F.lit("[0-9]")) & F.rlike(o["found"], F.lit("[A-Za-z]"))
@@ -153,9 +215,11 @@ def _candidates(text: Column, base: Column) -> Column:
 
     tokens = F.filter(_occurrences(text, LONG_TOKEN), lambda o: F.rlike(o["found"], F.lit("[0-9]")))
     spelled = _occurrences(F.when(F.rlike(text, F.lit(r"[\[(]at[\])]")), text).otherwise(""), SPELLED)
+    numbers = _occurrences(text, NUMBER)
+    reached = F.when(numbers.isNotNull(), _let(numbers, lambda found: _with_reach(found, base, lambda o: o["end"])))
     proposals = [
         F.transform(tokens, lambda o: _described(text, 4, o, keyed(o))),
-        F.transform(_occurrences(text, NUMBER), lambda o: _described(text, 3, o, overlaps(o))),
+        F.transform(reached, lambda r: _described(text, 3, r["item"], r["reach"] > r["item"]["start"])),
         F.transform(spelled, lambda o: _described(text, 0, o, F.lit(True))),
     ]
     return F.flatten(F.filter(F.array(*proposals), lambda p: p.isNotNull()))
@@ -191,11 +255,14 @@ def find_spans(df: DataFrame, text: str, keep_text: bool = True) -> DataFrame:
 
     Places are code points, the end is exclusive, ``kind`` is a place in ``KINDS``.  ``spans`` holds the
     base spans and the added ones; an added span overlaps no base span (a secret may hold one), and of
-    added spans that overlap the one with the higher score stays.  A NULL or empty text has no spans.  The frame is
-    stored once, so the trees and the result come from the same scan.  Columns of ``df`` that are
-    called like a result are replaced.
+    added spans that overlap the one with the higher score stays.  A kind without a threshold, and every
+    kind where all candidates have one label, takes the candidates that the strict rule confirms.  A
+    NULL or empty text has no spans; a text of any length, or with any number of spans, is one row.
+    Repeated rows are treated alike, and an empty table gives an empty result.  The frame is stored
+    once, so the trees and the result come from the same scan.  Columns of ``df`` that are called like
+    a result, in upper or lower case, are replaced.
     """
-    df = df.drop(*[c for c in ("base_spans", "spans") if c != text])
+    df = df.drop(*[c for c in df.columns if c.lower() in ("base_spans", "spans") and c != text])
     names = [c for c in df.columns if keep_text or c != text]
     t, cands, parts = free_name(df, "_t"), free_name(df, "_candidates"), []
     rows = df.withColumn(t, F.coalesce(F.col(text).cast("string"), F.lit("")))
@@ -212,35 +279,61 @@ def find_spans(df: DataFrame, text: str, keep_text: bool = True) -> DataFrame:
     rows = rows.withColumn(cands, _candidates(F.col(t), F.col("base_spans")))
     scanned = stored(rows.select(*names, "base_spans", cands), "scanned")
     model = _fit(scanned, cands)
-    if model is None or not model.thresholds:
-        return scanned.withColumn("spans", F.col("base_spans")).drop(cands)
+    thresholds = model.thresholds if model else {}
 
     def enough(c):
-        limit = F.lit(float("inf"))
-        for k, threshold in model.thresholds.items():
-            limit = F.when(c["kind"] == k, F.lit(threshold)).otherwise(limit)
-        return limit
+        """The least score; for kinds without a threshold the label decides."""
+        confirmed = F.when(c["label"] == 1, F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+        for k, threshold in thresholds.items():
+            confirmed = F.when(c["kind"] == k, F.lit(threshold)).otherwise(confirmed)
+        return confirmed
 
     scored = F.transform(
         cands,
         lambda c: F.struct(
-            model.expression(lambda f: c[f]).alias("score"), enough(c).alias("least"),
             c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind"),
+            (model.expression(lambda f: c[f]) if model else c["label"].cast("double")).alias("score"), enough(c).alias("least"),
         ),
     )
     taken = F.filter(scored, lambda c: c["score"] >= c["least"])
-    clash = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
+    added = F.when(F.size(cands) > 0, _let(taken, lambda found: _alone(_beside(found, F.col("base_spans")))))
+    spans = F.transform(added, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind")))
+    every = F.concat("base_spans", F.coalesce(spans.cast(SPAN), F.array().cast(SPAN)))
+    return scanned.withColumn("spans", by_place(every).cast(SPAN)).drop(cands)
+
+
+def _beside(taken: Column, base: Column) -> Column:
+    """The taken candidates that overlap no base span; a secret may hold whole ones."""
     secret = KINDS.index("secret")
-    wraps = lambda c, b: (c["kind"] == secret) & (c["start"] <= b["start"]) & (b["end"] <= c["end"])
+    at_end = _with_reach(taken, base, lambda c: c["end"])
+    fits = F.filter(at_end, lambda r: r["reach"] <= F.when(r["item"]["kind"] == secret, r["item"]["end"]).otherwise(r["item"]["start"]))
+    at_start = _let(F.transform(fits, lambda r: r["item"]), lambda found: _with_reach(found, base, lambda c: c["start"]))
+    return F.transform(F.filter(at_start, lambda r: r["reach"] <= r["item"]["start"]), lambda r: r["item"])
+
+
+def _alone(spans: Column) -> Column:
+    """Without spans that overlap one of a better rank: higher score, then by place.
+
+    Spans in order of their places fall into runs that hang together; only these are compared.
+    """
+    clash = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
     rank = lambda c: F.struct(-c["score"], c["start"], -c["end"], c["kind"])
-    chosen = free_name(df, "_chosen")
-    rows = scanned.withColumn(chosen, F.when(F.size(cands) > 0, taken)).withColumn(
-        chosen, F.filter(chosen, lambda c: ~F.exists("base_spans", lambda b: clash(c, b) & ~wraps(c, b)))
-    )
-    alone = F.filter(chosen, lambda c: ~F.exists(chosen, lambda d: clash(c, d) & (rank(d) < rank(c))))
-    added = F.transform(alone, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind")))
-    every = F.concat("base_spans", F.coalesce(added.cast(SPAN), F.array().cast(SPAN)))
-    return rows.withColumn("spans", by_place(every).cast(SPAN)).drop(cands, chosen)
+
+    def runs(found):
+        opens = _running(
+            found, F.lit(0), lambda c: c["end"], _later, lambda reach, c: reach <= c["start"]
+        )
+        numbered = F.transform(opens, lambda new, i: F.when(new, i))
+        first = F.filter(numbered, lambda i: i.isNotNull())
+
+        def cut(starts):
+            part = lambda i, j: F.slice(found, i + 1, F.coalesce(F.get(starts, j + 1), F.size(found)) - i)
+            best = lambda run: F.filter(run, lambda c: ~F.exists(run, lambda d: clash(c, d) & (rank(d) < rank(c))))
+            return F.flatten(F.transform(F.transform(starts, part), best))
+
+        return _let(first, cut)
+
+    return _let(F.array_sort(spans), runs)
 
 
 def spans_text(spans: Column | str) -> Column:
@@ -255,23 +348,28 @@ def count_kind(spans: Column | str, kind: str) -> Column:
 
 
 def redact(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with every span of the text replaced by its kind in brackets; overlapping spans become one."""
+    """``df`` with every span of the text replaced by its kind in brackets; overlapping spans become one.
+
+    A text without spans, NULL included, stays as it is; rows, columns and their order stay.
+    """
     found = find_spans(df, text)
     name = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     t = F.col(text)
+    # of spans that start together the longest gives its name
+    ordered = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))
 
-    def put(state, s):
-        fresh = s["start"] >= state["at"]
-        between = F.substring(t, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        tag = F.when(fresh, F.element_at(name, s["kind"] + 1)).otherwise("")
-        return F.struct(F.greatest(s["end"], state["at"]).alias("at"), F.concat(state["out"], between, tag).alias("out"))
+    def written(chunks):
+        def cut(begin, end):
+            here = F.slice(chunks, F.floor(begin / CHUNK).cast("int") + 1, (F.floor(end / CHUNK) - F.floor(begin / CHUNK) + 1).cast("int"))
+            return F.substring(F.array_join(here, ""), begin % CHUNK + 1, end - begin)
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    # of spans that start together the longest gives its name
-    ordered = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("col1"), (-s["end"]).alias("col2"), s["kind"].alias("col3"), s["end"].alias("col4"))))
-    longest_first = F.transform(
-        ordered, lambda s: F.struct(s["col1"].alias("start"), s["col4"].alias("end"), s["col3"].alias("kind"))
-    )
-    written = F.aggregate(longest_first, start, put, lambda s: F.concat(s["out"], F.substring(t, s["at"] + 1, F.length(t))))
-    redacted = F.when(F.size("spans") > 0, written).otherwise(t)
+        def put(at, s):
+            return F.when(s["start"] >= at, F.concat(cut(at, s["start"]), F.element_at(name, s["kind"] + 1))).otherwise("")
+
+        pieces = _running(ordered, F.lit(0), lambda s: -s["back"], _later, put)
+        last = F.array_max(F.transform("spans", lambda s: s["end"]))
+        return F.concat(F.array_join(pieces, ""), _let(last, lambda at: cut(at, F.length(t))))
+
+    in_chunks = F.regexp_extract_all(t, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    redacted = F.when(F.size("spans") > 0, _let(in_chunks, written)).otherwise(t)
     return found.withColumn(text, redacted).select(*df.columns)
