@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import connected_components, free_name
@@ -127,10 +127,10 @@ def simhash_links(prints: DataFrame, distance: int) -> DataFrame:
     if not 0 <= distance <= MAX_DISTANCE:
         raise ValueError(f"distance must be 0 to {MAX_DISTANCE}")
     spark = prints.sparkSession
-    under_one_value = Window.partitionBy("half", "key")
-    met = stored(
-        _balls(prints).withColumn("n", F.count(F.lit(1)).over(under_one_value)).where("n > 1"), "met"
-    )
+    balls = _balls(prints)
+    # counted before the shuffle; a join can split a value that very many fingerprints share, a window cannot
+    shared = balls.groupBy("half", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = stored(balls.join(shared, ["half", "key"]), "met")
     crowded = met.where(F.col("n") > HOT_BUCKET)
     links = _links(met.where(F.col("n") <= HOT_BUCKET), distance)
     if not crowded.isEmpty():
@@ -154,17 +154,20 @@ def simhash_components(
     ``component_id`` is the smallest id that can be reached over links, the row's own included.
     Equal fingerprints are merged before any comparison, so a group of copies of any size counts
     once.  Rows without text or words have fingerprint zero and are linked like any other.  A NULL id
-    is never the smallest unless the whole component has none; repeated rows are all returned.  A
-    column of ``df`` that is called like a result is replaced.
+    is never the smallest unless the whole component has none; repeated rows are all returned, and an
+    empty table gives an empty result.  Texts may be of any length.  A column of ``df`` that is called
+    like a result, in upper or lower case, is replaced; all others keep name, order and value.
     """
-    base = df.drop(*[c for c in ("fingerprint", "component_id") if c not in (id_col, text)])
+    results = ("fingerprint", "component_id")
+    base = df.drop(*[c for c in df.columns if c.lower() in results and c not in (id_col, text)])
     marked = stored(with_fingerprint(base, text, words, "fingerprint"), "fingerprints")
     prints = marked.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(id_col).alias("least_id"))
     prints = stored(prints, "prints")
     rooted = _components(prints, distance)
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    labels = stored(rooted.join(least, "root").select("fp", "component_id"), "labels")
-    return marked.join(labels, F.col("fingerprint") == F.col("fp"), "left").drop("fp")
+    own = free_name(marked, "_fp")
+    labels = stored(rooted.join(least, "root").select(F.col("fp").alias(own), "component_id"), "labels")
+    return marked.join(labels, F.col("fingerprint") == F.col(own), "left").drop(own)
 
 
 def keep_one_per_component(
