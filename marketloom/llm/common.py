@@ -18,6 +18,12 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def other_columns(df: DataFrame, *names: str) -> list[str]:
+    """The columns of ``df`` that are called like none of ``names``, in upper or lower case."""
+    taken = {n.lower() for n in names}
+    return [c for c in df.columns if c.lower() not in taken]
+
+
 def _pointers_to_roots(spark, parent: DataFrame, path: str) -> tuple[DataFrame, str]:
     """Follow (u, p) pointers until each p is a root, halving the way in every round."""
     while True:

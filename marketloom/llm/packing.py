@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from marketloom.llm.common import gapless_numbers
+from marketloom.llm.common import free_name, gapless_numbers, other_columns
 from marketloom.sources.scratch import stored
 
 CAPACITY = 2048
@@ -275,15 +275,17 @@ def token_pieces(
 
     A document is its ids and then ``end_id``; a longer one than ``capacity`` is cut there, so only its
     last piece may be shorter.  A NULL or empty text is ``end_id`` alone.  With ``with_ids`` the ids
-    themselves follow in ``ids``.  Columns of ``df`` that are called like a result are replaced.
+    themselves follow in ``ids``.  Repeated rows are documents each, and an empty table gives no pieces.
+    Columns of ``df`` that are called like a result, in upper or lower case, are replaced; all others
+    keep name, order and value.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         definition = file.read()
     fields = [part.split()[0] for part in PIECE.split(", ")] + (["ids"] if with_ids else [])
-    kept = [c for c in df.columns if c not in (text, *fields)]
-    given = df.select(*kept, F.col(text).cast("string").alias("_text_to_pack"))
+    kept = other_columns(df, text, *fields)
+    given = df.select(*[F.col(f"`{c}`") for c in kept], F.col(text).cast("string").alias(free_name(df, "_text")))
     schema = given.select(
-        *kept, F.lit(0).alias("piece"), *[F.lit(0).cast("long").alias(c) for c in fields[1:4]],
+        *[F.col(f"`{c}`") for c in kept], F.lit(0).alias("piece"), *[F.lit(0).cast("long").alias(c) for c in fields[1:4]],
         *([F.lit(None).cast("array<int>").alias("ids")] if with_ids else []),
     ).schema
 
@@ -322,9 +324,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """All columns of ``pieces`` with ``sequence_id`` and ``offset``.
 
     Of the pieces only the number per length (1 to ``capacity``) comes to the driver, and only the plan
-    made from it goes back; both are bounded by ``capacity``.
+    made from it goes back; both are bounded by ``capacity``.  ``length`` must not be NULL; NULLs in
+    other columns are carried.  Repeated rows are pieces each, and an empty table gives an empty result.
+    Columns called like a result are replaced; all others keep name, order and value.
     """
-    row = "_piece_row"
+    row, number_col = free_name(pieces, "_piece_row"), free_name(pieces, "_number")
     pieces = pieces.drop("sequence_id", "offset")
     numbered = stored(pieces.withColumn(row, F.monotonically_increasing_id()), "pieces")
     counts = {r[0]: r[1] for r in numbered.groupBy("length").count().collect()}
@@ -332,9 +336,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     keys = (table["length"].to_numpy() << 40) + table["first"].to_numpy()
     first, sequence, each, offset = (table[c].to_numpy() for c in ("first", "sequence", "each", "offset"))
     bucket_rows = 2_000 if "ids" in pieces.columns else 50_000  # some 16 MB of ids, or of plain rows
-    ranked = gapless_numbers(numbered, ["length"], [row], "_number", bucket_rows).drop(row)
-    names = [c for c in ranked.columns if c != "_number"]
-    width, at_length, at_number = len(ranked.columns), *map(ranked.columns.index, ("length", "_number"))
+    names = list(pieces.columns)
+    ranked = gapless_numbers(numbered, ["length"], [row], number_col, bucket_rows)
+    ranked = ranked.select(*[F.col(f"`{c}`") for c in names], number_col)
+    width, at_length, at_number = len(ranked.columns), names.index("length"), len(names)
 
     def place(batches):
         for batch in batches:
@@ -345,7 +350,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             kept = [batch.column(i) for i in range(width) if i != at_number]
             yield pa.RecordBatch.from_arrays([*kept, *found], [*names, "sequence_id", "offset"])
 
-    schema = ranked.drop("_number").select(
+    schema = ranked.drop(number_col).select(
         "*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     ).schema
     return ranked.mapInArrow(place, schema)

@@ -18,6 +18,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.llm.common import free_name, other_columns
+
 SPACE = "▁"  # stands for a space in pieces
 NONE = np.int64(1) << 40  # rank of a pair that cannot be merged
 CACHE_WORDS = 150_000  # words that a worker remembers; beyond them it starts anew
@@ -262,15 +264,16 @@ def encode(df: DataFrame, text: str, model_path: str, ids: str = "ids", decoded:
     """All columns but the text, the ids of the whole text and, if named, what they decode to.
 
     The model file is read on the driver and sent along.  A NULL or empty text has no ids and decodes
-    to an empty text.  No begin or end ids are added, nothing is sampled.  Columns of ``df`` that are
-    called like a result are replaced.
+    to an empty text; texts may be of any length.  No begin or end ids are added, nothing is sampled.
+    Repeated rows are treated alike, and an empty table gives an empty result.  Columns of ``df`` that
+    are called like a result, in upper or lower case, are replaced; all others keep name, order and value.
     """
     with open(model_path, "rb") as file:
         model = file.read()
     results = [ids] + ([decoded] if decoded else [])
-    kept = [c for c in df.columns if c not in (text, *results)]
-    given = df.select(*kept, F.col(text).cast("string").alias("_text_to_encode"))
-    schema = given.drop("_text_to_encode").withColumn(ids, F.lit(None).cast("array<int>"))
+    kept = other_columns(df, text, *results)
+    given = df.select(*[F.col(f"`{c}`") for c in kept], F.col(text).cast("string").alias(free_name(df, "_text")))
+    schema = given.select(*[F.col(f"`{c}`") for c in kept]).withColumn(ids, F.lit(None).cast("array<int>"))
     if decoded:
         schema = schema.withColumn(decoded, F.lit("").cast("string"))
 

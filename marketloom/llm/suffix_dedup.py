@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import free_name
+from marketloom.llm.common import free_name, other_columns
 from marketloom.sources.scratch import scratch_path, stored
 
 WIDTH = 100
@@ -393,10 +393,11 @@ def _settled_apart(found: DataFrame) -> DataFrame:
     key = ["h", "c", "size"]
     firsts = stored(found.groupBy(*key).agg(F.min(F.struct("id", "row", "low")).alias("at")), "crowded-contexts")
     mixed = firsts.groupBy("h").agg((F.count(F.lit(1)) > 1).alias("mixed"))
+    # whether a hash is mixed is told to its contexts, of which there are few; anchors never meet on a hash
+    told = stored(firsts.join(mixed, "h"), "told-contexts")
     return (
-        found.join(firsts, key)
+        found.join(told, key)
         .withColumn("first", (F.col("row") == F.col("at.row")) & (F.col("low") == F.col("at.low")))
-        .join(mixed, "h")
         .where(~F.col("first") | F.col("mixed"))
         .select("row", "low", (F.col("low") + F.col("size")).alias("high"), "first")
     )
@@ -455,17 +456,19 @@ def remove_repeats(
 
     Texts are UTF-8 bytes, NULL is empty.  Documents are in the order of ``id_col``, NULL last, and in
     the order they are read where ids repeat.  With ``kept`` the remaining bytes are returned under
-    that name.  A text shorter than ``width`` loses nothing.  Columns called like a result are replaced.
+    that name.  A text shorter than ``width`` loses nothing; texts may be of any length.  Ids are whole
+    numbers, and one that is not counts as NULL.  An empty table gives an empty result.  Columns called
+    like a result, in upper or lower case, are replaced; all others keep name, order and value.
     """
     results = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ([kept] if kept else [])
-    carried = [c for c in df.columns if c not in (text, *results)]
+    carried = other_columns(df, text, *results)
     held = free_name(df, "_row_of_df")
     path = scratch_path(df.sparkSession, "documents")
     docs = stored(
         df.select(
             F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in carried]).alias(held),
             F.monotonically_increasing_id().alias("row"),
-            F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("id"),
+            F.coalesce(F.col(id_col).try_cast("long"), F.lit((1 << 63) - 1)).alias("id"),
             F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("data"),
         ),
         path=path,
