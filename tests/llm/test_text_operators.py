@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -91,6 +92,44 @@ def test_odd_rows_and_columns(spark, name):
         assert all(r.n_words == "mine" for r in rows)
 
 
+# Names of helper columns and, in upper case, of results.
+HELPERS = ["_text", "_text_to_encode", "_text_to_pack", "_piece_row", "_number", "_bucket", "_order", "_before", "_at", "fp", "_fp",
+           "row", "_row", "_fingerprint", "_row_of_df", "h", "id", "t", "_t", "_candidates", "_kind0", "_chosen", "w", "c0", "node",
+           "leaves", "root", "runs", "held", "dropped", "before"]
+RESULTS = {
+    "shards": ["shard", "slot"], "sentencepiece": ["ids", "decoded"], "simhash": ["fingerprint", "component_id"], "simhash_kept": [],
+    "quality": ["n_words", "word_chars", "kept"], "quality_kept": [], "suffixes": ["n_bytes", "n_removed", "n_spans", "kept_sha256", "rest"],
+    "packing": ["piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset"], "templates": ["n_lines", "n_dropped"],
+    "pii": ["base_spans", "spans"], "redacted": [],
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_columns_called_like_helpers_and_results(spark, name):
+    """Helpers' names are the user's own; results replace what is called like them, in any case."""
+    helpers = [c for c in HELPERS if c != "kept"]
+    results = [c.upper() for c in RESULTS[name]]
+    texts = [" ".join(f"w{i}x{j}" for j in range(60 + i)) + f" mail a{i}@b.co" for i in range(6)] + [None]
+    rows = [(i, t, "mine", *[f"{c}-{i}" for c in helpers], *[f"{c}-{i}" for c in results]) for i, t in enumerate(texts)]
+    kept = [] if "KEPT" in results else ["kept string"]
+    schema = ", ".join(["doc_id long", "text string", *(kept or ["other string"]), *[f"`{c}` string" for c in [*helpers, *results]]])
+    frame = spark.createDataFrame(rows, schema)
+    if name == "shards":
+        out = kd_sharding.kd_shards(frame, F.octet_length("text"), {"n": F.length("text")}, F.col("text"), shards=3)
+    else:
+        out = everything(spark)[name](frame)
+    assert len({c.lower() for c in out.columns}) == len(out.columns)
+    carried = [c for c in frame.columns if c != "text" and c not in results]
+    assert [c for c in out.columns if c in carried] == carried, "names and order"
+    found = out.collect()
+    assert found
+    for r in found:
+        assert [r[c] for c in helpers] == [f"{c}-{r.doc_id}" for c in helpers]
+    for c in RESULTS[name]:
+        at = [x.lower() for x in out.columns].index(c)
+        assert not any(str(r[at]).startswith(f"{c.upper()}-") for r in found), c
+
+
 @pytest.mark.parametrize("name", OPERATORS)
 def test_empty_table(spark, name):
     empty = docs_frame(spark, ["x"]).where("false")
@@ -116,6 +155,81 @@ def test_shards_are_even_and_slots_gapless(spark):
     assert by_bytes.agg(F.max("shard")).first()[0] + 1 == -(-sum(r[2] for r in rows) // 2_000_000)
 
 
+def plain_tree(rows, shards, dims):
+    """{row: shard}: k-d tree over (row, weight, coordinates, t1, t2), split by sorting."""
+    placed = {}
+
+    def split(rows, first, leaves):
+        if leaves == 1:
+            placed.update((r["row"], first) for r in rows)
+            return
+        if not rows:
+            return
+        spread = [max(r[f"c{d}"] for r in rows) - min(r[f"c{d}"] for r in rows) for d in range(dims)]
+        dim = max(range(dims), key=lambda d: (spread[d], -d))
+        place = lambda r: (r[f"c{dim}"], r["t1"], r["t2"])
+        target = sum(r["w"] for r in rows) * ((leaves // 2) / leaves)
+        below, cut = 0, None
+        for at in sorted({place(r) for r in rows}):
+            upto = below + sum(r["w"] for r in rows if place(r) == at)
+            if upto >= target:
+                cut = (at, upto - target <= target - below)
+                break
+            below = upto
+        at, nearer = cut
+        left = [r for r in rows if place(r) < at or nearer and place(r) == at]
+        right = [r for r in rows if not (place(r) < at or nearer and place(r) == at)]
+        split(left, first, leaves // 2)
+        split(right, first + leaves // 2, leaves - leaves // 2)
+
+    split(rows, 0, shards)
+    return placed
+
+
+def test_shards_against_a_plain_tree(spark):
+    pick = random.Random(3)
+    given = [(i, pick.choice(["en", "de", None, "fr"]), pick.choice([None, 5.0, pick.random() * 100]), pick.randint(0, 900)) for i in range(600)]
+    frame = spark.createDataFrame(given, "id long, lang string, x double, size long").coalesce(1)
+    dims = {"x": F.col("x"), "lang": F.col("lang"), "size": F.col("size")}
+    out = {r.id: r.shard for r in kd_sharding.kd_shards(frame, F.col("size"), dims, F.col("lang"), shards=7).collect()}
+    base = frame.select(
+        F.col("size").alias("w"), *[d.alias(f"d{i}") for i, d in enumerate(dims.values())],
+        F.pmod(F.xxhash64("lang"), F.lit(kd_sharding.TIES)).cast("int").alias("t1"), F.monotonically_increasing_id().alias("row"), "id",
+    )
+    coded = base.select(
+        "id", "row", "w", "t1", F.pmod(F.xxhash64("row"), F.lit(kd_sharding.TIES)).cast("int").alias("t2"),
+        *[c.alias(f"c{i}") for i, c in enumerate(kd_sharding._coordinates(base, 3))],
+    ).collect()
+    want = plain_tree(coded, 7, 3)
+    assert out == {r.id: want[r.row] for r in coded}
+
+
+def test_scans_of_a_level_do_not_grow_with_the_tree(spark, monkeypatch):
+    """What each level reads is a stored table: the plans of deep levels are as short as those of the first."""
+    sizes = []
+
+    def watched(df, label="stored", path=None, keep=kd_sharding.stored):
+        sizes.append((label, len(df._jdf.queryExecution().optimizedPlan().toString())))
+        return keep(df, label, path)
+
+    monkeypatch.setattr(kd_sharding, "stored", watched)
+    frame = spark.range(500).selectExpr("id", "id % 17 AS x", "id % 5 AS y")
+    kd_sharding.kd_shards(frame, F.lit(1), {"x": F.col("x"), "y": F.col("y")}, F.col("id"), shards=32).count()
+    splits = [n for label, n in sizes if label.startswith("splits")]
+    assert len(splits) == 5 and max(splits) < 1.2 * min(splits)
+
+
+def test_registered_shards(spark, given, texts):
+    out = queries.QUERIES["op1_kd_sharding"](spark, SF_DIR).collect()
+    size = {i: len((t or "").encode()) + 16 for i, t in texts.items()}
+    assert {r.doc_id: (r["size"], r.text_crc32, r.law) for r in out} == {
+        i: (size[i], zlib.crc32((t or "").encode()), "bytes") for i, t in texts.items()}
+    slots = {}
+    for r in out:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert set(slots) <= set(range(40)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_shards_split_along_the_widest_dimension(spark):
     frame = spark.range(1000).selectExpr("id", "id AS wide", "id % 2 AS narrow")
     out = kd_sharding.kd_shards(frame, F.lit(1), {"wide": F.col("wide")}, F.col("id"), shards=4).collect()
@@ -580,6 +694,69 @@ def test_secrets_are_added_and_all_is_redacted(spark):
         assert out[200 + i] == docs[200 + i]
 
 
+def test_tokens_of_any_length_are_secrets(spark):
+    """A signed token of 342 characters, a key of 5,000; an address spelled with very many parts."""
+    pick = random.Random(9)
+    secret = lambda n: "".join(pick.choices("0123456789abcdefABCDEF_-", k=n - 2)) + "a1"
+    sizes = [40, 129, 342, 5000]
+    docs = [f'token: {secret(sizes[i % 4])} .' for i in range(400)]
+    docs += [f"release candidate-{i}-of-the-project-with-a-very-long-name-{'x' * (i % 300)} is out" for i in range(400)]
+    docs += ["write to me (at) " + " dot ".join(["a"] * 3) + " or me [at] host" + " (dot) part" * (i + 1) for i in range(50)]
+    out = {r.doc_id: r.text for r in pii.redact(docs_frame(spark, docs), "text").collect()}
+    assert all(out[i] == "token: [SECRET] ." for i in range(400))
+    assert all(out[400 + i] == docs[400 + i] for i in range(400))
+    assert all(out[800 + i].endswith(" or [EMAIL]") for i in range(50))
+
+
+def test_one_class_alone_is_decided_by_the_rule(spark):
+    """All candidates are real secrets, or none is, or a kind is too rare to be calibrated."""
+    real = [f"password = {'%040x' % (7**20 * (i + 1))} ok" for i in range(30)]
+    out = [r.text for r in pii.redact(docs_frame(spark, real), "text").collect()]
+    assert out == ["password = [SECRET] ok"] * 30
+    none = [f"see page-{i}-of-the-long-catalogue" for i in range(30)]
+    assert sorted(r.text for r in pii.redact(docs_frame(spark, none), "text").collect()) == sorted(none)
+    rare = none + ["api_key='Zx9" + "q" * 30 + "'"]
+    assert pii.redact(docs_frame(spark, rare), "text").where("doc_id = 30").first().text == "api_key='[SECRET]'"
+
+
+def plain_added(candidates, base):
+    """Candidates (start, end, kind, score) that overlap no base span (a secret may hold one) and no better one."""
+    clash = lambda a, b: a[0] < b[1] and b[0] < a[1]
+    rank = lambda c: (-c[3], c[0], -c[1], c[2])
+    fit = [c for c in candidates if not any(clash(c, b) and not (c[2] == 4 and c[0] <= b[0] and b[1] <= c[1]) for b in base)]
+    return sorted(c[:3] for c in fit if not any(clash(c, d) and rank(d) < rank(c) for d in fit))
+
+
+def test_sweeps_against_all_pairs(spark):
+    pick = random.Random(12)
+    cases = []
+    for n in range(300):
+        far = pick.choice([20, 200, 2000])
+        span = lambda: (a := pick.randrange(far), a + pick.randint(1, 12))
+        base = sorted({(*span(), pick.randrange(4)) for _ in range(pick.randint(0, 70))})
+        candidates = sorted({(*span(), pick.choice([0, 3, 4]), pick.choice([0.5, 1.0, 2.0])) for _ in range(pick.choice([0, 1, 5, 150]))})
+        cases.append((n, candidates, base))
+    kind = "array<struct<start:int,end:int,kind:int,score:double>>"
+    frame = spark.createDataFrame(cases, f"n int, taken {kind}, base array<struct<start:int,end:int,kind:int>>")
+    added = pii._let(F.col("taken"), lambda found: pii._alone(pii._beside(found, F.col("base"))))
+    for r in frame.select("n", F.when(F.size("taken") > 0, added).alias("added")).collect():
+        assert sorted((c.start, c.end, c.kind) for c in r.added or []) == plain_added(*cases[r.n][1:])
+
+
+def test_texts_with_very_many_spans_take_time_in_proportion(spark):
+    def seconds(n):
+        text = " ".join(f"a{i}@b.co 1.2.3.{i % 256} é" for i in range(n))
+        frame = docs_frame(spark, [text]).coalesce(1)
+        begin = time.perf_counter()
+        out = pii.redact(frame, "text").first().text
+        assert out == " ".join(["[EMAIL] [IP] é"] * n)
+        return time.perf_counter() - begin
+
+    seconds(100)
+    few, many = seconds(6_000), seconds(50_000)
+    assert many < 16 * max(few, 2.0), (few, many)
+
+
 def test_trees_fit_on_cells_and_score_alike_in_sql(spark):
     x = np.array([(a, b) for a in range(4) for b in range(4)])
     label = ((x[:, 0] >= 2) | (x[:, 1] >= 3)).astype(float)
@@ -611,8 +788,54 @@ def test_pipeline_stage_by_stage(spark, given, tmp_path):
     assert after.count() == before.count()
     before, after = counts["simhash_near_dedup"]
     rows = sorted(before.collect(), key=lambda r: r.doc_id)
-    roots = components([plain_fingerprint(r.text, 5) for r in rows], 4)
+    roots = components([plain_fingerprint(r.text, 4) for r in rows], 4)
     assert {r.doc_id for r in after.collect()} == {rows[i].doc_id for i in set(roots)}
     before, after = counts["pii_redaction"]
     assert after.count() == before.count() and all(not plain_spans(r.text or "") for r in after.collect())
     assert {r.doc_id for r in out.collect()} == {r.doc_id for r in after.collect()}
+
+
+def pipeline_frame(spark, texts, ids=None):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row long, fp string, _text string, N_LINES string"
+    ids = range(len(texts)) if ids is None else ids
+    return spark.createDataFrame([(i, t, None, "s", None if t is None else len(t), 7, "mine", "mine", "mine") for i, t in zip(ids, texts)], schema)
+
+
+def test_pipeline_of_odd_rows_and_columns(spark, tmp_path):
+    """NULL and empty texts, NULL and repeated ids, repeated rows, columns called like helpers; each stage alone."""
+    long = " ".join(f"word{i} more{i}" for i in range(400))
+    texts = [None, "", " \n", "short", long, long, long + " and an address a@b.co", "\n".join(f"{long[:200]} {i}" for i in range(3)), None]
+    frame = pipeline_frame(spark, texts, [0, 1, 2, 3, 4, 4, 5, None, None])
+    kept = {}
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, frame, SF_DIR)
+        out.write.parquet(str(tmp_path / name))
+        out = spark.read.parquet(str(tmp_path / name))
+        kept[name] = out.collect()
+        if number < 4:
+            assert out.columns == frame.columns
+            assert all((r.fp, r._text, r.N_LINES, r.row) == ("mine", "mine", "mine", 7) for r in kept[name])
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept["quality_rules"]) == [(False, 4), (False, 4), (False, 5), (True, 0)] or \
+        {r.doc_id for r in kept["quality_rules"]} >= {4, 5}
+    assert len(kept["line_dedup"]) == len(texts) and len(kept["pii_redaction"]) == len(texts)
+    assert [r.text for r in kept["pii_redaction"] if r.doc_id == 5] == [long + " and an address [EMAIL]"]
+    assert sum(r.text is None for r in kept["pii_redaction"]) == 2
+    near = kept["simhash_near_dedup"]
+    assert sum(r.text == long for r in near) <= 1 and sum(not (r.text or "").strip() for r in near) == 1
+    assert sorted({r.doc_id for r in kept["best_fit_packing"] if r.doc_id is not None}) == [0, 1, 2, 3, 4, 5]
+    assert sum(r.length for r in kept["best_fit_packing"] if r.doc_id in (0, 1)) == 2, "the end token alone"
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_pipeline_stages_of_an_empty_table(spark, number):
+    frame = pipeline_frame(spark, ["x"]).where("false")
+    out = corpus_pipeline.STAGES[number][1](spark, frame, SF_DIR)
+    assert out.collect() == [] and (number == 4 or out.columns == frame.columns)
+
+
+def test_line_dedup_stage_drops_what_the_operator_drops(spark, given):
+    cleaned = line_templates.drop_template_lines(given, "text")
+    want = {r.doc_id: r.text for r in cleaned.collect()}
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.line_dedup(spark, given, SF_DIR).collect()}
+    assert got == {i: (t, None if t is None else len(t)) for i, t in want.items()}
+    assert cleaned.where("n_dropped > 0").count() > 0
