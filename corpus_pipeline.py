@@ -2,6 +2,7 @@
 
 Each stage takes the documents that the one before has kept and returns documents with the same
 columns; the last packs them into training sequences.  ``n_chars`` follows the text where it changes.
+Further columns, of any name, are carried through all but the last.  An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -49,32 +50,45 @@ def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 @_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are too short or repeat themselves go."""
+    """Documents that are too short or repeat themselves go.
+
+    NULL and empty texts have no words and go; repeated rows are judged alike, texts whole.
+    """
     return repetition.keep_sound(docs, "text")
 
 
 @_stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of templates that recur across documents go; the documents stay."""
+    """Lines of templates that recur across documents go; the documents stay.
+
+    NULL stays NULL; a document that loses every line stays with an empty text, repeated rows stay.
+    """
     cleaned = line_templates.drop_template_lines(docs, "text", lines_col="_lines", dropped_col="_dropped")
     return _with_length(cleaned, docs.columns)
 
 
 @_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return simhash.keep_one_per_component(docs, "doc_id", "text", words=5, distance=4)
+    """One document of each group of near copies stays: the smallest ``doc_id``, NULL last, then the first read.
+
+    Four-word shingles and four differing bits, as the operator's own query has them.  NULL and empty
+    texts are one group, as are repeated rows.
+    """
+    return simhash.keep_one_per_component(docs, "doc_id", "text", words=4, distance=4)
 
 
 @_stage
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and secrets are replaced by their kind."""
+    """Personal data and secrets are replaced by their kind; NULL, empty and clean texts stay as they are."""
     return _with_length(pii.redact(docs, "text"), docs.columns)
 
 
 @_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The tokens of all documents in sequences of at most 2048."""
+    """The tokens of all documents in sequences of at most 2048.
+
+    A NULL or empty text is its end token; repeated rows are documents each.
+    """
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     pieces = packing.token_pieces(docs.select("doc_id", "text"), "text", tokenizer, packing.CAPACITY, with_ids=True)
     return packing.pack(pieces, packing.CAPACITY)
