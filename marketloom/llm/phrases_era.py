@@ -301,14 +301,19 @@ def _subtree(partition, least: int):
 
 
 def _prefix_counts(docs: DataFrame, partition, depth: int) -> DataFrame:
-    """(key, f): prefixes of ``depth`` words whose first ``depth - 1`` words are over the budget."""
+    """(key, f): prefixes of ``depth`` words that may be over the budget.
+
+    No phrase occurs more often than its parts, so all but the first and all but the last word must be
+    over the budget; few pairs are, however many words follow a frequent one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: Partition = partition.value
         for read in _reads(batches, given):
             suffixes = _suffixes(read)
             suffixes = suffixes[:, _in_dictionary(suffixes, depth, given)]
-            hot, _ = given.splits[depth - 2].find(_key(suffixes, depth - 1))
+            split = given.splits[depth - 2]
+            hot = split.find(_key(suffixes, depth - 1))[0] & split.find(_key(suffixes[1:], depth - 1))[0]
             keys, counts = np.unique(_key(suffixes[:, hot], depth), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(counts, pa.int64())], ["key", "f"])
 
