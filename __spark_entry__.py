@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import functools
+import importlib
 import os
 import sys
 from collections.abc import Callable, Mapping
@@ -450,14 +451,14 @@ def entry(spark: SparkSession) -> DataFrame:
 def _corpus_queries() -> tuple[dict[str, Callable], dict[str, str]]:
     """Queries and SQL of the training-data operators; none where that subpackage is not installed."""
     try:
-        import corpus_pipeline
-        from marketloom.llm import queries as llm
+        llm = importlib.import_module("marketloom.llm.queries")
+        pipeline = importlib.import_module("corpus_pipeline")
     except ModuleNotFoundError as gone:
-        if gone.name not in ("corpus_pipeline", "marketloom.llm"):
+        if gone.name not in ("corpus_pipeline", "marketloom.llm", "marketloom.llm.queries"):
             raise
         return {}, {}
-    named = {**llm.QUERIES, "pipeline": corpus_pipeline.run}
-    sql = {**llm.ORACLE_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    named = {**llm.QUERIES, "pipeline": pipeline.run}
+    sql = {**llm.ORACLE_SQL, "pipeline": pipeline.ORACLE_SQL}
     return (
         {name: _with_modules(query) for name, query in named.items()},
         {name: text for name, text in sql.items() if text},

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -14,10 +15,16 @@ def scratch_root(spark: SparkSession) -> str:
 
     The folder that the session names in ``spark.checkpoint.dir``, else the checkpoint folder of the
     context, else a folder of the warehouse.  All three are shared between the driver and the
-    executors; a machine-local temporary folder is never used.
+    executors; a machine-local temporary folder is never used, and a warehouse on a local disk is
+    refused unless the executors run in the driver.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith(("file:", "/")) and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{warehouse.rstrip('/')}/_scratch"
 
 
 def _file_system(spark: SparkSession, path: str):

@@ -6,6 +6,7 @@ import gzip
 import io
 import os
 import re
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -17,6 +18,7 @@ from marketloom.plans import marts, silver
 from marketloom.plans.refresh import RefreshReport, full_refresh
 from marketloom.sources import landing
 from marketloom.sources.ledger import AlreadyRecorded, RunLedger, run_history
+from marketloom.sources.scratch import scratch_root
 from marketloom.sources.tables import CatalogStore, ConcurrentWrite, NullsInRequiredColumns, PathStore, _prepared
 from retail_fixture import AS_OF, LOAD_TS, Bridge
 
@@ -343,3 +345,18 @@ def test_counts_are_taken_after_the_last_shuffle(spark):
     text = plan(frame)
     assert text.index("CollectMetrics") < text.index("REBALANCE_PARTITIONS_BY_COL")
     assert text.count("CollectMetrics") == 1
+
+
+def test_scratch_tables_never_go_to_a_local_disk_of_a_cluster():
+    def session(master, warehouse, checkpoint=None, context_dir=None):
+        settings = {"spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": checkpoint}
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: context_dir)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings[key] or default), sparkContext=context)
+
+    assert scratch_root(session("yarn", "file:/w", "hdfs://x/c/")) == "hdfs://x/c"
+    assert scratch_root(session("yarn", "file:/w", None, "s3://y")) == "s3://y"
+    assert scratch_root(session("yarn", "hdfs://z/w/")) == "hdfs://z/w/_scratch"
+    assert scratch_root(session("local[4]", "file:/w")) == scratch_root(session("local", "file:/w/")) == "file:/w/_scratch"
+    for warehouse in ("file:/w", "/w"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch_root(session("local-cluster[2,1,1024]", warehouse))
