@@ -768,6 +768,133 @@ def test_trees_fit_on_cells_and_score_alike_in_sql(spark):
     assert boosting.fit(("a", "b"), x, np.ones(16), np.ones(16)) is None
 
 
+# --- line templates, in plain Python ---------------------------------------
+
+def signed_hash(text):
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def plain_mask(line):
+    if re.search(r"[\t\r\x0b\f]|  ", line):
+        line = re.sub(r"[ \t\r\x0b\f]+", " ", line)
+    return " ".join("<*>" if re.search("[0-9@]", token) else token for token in line.strip(" ").split(" "))
+
+
+def plain_leaf_templates(lines, least):
+    """{mask: leaf} of the masked lines that follow the template of their leaf."""
+    leaves, members = {}, {}
+    for mask in lines:
+        tokens = mask.split(" ")
+        leaves.setdefault((len(tokens), tuple(tokens[:3])), Counter())[mask] += 1
+    for leaf, masks in leaves.items():
+        if sum(masks.values()) < least or len(masks) < 2 or leaf[0] < 3:
+            continue
+        template = []
+        for place in range(leaf[0]):
+            counts = Counter()
+            for mask, n in masks.items():
+                counts[mask.split(" ")[place]] += n
+            n, token = max((n, token.encode()) for token, n in counts.items())
+            template.append(token.decode() if 2 * n > sum(counts.values()) and token != b"<*>" else None)
+        if sum(t is not None for t in template) >= 0.6 * len(template):
+            for mask in masks:
+                if all(want in (None, have) for want, have in zip(template, mask.split(" "))):
+                    members[mask] = leaf
+    return members
+
+
+def plain_template_lines(texts, least=10):
+    """Texts without the lines of recurring templates."""
+    rows = []
+    for at, text in enumerate(texts):
+        if text is None:
+            continue
+        filled = [(i, m) for i, line in enumerate(text.split("\n")) if (m := plain_mask(line))]
+        document = signed_hash(text)
+        marks = [signed_hash(m) for _, m in filled]
+        for k, (i, m) in enumerate(filled):
+            if len(m.split(" ")) >= 3 or m not in ("<*>", "<*> <*>"):
+                rows.append(dict(
+                    at=at, line=i, k=k, n=len(filled), document=document, mask=m, long=len(m.split(" ")) >= 20,
+                    before=marks[k - 1] if k else document, after=marks[k + 1] if k + 1 < len(marks) else document))
+    members = plain_leaf_templates([r["mask"] for r in rows], least)
+    for r in rows:
+        r["template"] = members.get(r["mask"], r["mask"])
+    need = lambda r: min(least, 2) if r["long"] else least
+    counts = Counter(r["template"] for r in rows)
+    frequent = [r for r in rows if counts[r["template"]] >= need(r)]
+    by_row = {}
+    for r in frequent:
+        by_row.setdefault(r["at"], []).append(r)
+    for lines in by_row.values():
+        lines.sort(key=lambda r: r["k"])
+        begin = 0
+        for j in range(len(lines)):
+            if j + 1 == len(lines) or lines[j + 1]["k"] != lines[j]["k"] + 1:
+                for r in lines[begin : j + 1]:
+                    other = 2 * len(lines) <= r["n"]
+                    r["run_before"] = lines[begin]["before"] if other else None
+                    r["run_after"] = lines[j]["after"] if other else None
+                begin = j + 1
+    per_document = {}
+    for r in frequent:
+        held = per_document.setdefault((r["template"], r["document"]), {c: [] for c in ("before", "after", "run_before", "run_after")})
+        for c, values in held.items():
+            if r[c] is not None:
+                values.append(r[c])
+    recurring = set()
+    for template in {t for t, _ in per_document}:
+        held = [h for (t, _), h in per_document.items() if t == template]
+        enough = need(next(r for r in frequent if r["template"] == template))
+
+        def varied(before, after, least):
+            firsts = [[min(h[c]) for h in held if h[c]] for c in (before, after)]
+            documents, around = len(firsts[0]), min(len(set(f)) for f in firsts)
+            return documents >= least and around >= max(least, 0.5 * documents)
+
+        if varied("before", "after", least) or varied("run_before", "run_after", enough):
+            recurring.add(template)
+    gone = {(r["at"], r["line"]) for r in frequent if r["template"] in recurring}
+    return [
+        None if t is None else "\n".join(line for i, line in enumerate(t.split("\n")) if (at, i) not in gone)
+        for at, t in enumerate(texts)
+    ]
+
+
+def test_template_lines_against_a_plain_version(spark, texts):
+    """Leaf templates with variable words and numbers, footers of two lines, long passages, NULLs and copies."""
+    pick = random.Random(21)
+    names = ["ann", "bob", "cid", "dee", "eve", "fay", "gus", "hal"]
+    passage = " ".join(f"p{chr(97 + i % 26)}q{chr(97 + i // 26)}" for i in range(60))
+    made = []
+    for i in range(140):
+        own = [" ".join(pick.choices(["lorem", "ipsum", "dolor", "sit", "amet", "elit", "sed", "do"], k=pick.randint(1, 9))) + f" z{i}q" for _ in range(6)]
+        if i % 2:
+            own.insert(3, f"We logged in {pick.choice(names)} from {i}.0.0.1 at  noon")
+        if i % 3 == 0:
+            own += ["Share this page with friends", "All rights reserved"]
+        if i % 20 == 0:
+            own.insert(2, passage)
+        if i % 7 == 0:
+            own.insert(1, "")
+        made.append("\n".join(own))
+    made += [None, "", "\n\n", made[3], made[3], "Read more", "12 34", "x" * 30_000]
+    for docs in (made, list(texts.values())):
+        got = {r.doc_id: r.text for r in line_templates.drop_template_lines(docs_frame(spark, docs).repartition(4), "text").collect()}
+        want = plain_template_lines(docs)
+        assert [got[i] for i in range(len(docs))] == want
+        assert want != docs, "something recurs"
+    assert all("logged in" not in (t or "") and "Share this" not in (t or "") for t in plain_template_lines(made))
+
+
+def test_registered_template_lines(spark, given, texts):
+    want = dict(zip(texts, plain_template_lines(list(texts.values()))))
+    for r in queries.QUERIES["op7_line_templates"](spark, SF_DIR).collect():
+        kept = want[r.doc_id]
+        assert r.kept_sha256 == (None if kept is None else hashlib.sha256(kept.encode()).hexdigest())
+
+
 # --- pipeline ------------------------------------------------------------
 
 def test_pipeline_stage_by_stage(spark, given, tmp_path):
