@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import free_name
-from marketloom.sources.scratch import stored
+from marketloom.sources.scratch import discard, scratch_path, stored
 
 LEADING = 3  # tokens below the token count in the tree
 MIN_TOKENS = 3  # shorter lines have a template if they hold a token that is no variable field
@@ -32,9 +32,14 @@ FILTER_BUCKETS = 1 << 18  # rows of the broadcast filter at most, whatever the c
 VARIABLE = "<*>"
 
 
-def _masked(line: Column) -> Column:
-    """A line with single spaces and with its variable tokens replaced."""
-    spaced = F.trim(F.when(F.rlike(line, F.lit(r"[\t\r\x0B\f]|  ")), F.regexp_replace(line, r"[ \t\r\x0B\f]+", " ")).otherwise(line))
+def _spaced(line: Column) -> Column:
+    """A line with single spaces."""
+    odd = F.rlike(line, F.lit(r"[\t\r\x0B\f]|  "))
+    return F.trim(F.when(odd, F.regexp_replace(line, r"[ \t\r\x0B\f]+", " ")).otherwise(line))
+
+
+def _variables_masked(spaced: Column) -> Column:
+    """Single-spaced tokens with the variable ones replaced; their number stays."""
     return F.when(
         F.rlike(spaced, F.lit("[0-9@]")), F.regexp_replace(spaced, r"(?<![^ ])[^ 0-9@]*+[0-9@][^ ]*+", VARIABLE)
     ).otherwise(spaced)
@@ -44,39 +49,42 @@ def _tokens(masked: Column) -> Column:
     return F.length(masked) - F.length(F.replace(masked, F.lit(" "), F.lit(""))) + 1
 
 
-def _has_template(masked: Column) -> Column:
-    return (_tokens(masked) >= MIN_TOKENS) | ~masked.isin("", VARIABLE, f"{VARIABLE} {VARIABLE}")
+def _has_template(masked: Column, tokens: Column) -> Column:
+    return (tokens >= MIN_TOKENS) | ~masked.isin("", VARIABLE, f"{VARIABLE} {VARIABLE}")
 
 
-def _leaf(masked: Column) -> Column:
-    return F.xxhash64(_tokens(masked), F.substring_index(masked, " ", LEADING))
+def _leaf(masked: Column, tokens: Column) -> Column:
+    return F.xxhash64(tokens, F.substring_index(masked, " ", LEADING))
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """(row, line, k, n, document, long, mask, leaf, before, after) of lines that have a template.
+    """(row, line, k, n, document, long, mask, leaf, before, after, masked, tokens) of lines that have a template.
 
     ``k`` is the place among the ``n`` lines that are not blank.  The neighbours of a line are the next
-    of these, masked too; the end of a document counts as one that no other has.
+    of these, masked too; the end of a document counts as one that no other has.  Each step over the
+    lines is a transformation of its own, so that what it makes is made once.
     """
-    masked = F.transform(F.split("t", "\n"), lambda line, i: F.struct(_masked(line).alias("masked"), i.alias("line")))
+    masked = F.transform(F.transform(F.split("t", "\n"), _spaced), _variables_masked)
+    placed = F.transform(masked, lambda m, i: F.struct(m.alias("masked"), _tokens(m).alias("tokens"), i.alias("line")))
     return (
         rows.where("t IS NOT NULL")
-        .select("row", F.xxhash64("t").alias("document"), masked.alias("m"))
+        .select("row", F.xxhash64("t").alias("document"), placed.alias("m"))
         .withColumn("m", F.filter("m", lambda m: m["masked"] != ""))
         .withColumn("h", F.transform("m", lambda m: F.xxhash64(m["masked"])))
         .select("row", "document", "h", F.size("m").alias("n"), F.posexplode("m").alias("k", "m"))
-        .select("row", "document", "h", "n", "k", "m.line", "m.masked")
-        .where(_has_template(F.col("masked")))
+        .select("row", "document", "h", "n", "k", "m.line", "m.masked", "m.tokens")
+        .where(_has_template(F.col("masked"), F.col("tokens")))
         .select(
-            "row", "line", "k", "n", "document", (_tokens(F.col("masked")) >= LONG_TOKENS).alias("long"),
-            F.xxhash64("masked").alias("mask"), _leaf(F.col("masked")).alias("leaf"),
+            "row", "line", "k", "n", "document", (F.col("tokens") >= LONG_TOKENS).alias("long"),
+            F.get("h", F.col("k")).alias("mask"), _leaf(F.col("masked"), F.col("tokens")).alias("leaf"),
             F.coalesce(F.get("h", F.col("k") - 1), "document").alias("before"),
             F.coalesce(F.get("h", F.col("k") + 1), "document").alias("after"),
+            "masked", "tokens",
         )
     )
 
 
-def _leaf_members(rows: DataFrame, lines: DataFrame, min_documents: int) -> DataFrame:
+def _leaf_members(lines: DataFrame, min_documents: int) -> DataFrame:
     """(mask, template): the lines that follow the generalised template of their leaf."""
     mixed = stored(
         lines.groupBy("leaf")
@@ -88,11 +96,8 @@ def _leaf_members(rows: DataFrame, lines: DataFrame, min_documents: int) -> Data
     bucket = F.pmod(F.col("leaf"), F.lit(FILTER_BUCKETS))
     near = mixed.select(bucket.alias("bucket")).distinct()
     texts = (
-        rows.where("t IS NOT NULL")
-        .select(F.explode(F.transform(F.split("t", "\n"), _masked)).alias("masked"))
-        .where(_tokens(F.col("masked")) >= MIN_TOKENS)
-        .withColumn("leaf", _leaf(F.col("masked")))
-        .withColumn("bucket", bucket)
+        lines.where(F.col("tokens") >= MIN_TOKENS)
+        .select("leaf", "masked", bucket.alias("bucket"))
         .join(F.broadcast(near), "bucket", "left_semi")
         .groupBy("leaf", "masked")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -145,9 +150,11 @@ def drop_template_lines(
 
     The other lines keep their order and wording.  A document that loses all its lines has an empty
     text; a NULL text stays NULL, with no lines.  Repeated rows are treated alike, and an empty table
-    gives an empty result.  Columns of ``df`` that are called like a result are replaced.
+    gives an empty result.  Columns of ``df`` that are called like a result, in upper or lower case,
+    are replaced.  Lines, and templates of leaves, are told apart by 64-bit hashes.
     """
-    names = [c for c in df.columns if c not in (lines_col, dropped_col) or c == text]
+    replaced = (lines_col.lower(), dropped_col.lower())
+    names = [c for c in df.columns if c.lower() not in replaced or c == text]
     held = free_name(df, "_row_of_df")
     rows = stored(
         df.select(
@@ -157,8 +164,12 @@ def drop_template_lines(
         ),
         "documents",
     )
-    lines = stored(_lines(rows), "lines")
-    members = stored(_leaf_members(rows, lines, min_documents), "members")
+    # lines are masked once; their masked texts are kept only until the leaves are known
+    path = scratch_path(df.sparkSession, "masked-lines")
+    masked = stored(_lines(rows), path=path)
+    members = stored(_leaf_members(masked, min_documents), "members")
+    lines = stored(masked.drop("masked", "tokens"), "lines")
+    discard(df.sparkSession, path)
     marked = lines.drop("leaf").join(members, "mask", "left")
     marked = marked.withColumn("template", F.coalesce("template", "mask")).drop("mask")
     least = F.when(F.col("long"), F.least(F.lit(min_documents), F.lit(LONG_DOCUMENTS))).otherwise(F.lit(min_documents))
