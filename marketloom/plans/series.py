@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from marketloom.functions import exact
 from marketloom.functions.base import ladder
 from marketloom.plans import golden, marts
+from marketloom.sources.ledger import SUCCEEDED
 
 # One period back from a date, and the step between periods.
 _PERIODS = {
@@ -207,6 +208,19 @@ def weekly_anomalies(sales: DataFrame, orders: DataFrame, reviews: DataFrame, as
     )
 
 
+def run_anomalies(records: DataFrame) -> DataFrame:
+    """Runs of a ledger after which a table had far more or fewer rows than after the runs before.
+
+    ``records`` are those of ``sources.ledger.RunLedger``; runs that failed are passed over.  A table's
+    first runs are not judged.
+    """
+    done = records.where((F.col("status") == SUCCEEDED) & F.col("table_name").isNotNull())
+    counts = done.select("run_id", "run_ts", "table_name", "rows_written", F.col("rows_written").cast("double").alias("value"))
+    return flag_anomalies(counts, ["table_name"], "run_ts", "value").select(
+        "run_id", "table_name", "rows_written", "trailing_median", "score", "is_anomaly"
+    )
+
+
 # --- trend -------------------------------------------------------------------
 
 _MOMENTS = ("n", "t", "y", "tt", "ty")

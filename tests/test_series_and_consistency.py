@@ -14,6 +14,8 @@ import __spark_entry__ as entry
 from marketloom.contracts import GOLDEN, SILVER
 from marketloom.functions import exact
 from marketloom.plans import consistency, reach, series
+from marketloom.plans.refresh import RefreshReport
+from marketloom.sources.ledger import RunLedger
 from marketloom.sources.scratch import stored
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -117,6 +119,19 @@ def test_a_spike_in_weekly_revenue_is_found(spark):
     assert max(r.week_start for r in found) == week(28), "the running week is not judged"
 
 
+def test_a_run_with_far_fewer_rows_stands_out(spark, tmp_path):
+    ledger = RunLedger(spark, str(tmp_path))
+    for n in range(9):
+        report = RefreshReport({"silver.fact_orders": 40 if n == 7 else 1000 + n % 3, "silver.dim_products": 20})
+        when = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(days=7 * n)
+        if n == 5:
+            ledger.record(f"w{n}", RefreshReport({"silver.fact_orders": 1}), when, week(n), OSError("lost"))
+        ledger.record(f"w{n}", report, when, week(n))
+    found = series.run_anomalies(ledger.read()).collect()
+    assert [(r.run_id, r.table_name, r.rows_written) for r in found if r.is_anomaly] == [("w7", "silver.fact_orders", 40)]
+    assert len(found) == 18 and sum(r.is_anomaly is None for r in found) == 8
+
+
 # --- trend and forecast --------------------------------------------------------
 
 def test_trend_of_products_and_categories(spark):
