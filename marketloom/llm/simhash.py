@@ -128,9 +128,10 @@ def simhash_links(prints: DataFrame, distance: int) -> DataFrame:
         raise ValueError(f"distance must be 0 to {MAX_DISTANCE}")
     spark = prints.sparkSession
     balls = _balls(prints)
-    # counted before the shuffle; a join can split a value that very many fingerprints share, a window cannot
+    # counted before the shuffle; a join can split a value that very many fingerprints share, a window cannot.
+    # It is a merge join: from the size of the fingerprints Spark cannot tell that there are 66 rows of each
     shared = balls.groupBy("half", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = stored(balls.join(shared, ["half", "key"]), "met")
+    met = stored(balls.join(shared.hint("merge"), ["half", "key"]), "met")
     crowded = met.where(F.col("n") > HOT_BUCKET)
     links = _links(met.where(F.col("n") <= HOT_BUCKET), distance)
     if not crowded.isEmpty():
