@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from marketloom.contracts import BRONZE, file_schema
 from marketloom.functions.base import ladder
+from marketloom.sources.scratch import open_folders
 
 # Fixed value: a quote inside a quoted field is doubled.
 CSV_OPTIONS = {"escape": '"'}
@@ -65,13 +66,15 @@ def split_landing(spark: SparkSession, table: str, path: str, into: str) -> tupl
     Returns the good rows (columns of the file), the rejects (table_name, source_file, raw_record,
     reason) and the counts of both; their sum is the number of records in the files.  A record is
     rejected if it has too few or too many fields or a quote that is not closed; one job reads the
-    files and fills both folders.  What is in ``into`` is replaced.
+    files and fills both folders, without sorting the rows.  What is in ``into`` is replaced.
     """
     names, watch = file_schema(table).names, Observation()
     read = read_landing(spark, table, path, corrupt_column=RAW)
-    flagged = read.withColumn(FILE, F.col("_metadata.file_path")).withColumn(REJECTED, F.col(RAW).isNotNull())
+    rejected = F.col(RAW).isNotNull()
+    flagged = read.withColumn(FILE, F.when(rejected, F.col("_metadata.file_path"))).withColumn(REJECTED, rejected)
     counted = flagged.observe(watch, F.count_if(~F.col(REJECTED)).alias("good"), F.count_if(REJECTED).alias("rejected"))
-    counted.write.mode("overwrite").partitionBy(REJECTED).parquet(into)
+    with open_folders(spark, 2):
+        counted.write.mode("overwrite").partitionBy(REJECTED).parquet(into)
     schema = file_schema(table).add(RAW, "string").add(FILE, "string").add(REJECTED, "boolean")
     split = spark.read.schema(schema).parquet(into)
     rejects = split.where(REJECTED).select(

@@ -32,6 +32,22 @@ def _file_system(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
 
+@contextlib.contextmanager
+def open_folders(spark: SparkSession, folders: int) -> Iterator[None]:
+    """Let a task keep the files of so many partition folders open while it writes.
+
+    Without, Spark sorts all rows of a task by folder first, so that one file is open at a time; with
+    it, a task sorts only what comes after it has met more folders than that.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, folders)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 _recorders: list[list[str]] = []
 
 

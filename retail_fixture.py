@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from marketloom.contracts import BRONZE, file_schema
 from marketloom.sources.landing import CSV_OPTIONS
-from marketloom.sources.scratch import scratch_path
+from marketloom.sources.scratch import scratch_path, stored
 
 # Reference date and load time of the derived data.
 AS_OF = dt.date(2001, 8, 2)
@@ -40,7 +40,7 @@ STAR_SCHEMA = {
 
 def _decimal_text(cents: str) -> str:
     """SQL for whole cents as text with two decimals."""
-    return f"string(cast(cast({cents} AS decimal(18,0)) / 100 AS decimal(18,2)))"
+    return f"concat(if({cents} < 0, '-', ''), abs({cents}) div 100, '.', lpad(abs({cents}) % 100, 2, '0'))"
 
 
 # Keys of added rows that no fact refers to, and of rows without any value.
@@ -50,39 +50,48 @@ LONE, BLANK = 1_000_000_000, 2_000_000_000
 def _with_copies(df: DataFrame, key: str, lone: int | None = None, blank: int | None = None) -> DataFrame:
     """Add rows without a second scan: an outdated copy (``stale``) of every tenth key, a copy under a
     new key of every ``lone``-th one, and one that loses all values (``blank``) of every ``blank``-th one."""
-    variants = ["named_struct('stale', false, 'blank', false, 'shift', 0L)",
-                f"if({key} % 10 = 0, named_struct('stale', true, 'blank', false, 'shift', 0L), NULL)"]
+    def only(every: int, variant: str) -> str:
+        return f"if({key} % {every} = 0, array({variant}), array())"
+
+    variants = ["array(named_struct('stale', false, 'blank', false, 'shift', 0L))",
+                only(10, "named_struct('stale', true, 'blank', false, 'shift', 0L)")]
     if lone:
-        variants.append(f"if({key} % {lone} = 0, named_struct('stale', false, 'blank', false, 'shift', {LONE}L), NULL)")
+        variants.append(only(lone, f"named_struct('stale', false, 'blank', false, 'shift', {LONE}L)"))
     if blank:
-        variants.append(f"if({key} % {blank} = 0, named_struct('stale', false, 'blank', true, 'shift', {BLANK}L), NULL)")
-    every = f"filter(array({', '.join(variants)}), x -> x IS NOT NULL)"
+        variants.append(only(blank, f"named_struct('stale', false, 'blank', true, 'shift', {BLANK}L)"))
     return (
-        df.withColumn("copy", F.expr(f"explode({every})"))
+        df.withColumn("copy", F.expr(f"explode(concat({', '.join(variants)}))"))
         .select(*[(F.col(key) + F.col("copy.shift")).alias(key) if c == key else c for c in df.columns], "copy.stale", "copy.blank")
     )
 
 
 class Bridge:
-    """The raw frames derived from the parquet tables in ``folder``."""
+    """The raw frames derived from the parquet tables in ``folder``.
+
+    With ``every`` only those of keys divisible by it, which are chosen before anything is joined.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+    def __init__(self, spark: SparkSession, folder: str, every: int = 1):
+        self.spark, self.folder, self.every = spark, folder.rstrip("/"), every
 
     def _table(self, name: str) -> DataFrame:
         return self.spark.read.schema(STAR_SCHEMA[name]).parquet(f"{self.folder}/{name}.parquet")
 
+    def _chosen(self, name: str, key: str) -> DataFrame:
+        table = self._table(name)
+        return table if self.every == 1 else table.where(F.col(key) % self.every == 0)
+
     def _fact(self, name: str, key: str) -> DataFrame:
         """A fact table, spread by ``key`` if it comes in fewer files than there are cores.
 
         A parquet file of one row group is read by one task; a table of many
-        files is left as it is.
+        files is left as it is, and so are a few chosen rows.
         """
-        table, cores = self._table(name), self.spark.sparkContext.defaultParallelism
-        return table.repartition(cores, key) if len(table.inputFiles()) < cores else table
+        table, cores = self._chosen(name, key), self.spark.sparkContext.defaultParallelism
+        return table.repartition(cores, key) if self.every == 1 and len(table.inputFiles()) < cores else table
 
     def customers(self) -> DataFrame:
-        joined = self._table("customer").join(
+        joined = self._chosen("customer", "c_custkey").join(
             self._table("nation"), F.expr("c_nationkey = n_nationkey"), "left"
         )
         return _with_copies(joined, "c_custkey", lone=50, blank=100).selectExpr(
@@ -106,7 +115,7 @@ class Bridge:
             .join(self._table("customer"), F.expr("o_custkey = c_custkey"), "left")
             .join(self._table("nation"), F.expr("c_nationkey = n_nationkey"), "left")
         )
-        amount = _decimal_text("bigint(rint(o_totalprice * 100)) div 1000")
+        amount = _decimal_text("(bigint(rint(o_totalprice * 100)) div 1000)")
         return _with_copies(joined, "o_orderkey").selectExpr(
             "string(o_orderkey) AS order_id",
             "if(o_orderkey % 211 <> 0, string(o_custkey), NULL) AS customer_id",
@@ -121,8 +130,8 @@ class Bridge:
         )
 
     def products(self) -> DataFrame:
-        price = _decimal_text("(bigint(rint(p_retailprice * 100)) - 90000) * 5")
-        return _with_copies(self._table("part"), "p_partkey", lone=40).selectExpr(
+        price = _decimal_text("((bigint(rint(p_retailprice * 100)) - 90000) * 5)")
+        return _with_copies(self._chosen("part", "p_partkey"), "p_partkey", lone=40).selectExpr(
             "if(p_partkey % 199 <> 0, string(p_partkey), NULL) AS product_id",
             "p_name AS product_name",
             "p_type AS category",
@@ -172,13 +181,12 @@ class Bridge:
     def land_malformed(self, table: str, path: str) -> None:
         """Add records that do not fit the table to its landing folder: two fields only, or one too many.
 
-        They are made of the rows of every 50th key (orders and reviews: of every 500th order).
+        They are made of the rows of every 50th key (orders and reviews: of every 500th order), read once.
         """
         names = file_schema(table).names
-        raw = self.bronze(table).select(*names)
-        number = F.try_to_number(F.split(names[0], "-")[0], F.lit("9999999999"))
         every = 500 if table in ("orders", "product_reviews") else 50
-        chosen = raw.where(number % every == 0)
+        raw = Bridge(self.spark, self.folder, every).bronze(table).select(*names)
+        chosen = stored(raw.where(F.col(names[0]).isNotNull()), "chosen")
         surplus = chosen.withColumn("surplus", F.lit("more"))
         for frame in (chosen.select(*names[:2]), surplus):
             writer = frame.write.mode("append").options(header=True, **CSV_OPTIONS)

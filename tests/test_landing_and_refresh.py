@@ -10,6 +10,7 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -360,3 +361,32 @@ def test_scratch_tables_never_go_to_a_local_disk_of_a_cluster():
     for warehouse in ("file:/w", "/w"):
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             scratch_root(session("local-cluster[2,1,1024]", warehouse))
+
+
+# --- work per row ---------------------------------------------------------------
+
+def test_malformed_records_are_chosen_before_anything_is_joined(spark):
+    text = plan(Bridge(spark, SF_DIR, every=500).product_reviews())
+    below = text[text.index("Join"):]
+    assert re.search(r"Filter .*l_orderkey#\d+L? % 500", below) and "RoundRobin" not in text and "REPARTITION" not in text
+    chosen = Bridge(spark, SF_DIR, every=500).product_reviews().collect()
+    want = Bridge(spark, SF_DIR).product_reviews().where("int(split(review_id, '-')[0]) % 500 = 0").collect()
+    assert chosen and sorted(map(repr, chosen)) == sorted(map(repr, want))
+    for table, every in (("customers", 50), ("products", 50), ("orders", 500)):
+        key = LAYERS["bronze"][table].names[0]
+        number = F.try_to_number(F.col(key), F.lit("9999999999"))
+        have = getattr(Bridge(spark, SF_DIR, every), table)().where(F.col(key).isNotNull()).collect()
+        want = getattr(Bridge(spark, SF_DIR), table)().where(number % every == 0).collect()
+        assert have and sorted(map(repr, have)) == sorted(map(repr, want))
+
+
+def test_records_are_split_without_a_sort(spark, tmp_path, monkeypatch):
+    """Both folders stay open while a task writes; Spark sorts by folder where that is not allowed."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(CUSTOMERS)
+    conf, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **b: (seen.append(spark.conf.get(conf)), write(self, *a, **b))[1])
+    before = spark.conf.get(conf)
+    _, rejects, counts = landing.split_landing(spark, "customers", str(tmp_path / "in"), str(tmp_path / "out"))
+    assert seen == ["2"] and spark.conf.get(conf) == before
+    assert counts == {"good": 1, "rejected": 2} and rejects.where("source_file LIKE '%a.csv'").count() == 2
