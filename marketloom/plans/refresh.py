@@ -84,11 +84,10 @@ def load_silver(
 
 # Tables that are read by ranges of these columns, and written in such ranges.
 # The customer table is looked up by customer, which its last join has already
-# spread and sorted.
+# spread and sorted, the monthly sentiment by product, which its window has.
 READ_ORDER = {
     "agg_sales_summary": ("order_date_dt", "shipping_country"),
     "agg_product_performance": ("rating_rank", "product_id"),
-    "agg_review_sentiment": ("product_id", "review_month"),
 }
 
 

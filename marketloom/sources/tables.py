@@ -24,11 +24,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.contracts import LAYERS, conform
+from marketloom.sources.scratch import open_folders
 
 # Large tables that are read by date: written in one folder per month of this column.
 MONTHLY = {("silver", "fact_orders"): "order_date", ("silver", "fact_reviews"): "review_date"}
 MONTH = "_month"
 
+# Months that a task writes side by side; rows of further ones are sorted by month first.
+OPEN_MONTHS = 16
+
 
 class NullsInRequiredColumns(ValueError):
     """A table was not published because columns that are declared NOT NULL hold NULLs."""
@@ -158,7 +162,8 @@ class PathStore:
         with self._claimed(layer, table):
             before = self._current(folder)
             try:
-                writer.save(f"{folder}/{version}")
+                with open_folders(self.spark, OPEN_MONTHS):
+                    writer.save(f"{folder}/{version}")
                 done = _published(watch)
                 if done.nulls and not allow_nulls:
                     _refuse(layer, table, done.nulls)
@@ -240,7 +245,8 @@ class CatalogStore:
         with self._claimed(layer, table):
             before = self._current(layer, table)
             try:
-                writer.saveAsTable(f"{self.prefix}{layer}.{version}")
+                with open_folders(self.spark, OPEN_MONTHS):
+                    writer.saveAsTable(f"{self.prefix}{layer}.{version}")
                 done = _published(watch)
                 if done.nulls and not allow_nulls:
                     _refuse(layer, table, done.nulls)
