@@ -229,13 +229,17 @@ def freshness(t: Layers) -> DataFrame:
 
 # --- agreement, records and rejects --------------------------------------
 
-CHECKED = (*SILVER, *GOLDEN)
-
-
 def _agreeing(t: Layers) -> Mapping[str, DataFrame]:
-    """Silver, stored once, and golden tables read from there; the scorecard without its rank."""
-    t = Layers(t.spark, t.folder, store_silver=True)
-    return {name: t(CARDS if name == "agg_product_performance" else name) for name in CHECKED}
+    """Silver and golden tables with the columns that are compared, each made and stored once; the
+    scorecard without its rank."""
+    t = Layers(t.spark, t.folder)
+    tables = {}
+    for name in SILVER:
+        t._built[name] = tables[name] = stored(t(name).drop(*consistency.UNREAD), name)
+    for name in GOLDEN:
+        built = t(CARDS if name == "agg_product_performance" else name)
+        tables[name] = stored(built.select(*consistency.COMPARED[name]), name)
+    return tables
 
 
 def run_history_query(t: Layers) -> DataFrame:

@@ -292,3 +292,19 @@ def test_odd_amounts(spark):
     assert math.isinf(total(float("inf"), 1.0)[0]) and math.isnan(total(float("nan"), 1.0)[0])
     assert total(1e300, 1.0)[0] == 1e300
     assert total(-0.01, -0.02)[0] == -0.03 and total(-5e11, 1.25)[0] == -499999999998.75
+
+
+def test_tables_are_made_once_for_the_report(spark):
+    """Every comparison reads stored tables, of the facts no text; nothing is built from raw frames twice."""
+    agreeing = entry._agreeing(entry.Layers(spark, SF_DIR))
+    for name, columns in consistency.COMPARED.items():
+        assert agreeing[name].columns == list(columns)
+    assert "review_text" not in agreeing["fact_reviews"].columns
+    report = consistency.consistency_report(agreeing)
+    read = set(report.inputFiles())
+    assert read and not any(table in name for name in read for table in ("lineitem.parquet", "part.parquet"))
+    scans = [line for line in plan(report).splitlines() if "FileScan" in line]
+    assert sum("/fact_reviews-" in line for line in scans) == 1, "by product and month; the rest reads the counts"
+    assert sum("/fact_orders-" in line for line in scans) == 2, "rows and revenue per day and country"
+    for name in GOLDEN:
+        assert {f.rsplit("/", 2)[1].split("-")[0] for f in agreeing[name].inputFiles()} == {name}
