@@ -19,7 +19,7 @@ from marketloom.plans import marts, silver
 from marketloom.plans.refresh import READ_ORDER, RefreshReport, full_refresh
 from marketloom.sources import landing
 from marketloom.sources.ledger import AlreadyRecorded, RunLedger, run_history
-from marketloom.sources.scratch import scratch_root
+from marketloom.sources.scratch import recorded, scratch_root
 from marketloom.sources.tables import OPEN_MONTHS, CatalogStore, ConcurrentWrite, NullsInRequiredColumns, PathStore, _prepared
 from retail_fixture import AS_OF, LOAD_TS, Bridge
 
@@ -418,3 +418,16 @@ def test_the_sentiment_table_is_not_dealt_by_range(spark, landed, tmp_path):
         ordered.setdefault(row.f, []).append((row.product_id, row.review_month or ""))
     assert len(ordered) >= 1 and all(len(found) == 1 for found in files.values())
     assert all(rows == sorted(rows) for rows in ordered.values())
+
+
+def test_a_landing_with_malformed_records_reconciles(spark, tmp_path):
+    """Malformed records are stored once, as few rows, and two are landed for each of them."""
+    bridge = Bridge(spark, SF_DIR)
+    path = bridge.land_csv("products", str(tmp_path))
+    clean = landing.read_landing(spark, "products", path).count()
+    with recorded() as scratch:
+        bridge.land_malformed("products", path)
+    assert len(scratch) == 1
+    chosen = spark.read.parquet(scratch[0]).count()
+    _, _, counts = landing.split_landing(spark, "products", path, str(tmp_path / "split"))
+    assert chosen > 0 and counts == {"good": clean, "rejected": 2 * chosen}
