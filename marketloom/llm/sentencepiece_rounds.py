@@ -1,31 +1,46 @@
 """SentencePiece encoding (byte-pair models) by vectorised merge rounds, and decoding.
 
-New words of many documents are put into one flat array of symbols.  In each round the least rank of
-the pairs of every word is found by a segmented minimum, all words merge their leftmost pairs of that
-rank at once, and words without a pair are taken out.  Ids of words seen before come from a bounded
-cache.  Ids are those of the library; decoding is the library's.
+Texts are cut where no piece of the model goes on: into words, marks and line breaks.  New words of many
+documents are put into one flat array of symbols.  In each round the least rank of the pairs of every word
+is found by a segmented minimum, all words merge their leftmost pairs of that rank at once, and words
+without a pair are taken out.  Ids of words seen before come from a bounded memory.  Ids are those of the
+library; decoding is the library's.
 """
 
 from __future__ import annotations
 
 import heapq
-import re
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import free_name, other_columns
+from marketloom.llm.tokens import Memory, buffers, pieces_of, slices, sums_by_text
 
 SPACE = "▁"  # stands for a space in pieces
-NONE = np.int64(1) << 40  # rank of a pair that cannot be merged
-CACHE_WORDS = 150_000  # words that a worker remembers; beyond them it starts anew
+NONE = np.int32((1 << 31) - 1)  # rank of a pair that cannot be merged
+CACHE_WORDS = 400_000  # words that a worker remembers; beyond them it keeps those of the present texts
+LEARNT_WORDS = 16_384  # new words that are merged together: their arrays stay in the processor's cache
 LONG_WORD = 2048  # longer words are merged one pair at a time; each round would walk all of them
-CHUNK_CHARS = 1_000_000  # characters encoded at a time
-_SEGMENT = re.compile(" +[^ ]*|[^ ]+")
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+MARK, LETTER, OTHER, BLANK, BREAK = range(5)  # kinds of characters
+_LATIN = 0xC3  # first byte of U+00C0 to U+00FF
+
+
+def _kind(char: str) -> int:
+    """Letters are A to Z and U+00C0 to U+00FF, marks the rest of ASCII but spaces and line breaks."""
+    if char in " \n":
+        return BLANK if char == " " else BREAK
+    if char.isascii():
+        return LETTER if char.isalpha() else MARK
+    return LETTER if "\xc0" <= char <= "\xff" else OTHER
+
+
+_KINDS = np.array([_kind(chr(b)) if b < 128 else LETTER if b == _LATIN else OTHER for b in range(256)], np.uint8)
 
 
 class Vocabulary:
@@ -42,6 +57,7 @@ class Vocabulary:
         joined = "".join(pieces)
         self.cuts_lines = "\n" not in joined
         self.cuts_words = not any(b == SPACE and a != SPACE for p in pieces for a, b in zip(p, p[1:]))
+        self.cuts_marks = not any({_kind(a), _kind(b)} == {LETTER, MARK} for p in pieces for a, b in zip(p, p[1:]))
         numbers = dict(pieces)
         for c in sorted(set(joined)):
             numbers.setdefault(c, len(numbers) + size)
@@ -59,17 +75,51 @@ class Vocabulary:
                 if left is not None and right is not None:
                     keys.append(left * self.width + right)
                     merged.append(i)
-        order = np.argsort(np.array(keys, np.int64), kind="stable")
-        self.keys = np.array(keys, np.int64)[order]
-        self.merged = np.array(merged, np.int64)[order]
-        self.ranks = rank[self.merged].astype(np.int64)
+        self.keys, self.merged = np.array(keys, np.int64), np.array(merged, np.int32)
+        self.ranks = rank[self.merged].astype(np.int32)
+        self._hash()
+
+    def _hash(self) -> None:
+        """A table of the pairs, at most an eighth full; a pair whose place is taken goes to the next free one."""
+        bits = max(len(self.keys), 2).bit_length() + 3
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.slot_keys = np.full(1 << bits, -1, np.int64)
+        self.slot_pairs = np.zeros(1 << bits, np.int32)
+        left, at = np.arange(len(self.keys)), self._place(self.keys)
+        while len(left):
+            free = self.slot_keys[at] < 0
+            _, first = np.unique(np.where(free, at, -1), return_index=True)
+            first = first[free[first]]
+            self.slot_keys[at[first]] = self.keys[left[first]]
+            self.slot_pairs[at[first]] = left[first]
+            rest = np.ones(len(left), bool)
+            rest[first] = False
+            left, at = left[rest], (at[rest] + 1) & self.mask
+
+    def _place(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * _MULTIPLIER) >> self.shift).astype(np.int64)
 
     def pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged piece of each pair."""
-        key = np.where((left >= 0) & (right >= 0), left * self.width + right, -1)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        found = self.keys[at] == key
-        return np.where(found, self.ranks[at], NONE), np.where(found, self.merged[at], -1)
+        key = left.astype(np.int64) * self.width + right
+        key[(left < 0) | (right < 0)] = -2
+        at = self._place(key)
+        there = self.slot_keys[at]
+        found = there == key
+        rank = np.where(found, self.ranks[self.slot_pairs[at]], NONE)
+        piece = np.where(found, self.merged[self.slot_pairs[at]], np.int32(-1))
+        # places taken by another pair: look at the next ones
+        open_at = np.flatnonzero(~found & (there >= 0))
+        at, key = at[open_at], key[open_at]
+        while len(open_at):
+            at = (at + 1) & self.mask
+            there = self.slot_keys[at]
+            found = there == key
+            hit = open_at[found]
+            rank[hit], piece[hit] = self.ranks[self.slot_pairs[at[found]]], self.merged[self.slot_pairs[at[found]]]
+            on = ~found & (there >= 0)
+            open_at, at, key = open_at[on], at[on], key[on]
+        return rank, piece
 
     def fallback(self, char: str) -> list[int]:
         data = char.encode()
@@ -115,9 +165,9 @@ def merge_rounds(vocabulary: Vocabulary, symbols: np.ndarray, sizes: np.ndarray)
 
     Returns the remaining symbols and, for each, where its first character stands in ``symbols``.
     """
-    at = np.arange(len(symbols))
+    at = np.arange(len(symbols), dtype=np.int32)
     sizes = sizes[sizes > 0]
-    word = np.repeat(np.arange(len(sizes)), sizes)
+    word = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     done_symbols, done_at = [], []
 
     def pair_of(i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,73 +230,96 @@ class Encoder:
     """Ids of whole texts, with a bounded memory of words."""
 
     def __init__(self, model: bytes):
-        self.vocabulary = Vocabulary(model)
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.numbers = list(range(self.vocabulary.width))
-
-    def _keys(self, text: str) -> list[str]:
-        """The words of a text.  A word follows a space; one that does not is marked by a line break."""
-        text = " " + text.replace(SPACE, " ")
-        if not (self.vocabulary.cuts_words and self.vocabulary.cuts_lines):
-            return ["\n" + text]
-        keys: list[str] = []
-        for line in text.split("\n"):
-            if "  " in line or line[-1:] == " ":
-                keys += ["\n" + s for s in _SEGMENT.findall(line)]
-            elif line:
-                parts = line.split(" ")
-                if parts[0]:
-                    parts[0] = "\n" + parts[0]
-                    keys += parts
-                else:
-                    keys += parts[1:]
-            keys.append("\n")
-        keys.pop()
-        return keys
-
-    def _learn(self, new: list[str]) -> None:
+        self.vocabulary = vocabulary = Vocabulary(model)
+        self.memory = Memory(self._learn, CACHE_WORDS, np.int32)
+        # a word begins between two kinds of characters over which no piece goes on
+        self.begins = np.zeros((5, 5), bool)
+        self.begins[BREAK], self.begins[:, BREAK], self.begins[:BLANK, BLANK] = True, True, True
+        self.begins[LETTER, MARK] = self.begins[MARK, LETTER] = vocabulary.cuts_marks
+
+    @property
+    def known(self) -> dict[bytes, int]:
+        return self.memory.known
+
+    def _starts(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Where words begin.  Spaces belong to the word that follows them, a line break is a word."""
+        if not len(data) or not (self.vocabulary.cuts_words and self.vocabulary.cuts_lines):
+            return np.unique(bounds[:-1][np.diff(bounds) > 0])
+        kind = _KINDS[data]
+        latin = np.flatnonzero(data[:-1] == _LATIN)
+        kind[latin + 1] = LETTER
+        begins = np.append(True, self.begins.ravel()[kind[:-1] * 5 + kind[1:]])
+        begins[bounds[:-1][np.diff(bounds) > 0]] = True
+        return np.flatnonzero(begins)
+
+    def _learn(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new words, one after another, and the number of ids of each."""
+        found = [self._learn_some(new.slice(i, LEARNT_WORDS)) for i in range(0, len(new), LEARNT_WORDS)]
+        return np.concatenate([ids for ids, _ in found]), np.concatenate([sizes for _, sizes in found])
+
+    def _learn_some(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         vocabulary = self.vocabulary
-        spelled = ["\n" if k == "\n" else k[1:].replace(" ", SPACE) if k[0] == "\n" else SPACE + k for k in new]
-        sizes = np.fromiter(map(len, spelled), np.int64, len(spelled))
-        whole = "".join(spelled)
-        symbols = vocabulary.of_char[np.frombuffer(whole.encode("utf-32-le"), np.uint32)].astype(np.int64)
-        begins = np.cumsum(sizes) - sizes
+        data, bounds = buffers(new)
+        # continuation bytes of UTF-8 begin no character
+        characters = np.append(0, np.cumsum((data & 0xC0) != 0x80))
+        codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        codes = np.where(codes == ord(" "), ord(SPACE), codes)
+        cuts = characters[bounds]
+        begins, sizes = cuts[:-1], np.diff(cuts)
+        symbols = vocabulary.of_char[codes]
         long = sizes > LONG_WORD
         usual = np.repeat(~long, sizes)
-        where = np.nonzero(usual)[0]
         merged, at = merge_rounds(vocabulary, symbols[usual], sizes[~long])
-        at = where[at]
-        for k in np.nonzero(long)[0]:
-            span = range(begins[k], begins[k] + sizes[k])
-            more, more_at = _merge_one_by_one(vocabulary, symbols[span.start : span.stop].tolist(), list(span))
-            merged, at = np.append(merged, more), np.append(at, more_at)
-        order = np.argsort(at, kind="stable")
-        merged, at = merged[order].astype(np.int64), at[order]
-        cuts = np.searchsorted(at, np.append(begins, len(whole))).tolist()
-        plain = ((merged >= 0) & (merged < vocabulary.size)).tolist()
-        ids = merged.tolist()
-        at, numbers = at.tolist(), self.numbers
-        every = all(plain)
-        for k, key in enumerate(new):
-            a, b = cuts[k], cuts[k + 1]
-            if every or all(plain[a:b]):
-                self.known[key] = tuple([numbers[i] for i in ids[a:b]])
-            else:
-                parts = [[ids[i]] if plain[i] else vocabulary.fallback(whole[at[i]]) for i in range(a, b)]
-                self.known[key] = tuple(chain.from_iterable(parts))
+        if long.any():
+            at = np.flatnonzero(usual)[at]
+            for k in np.flatnonzero(long).tolist():
+                span = range(begins[k], begins[k] + sizes[k])
+                more, more_at = _merge_one_by_one(vocabulary, symbols[span.start : span.stop].tolist(), list(span))
+                merged, at = np.append(merged, more), np.append(at, more_at)
+            order = np.argsort(at, kind="stable")
+            merged, at = merged[order], at[order]
+        odd = np.flatnonzero((merged < 0) | (merged >= vocabulary.size))
+        parts = np.ones(len(merged), np.int64)
+        if len(odd):
+            chars, which = np.unique(codes[at[odd]], return_inverse=True)
+            instead = [vocabulary.fallback(chr(c)) for c in chars.tolist()]
+            parts[odd] = np.array([len(x) for x in instead])[which]
+            flat = np.repeat(merged, parts)
+            first = (np.cumsum(parts) - parts)[odd]
+            for k in range(max(map(len, instead))):
+                ids = np.array([x[k] if k < len(x) else -1 for x in instead])[which]
+                flat[(first + k)[ids >= 0]] = ids[ids >= 0]
+            merged = flat
+        ends = np.append(0, np.cumsum(parts))[np.searchsorted(at, cuts)]
+        return merged, np.diff(ends)
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and where each text's begin and end."""
+        texts = texts.cast(pa.large_string())
+        if texts.null_count:
+            texts = texts.fill_null("")
+        texts = pc.replace_substring(texts, SPACE, " ")
+        # a space goes before every text that is not empty
+        given, given_bounds = buffers(texts)
+        filled = np.diff(given_bounds) > 0
+        bounds = given_bounds + np.append(0, np.cumsum(filled))
+        data = np.empty(bounds[-1], np.uint8)
+        spaces = np.zeros(len(data), bool)
+        spaces[bounds[:-1][filled]] = True
+        data[spaces], data[~spaces] = ord(" "), given
+        starts = self._starts(data, bounds)
+        if not len(starts):
+            return np.empty(0, np.int32), np.zeros(len(bounds), np.int64)
+        ids, sizes = self.memory.look_up(pieces_of(data, starts))
+        return ids, sums_by_text(sizes, starts, bounds)
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
-        keys = [self._keys(t) if t else [] for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = set(chain.from_iterable(keys)).difference(self.known)
-        if new:
-            self._learn(list(new))
-        get = self.known.__getitem__
-        return [list(chain.from_iterable(map(get, k))) for k in keys]
+        ids, bounds = self.encode_array(pa.array(texts, pa.large_string()))
+        return [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
 
-    def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.vocabulary.library.decode(ids, num_threads=1) if ids else []
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        decode = self.vocabulary.library.decode
+        return [decode(ids[a:b].tolist()) if b > a else "" for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 _encoders: dict[bytes, Encoder] = {}
@@ -271,8 +344,8 @@ def encode(df: DataFrame, text: str, model_path: str, ids: str = "ids", decoded:
     with open(model_path, "rb") as file:
         model = file.read()
     results = [ids] + ([decoded] if decoded else [])
-    kept = other_columns(df, text, *results)
-    given = df.select(*[F.col(f"`{c}`") for c in kept], F.col(text).cast("string").alias(free_name(df, "_text")))
+    kept, text_col = other_columns(df, text, *results), free_name(df, "_text")
+    given = df.select(*[F.col(f"`{c}`") for c in kept], F.col(text).cast("string").alias(text_col))
     schema = given.select(*[F.col(f"`{c}`") for c in kept]).withColumn(ids, F.lit(None).cast("array<int>"))
     if decoded:
         schema = schema.withColumn(decoded, F.lit("").cast("string"))
@@ -280,17 +353,11 @@ def encode(df: DataFrame, text: str, model_path: str, ids: str = "ids", decoded:
     def run(batches):
         own = encoder(model)
         for batch in batches:
-            texts = batch.column(len(kept)).to_pylist()
-            begin = size = 0
-            for i, t in enumerate(texts):
-                size += len(t or "")
-                if size >= CHUNK_CHARS or i == len(texts) - 1:
-                    part = batch.slice(begin, i + 1 - begin)
-                    found = own.encode(texts[begin : i + 1])
-                    arrays = [*part.columns[: len(kept)], pa.array(found, pa.list_(pa.int32()))]
-                    if decoded:
-                        arrays.append(pa.array(own.decode(found), pa.string()))
-                    yield pa.RecordBatch.from_arrays(arrays, [*kept, *results])
-                    begin, size = i + 1, 0
+            for part in slices(batch, text_col):
+                found, bounds = own.encode_array(part.column(text_col))
+                arrays = [*part.columns[: len(kept)], pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(found))]
+                if decoded:
+                    arrays.append(pa.array(own.decode(found, bounds), pa.string()))
+                yield pa.RecordBatch.from_arrays(arrays, [*kept, *results])
 
     return given.mapInArrow(run, schema.schema)

@@ -1,4 +1,4 @@
-"""Words of many texts at once, on their UTF-8 bytes.
+"""Words of many texts at once, on their UTF-8 bytes, and a bounded memory of their ids.
 
 Every separator is an ASCII character and no byte of a longer character looks like one, so texts can
 be cut on bytes: one table look-up per byte finds the words, and the words of a batch become one
@@ -7,8 +7,9 @@ Arrow array without a Python object per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ class Words:
     follows: np.ndarray
 
 
-def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of an array of texts; NULL is empty."""
     texts = texts.cast(pa.large_binary())
     if texts.null_count:
@@ -51,7 +52,7 @@ def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def words_of(texts: pa.Array, separators: np.ndarray, breaks: np.ndarray | None = None) -> Words:
     """Lower-case (A-Z only) maximal runs of bytes that are neither separators nor breaks."""
-    data, bounds = _buffers(texts)
+    data, bounds = buffers(texts)
     n = len(data)
     gap = separators[data] if breaks is None else (separators | breaks)[data]
     inside = ~gap
@@ -82,10 +83,76 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
     """The batch in parts whose texts have about ``most`` bytes together."""
     if not batch.num_rows:
         return
-    _, bounds = _buffers(batch.column(column))
+    _, bounds = buffers(batch.column(column))
     begin = 0
     while begin < batch.num_rows:
         end = int(np.searchsorted(bounds, bounds[begin] + most, side="right")) - 1
         end = min(max(end, begin + 1), batch.num_rows)
         yield batch.slice(begin, end - begin)
         begin = end
+
+
+def pieces_of(data: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The bytes (large_binary) cut at ``starts``, the first of which is 0; nothing is copied."""
+    offsets = np.append(starts, len(data)).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def spread(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``sizes[i]`` values from ``starts[i]`` on, for each i in turn."""
+    ends = np.cumsum(sizes)
+    index = np.repeat(starts - (ends - sizes), sizes)
+    index += np.arange(len(index))
+    return values[index]
+
+
+class Memory:
+    """Ids of the words that a worker has met, in flat arrays.
+
+    ``learn`` gets new words (large_binary) and returns their ids, one after another, and the number of
+    ids of each.  Words of a call are made unique first, so Python handles each of them once a call.
+    With more than ``most`` words it forgets all but those that the present call holds: frequent words stay.
+    """
+
+    def __init__(self, learn: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], most: int, dtype: type):
+        self.learn, self.most = learn, most
+        self.known: dict[bytes, int] = {}
+        self.ids, self.starts, self.sizes = np.empty(0, dtype), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _store(self, ids: np.ndarray, sizes: np.ndarray) -> range:
+        first = len(self.starts)
+        self.starts = np.append(self.starts, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.sizes = np.append(self.sizes, sizes)
+        self.ids = np.append(self.ids, ids.astype(self.ids.dtype))
+        return range(first, len(self.starts))
+
+    def _forget(self, spelled: list[bytes], number: np.ndarray) -> np.ndarray:
+        """Keep only the given words; returns their new numbers."""
+        starts, sizes = self.starts[number], self.sizes[number]
+        ids = spread(self.ids, starts, sizes)
+        self.ids, self.starts, self.sizes = ids[:0], starts[:0], sizes[:0]
+        self.known = dict(zip(spelled, kept := self._store(ids, sizes)))
+        return np.array(kept, np.int64)
+
+    def look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after another, and the number of ids of each."""
+        coded = words.dictionary_encode()
+        spelled = coded.dictionary.to_pylist()
+        number = np.fromiter(map(self.known.get, spelled, repeat(-1)), np.int64, len(spelled))
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            if len(self.starts) + len(new) > self.most:
+                old = np.flatnonzero(number >= 0)
+                number[old] = self._forget([spelled[i] for i in old.tolist()], number[old])
+            fresh = self._store(*self.learn(coded.dictionary.take(pa.array(new))))
+            self.known.update(zip([spelled[i] for i in new.tolist()], fresh))
+            number[new] = fresh
+        at = number[coded.indices.to_numpy()]
+        sizes = self.sizes[at]
+        return spread(self.ids, self.starts[at], sizes), sizes
+
+
+def sums_by_text(sizes: np.ndarray, starts: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where the ids of each text end, from the numbers of ids of words that begin at ``starts``; 0 goes first."""
+    before = np.append(0, np.cumsum(sizes))
+    return before[np.searchsorted(starts, bounds)]

@@ -260,6 +260,56 @@ def test_long_words_by_rounds_and_one_by_one_agree(monkeypatch):
     assert own.encode([text]) == first
 
 
+def counted_merges(monkeypatch):
+    """Symbols that the merge rounds get, call by call."""
+    given, rounds = [], sentencepiece_rounds.merge_rounds
+    monkeypatch.setattr(
+        sentencepiece_rounds, "merge_rounds", lambda v, symbols, sizes: given.append(len(symbols)) or rounds(v, symbols, sizes))
+    return given
+
+
+def test_words_are_merged_once_whatever_marks_follow_them(monkeypatch):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    own = sentencepiece_rounds.Encoder(open(path, "rb").read())
+    pick = random.Random(5)
+    words = {"".join(pick.choices("abcdeéßàçtn", k=12)) for _ in range(500)}
+    texts = [" ".join(w + mark for w in words) for mark in ["", ".", ",", ";", "!?", ")", '",', "3", "”"]]
+    merged = counted_merges(monkeypatch)
+    assert own.encode(texts) == library.encode(texts)
+    # each word with the space before it, once more with a quotation mark that is not ASCII
+    assert sum(merged) < 2.3 * 13 * len(words)
+
+
+def test_a_full_memory_keeps_the_words_of_the_present_texts(monkeypatch):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    monkeypatch.setattr(sentencepiece_rounds, "CACHE_WORDS", 1000)
+    own = sentencepiece_rounds.Encoder(open(path, "rb").read())
+    pick = random.Random(6)
+    common = " ".join("".join(pick.choices("abcdefgh", k=9)) for _ in range(600))
+    assert own.encode([common]) == [library.encode(common)]
+    merged = counted_merges(monkeypatch)
+    rare = 0
+    for _ in range(20):
+        new = " ".join("".join(pick.choices("qrstuvwx", k=9)) for _ in range(300))
+        rare += len(new) + 1
+        assert own.encode([common + " " + new]) == [library.encode(common + " " + new)]
+        assert len(own.known) <= 1000
+    assert sum(merged) <= rare
+
+
+@pytest.mark.parametrize("cut", ["cuts_words", "cuts_lines", "cuts_marks"])
+def test_models_whose_pieces_go_over_borders_are_not_cut_there(cut, monkeypatch):
+    init = sentencepiece_rounds.Vocabulary.__init__
+    monkeypatch.setattr(sentencepiece_rounds.Vocabulary, "__init__", lambda v, model: init(v, model) or setattr(v, cut, False))
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    own = sentencepiece_rounds.Encoder(open(path, "rb").read())
+    texts = [None, "", " ", "one two,\nthree", "\n\n é.x ", "x" * 3000 + " y"]
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    assert own.encode(texts) == library.encode([t or "" for t in texts])
+
+
 def test_query_2(spark, texts):
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     for r in queries.op2_sentencepiece(spark, SF_DIR).collect():
