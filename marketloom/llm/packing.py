@@ -9,26 +9,37 @@ from __future__ import annotations
 
 import bisect
 import os
-import re
 import zlib
-from array import array
 from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from marketloom.llm.common import free_name, gapless_numbers, other_columns
+from marketloom.llm.tokens import (
+    BLANK,
+    LETTER,
+    MARK,
+    QUOTE,
+    Memory,
+    after_spaces,
+    byte_kinds,
+    kind_of,
+    slices,
+    spread,
+    word_starts,
+)
 from marketloom.sources.scratch import stored
 
 CAPACITY = 2048
-CACHE_WORDS = 250_000  # words in each half of what a worker remembers
-CHUNK_CHARS = 1_000_000
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")  # with A-Z lowered, letters that the tokenizer cannot join to others
+CACHE_WORDS = 400_000  # words that a worker remembers; beyond them it keeps those of the present texts
+_LETTERS = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"  # lowered, letters that the tokenizer cannot join to others
 
 
 # --- the plan ------------------------------------------------------------
@@ -199,59 +210,56 @@ def _byte_characters() -> dict[int, str]:
 class Tokens:
     """Token ids by the library, word by word, with a bounded memory of words.
 
-    The tokenizer never joins characters over a space or line break, so a text has the ids of its words.
+    The tokenizer joins nothing over a space or line break, after a letter no mark, and after a mark
+    but ``'`` no letter, so a text has the ids of its words.  What stands in its special tokens is no mark.
     A word of letters is one unit of its merges and goes to the library's model directly; any other
-    word goes through the whole library.  The memory has two halves: when the newer one is full, it
-    takes the place of the older one, so frequent words stay.
+    word goes through the whole library.
     """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_str(definition)
         self.alphabet = _byte_characters()
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {"": b""}
-
-    def _stem(self, stem: str) -> bytes:
-        """The ids of a word of lower-case letters, as little-endian bytes."""
-        found = self.stems.get(stem)
-        if found is None:
-            spelled = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.alphabet)
-            ids = [token.id for token in self.library.model.tokenize(spelled)]
-            found = self.stems[stem] = array("I", ids).tobytes()
+        self.memory = Memory(self._learn, CACHE_WORDS, np.uint32)
+        special = {c for t in self.library.get_added_tokens_decoder().values() for c in t.content}
+        self.kinds = byte_kinds("".join(c for c in special if c.isascii() and kind_of(c) == MARK))
+        self.begins = np.zeros((6, 6), bool)
+        self.begins[:, BLANK] = self.begins[LETTER, [MARK, QUOTE]] = self.begins[MARK, LETTER] = True
+
+    def _letters(self, words: pa.Array) -> list[list[int]]:
+        """The ids of words of lower-case letters."""
+        found = []
+        for word in words.to_pylist():
+            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
+            found.append([token.id for token in self.library.model.tokenize(spelled)])
         return found
 
-    def _learn(self, new: set[str]) -> None:
-        if len(self.stems) > CACHE_WORDS:
-            self.stems = {"": b""}
-        letters, others = [], []
-        for word in new:
-            stem = word.rstrip(".,")
-            if word in self.older:
-                self.known[word] = self.older[word]
-            elif stem and _LETTERS.fullmatch(stem):
-                letters.append((word, stem))
-            else:
-                others.append(word)
-        tails = {word[len(stem) :] for word, stem in letters if len(stem) < len(word)}
-        asked = others + [tail for tail in tails if tail not in self.known]
-        for word, code in zip(asked, self.library.encode_batch_fast(asked, add_special_tokens=False)):
-            self.known[word] = array("I", code.ids).tobytes()
-        for word, stem in letters:
-            tail = word[len(stem) :]
-            ids = self._stem(stem.lower())
-            self.known[word] = ids + self.known[tail] if tail else ids
+    def _learn(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new words, one after another, and the number of ids of each."""
+        words = pc.utf8_ltrim(new.cast(pa.large_string()), " ")
+        letters = pc.match_substring_regex(words, _LETTERS)
+        stems = pc.utf8_lower(words.filter(letters)).dictionary_encode()
+        others = words.filter(pc.invert(letters)).to_pylist()
+        found = self._letters(stems.dictionary)
+        found += [code.ids for code in self.library.encode_batch_fast(others, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        letters = letters.to_numpy(zero_copy_only=False)
+        at = np.empty(len(new), np.int64)
+        at[letters] = stems.indices.to_numpy()
+        at[~letters] = np.arange(len(found) - len(others), len(found))
+        return spread(ids, (np.cumsum(sizes) - sizes)[at], sizes[at]), sizes[at]
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and where each text's begin and end."""
+        data, bounds = after_spaces(texts)
+        data[data == ord("\n")] = ord(" ")
+        starts = word_starts(data, bounds, self.kinds, self.begins) if len(data) else bounds[:0]
+        return self.memory.of_texts(data, starts, bounds)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        words = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.older, self.known = self.known, {}
-        new = set(chain.from_iterable(words)).difference(self.known)
-        if new:
-            self._learn(new)
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, w)), np.uint32) for w in words]
+        ids, bounds = self.encode_array(pa.array(texts, pa.large_string()))
+        return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 _tokens: dict[str, Tokens] = {}
@@ -282,8 +290,8 @@ def token_pieces(
     with open(tokenizer_path, encoding="utf-8") as file:
         definition = file.read()
     fields = [part.split()[0] for part in PIECE.split(", ")] + (["ids"] if with_ids else [])
-    kept = other_columns(df, text, *fields)
-    given = df.select(*[F.col(f"`{c}`") for c in kept], F.col(text).cast("string").alias(free_name(df, "_text")))
+    kept, text_col = other_columns(df, text, *fields), free_name(df, "_text")
+    given = df.select(*[F.col(f"`{c}`") for c in kept], F.col(text).cast("string").alias(text_col))
     schema = given.select(
         *[F.col(f"`{c}`") for c in kept], F.lit(0).alias("piece"), *[F.lit(0).cast("long").alias(c) for c in fields[1:4]],
         *([F.lit(None).cast("array<int>").alias("ids")] if with_ids else []),
@@ -292,30 +300,27 @@ def token_pieces(
     def run(batches):
         own = tokens(definition)
         for batch in batches:
-            texts = batch.column(len(kept)).to_pylist()
-            begin = size = 0
-            for i, t in enumerate(texts):
-                size += len(t or "")
-                if size >= CHUNK_CHARS or i == len(texts) - 1:
-                    row, pieces, starts, lengths, sums, parts = [], [], [], [], [], []
-                    for k, code in enumerate(own.encode(texts[begin : i + 1])):
-                        code = np.append(code, np.uint32(end_id)).astype("<u4")
-                        for start in range(0, len(code), capacity):
-                            part = code[start : start + capacity]
-                            row.append(begin + k)
-                            pieces.append(start // capacity)
-                            starts.append(start)
-                            lengths.append(len(part))
-                            sums.append(zlib.crc32(part.tobytes()))
-                            if with_ids:
-                                parts.append(part.astype(np.int32))
-                    carried = batch.take(pa.array(row, pa.int64())).columns[: len(kept)]
-                    arrays = [*carried, pa.array(pieces, pa.int32())]
-                    arrays += [pa.array(x, pa.int64()) for x in (starts, lengths, sums)]
-                    if with_ids:
-                        arrays.append(pa.array(parts, pa.list_(pa.int32())))
-                    yield pa.RecordBatch.from_arrays(arrays, [*kept, *fields])
-                    begin, size = i + 1, 0
+            for part in slices(batch, text_col):
+                ids, bounds = own.encode_array(part.column(text_col))
+                # every document's end
+                ids = np.insert(ids, bounds[1:], end_id).astype("<u4")
+                bounds = bounds + np.arange(len(bounds))
+                sizes = np.diff(bounds)
+                pieces = -(-sizes // capacity)
+                row = np.repeat(np.arange(len(sizes)), pieces)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * capacity
+                length = np.minimum(sizes[row] - start, capacity)
+                begins = bounds[row] + start
+                whole = memoryview(ids).cast("B")
+                sums = [zlib.crc32(whole[4 * a : 4 * (a + n)]) for a, n in zip(begins.tolist(), length.tolist())]
+                carried = part.take(pa.array(row)).columns[: len(kept)]
+                arrays = [*carried, pa.array(piece, pa.int32())]
+                arrays += [pa.array(x, pa.int64()) for x in (start, length, sums)]
+                if with_ids:
+                    ends = pa.array(np.append(begins, len(ids)), pa.int32())
+                    arrays.append(pa.ListArray.from_arrays(ends, pa.array(ids.astype(np.int32))))
+                yield pa.RecordBatch.from_arrays(arrays, [*kept, *fields])
 
     return given.mapInArrow(run, schema)
 

@@ -19,7 +19,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import free_name, other_columns
-from marketloom.llm.tokens import Memory, buffers, pieces_of, slices, sums_by_text
+from marketloom.llm.tokens import (
+    BLANK,
+    BREAK,
+    LETTER,
+    MARK,
+    QUOTE,
+    Memory,
+    after_spaces,
+    buffers,
+    byte_kinds,
+    kind_of,
+    slices,
+    word_starts,
+)
 
 SPACE = "▁"  # stands for a space in pieces
 NONE = np.int32((1 << 31) - 1)  # rank of a pair that cannot be merged
@@ -27,20 +40,6 @@ CACHE_WORDS = 400_000  # words that a worker remembers; beyond them it keeps tho
 LEARNT_WORDS = 16_384  # new words that are merged together: their arrays stay in the processor's cache
 LONG_WORD = 2048  # longer words are merged one pair at a time; each round would walk all of them
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-MARK, LETTER, OTHER, BLANK, BREAK = range(5)  # kinds of characters
-_LATIN = 0xC3  # first byte of U+00C0 to U+00FF
-
-
-def _kind(char: str) -> int:
-    """Letters are A to Z and U+00C0 to U+00FF, marks the rest of ASCII but spaces and line breaks."""
-    if char in " \n":
-        return BLANK if char == " " else BREAK
-    if char.isascii():
-        return LETTER if char.isalpha() else MARK
-    return LETTER if "\xc0" <= char <= "\xff" else OTHER
-
-
-_KINDS = np.array([_kind(chr(b)) if b < 128 else LETTER if b == _LATIN else OTHER for b in range(256)], np.uint8)
 
 
 class Vocabulary:
@@ -57,7 +56,10 @@ class Vocabulary:
         joined = "".join(pieces)
         self.cuts_lines = "\n" not in joined
         self.cuts_words = not any(b == SPACE and a != SPACE for p in pieces for a, b in zip(p, p[1:]))
-        self.cuts_marks = not any({_kind(a), _kind(b)} == {LETTER, MARK} for p in pieces for a, b in zip(p, p[1:]))
+        self.cuts_marks = not any(
+            (kind_of(a) == LETTER and kind_of(b) in (MARK, QUOTE)) or (kind_of(a) in (MARK, QUOTE) and kind_of(b) == LETTER)
+            for p in pieces for a, b in zip(p, p[1:])
+        )
         numbers = dict(pieces)
         for c in sorted(set(joined)):
             numbers.setdefault(c, len(numbers) + size)
@@ -233,9 +235,10 @@ class Encoder:
         self.vocabulary = vocabulary = Vocabulary(model)
         self.memory = Memory(self._learn, CACHE_WORDS, np.int32)
         # a word begins between two kinds of characters over which no piece goes on
-        self.begins = np.zeros((5, 5), bool)
+        self.kinds, self.begins = byte_kinds(), np.zeros((6, 6), bool)
         self.begins[BREAK], self.begins[:, BREAK], self.begins[:BLANK, BLANK] = True, True, True
-        self.begins[LETTER, MARK] = self.begins[MARK, LETTER] = vocabulary.cuts_marks
+        for mark in (MARK, QUOTE):
+            self.begins[LETTER, mark] = self.begins[mark, LETTER] = vocabulary.cuts_marks
 
     @property
     def known(self) -> dict[bytes, int]:
@@ -245,12 +248,7 @@ class Encoder:
         """Where words begin.  Spaces belong to the word that follows them, a line break is a word."""
         if not len(data) or not (self.vocabulary.cuts_words and self.vocabulary.cuts_lines):
             return np.unique(bounds[:-1][np.diff(bounds) > 0])
-        kind = _KINDS[data]
-        latin = np.flatnonzero(data[:-1] == _LATIN)
-        kind[latin + 1] = LETTER
-        begins = np.append(True, self.begins.ravel()[kind[:-1] * 5 + kind[1:]])
-        begins[bounds[:-1][np.diff(bounds) > 0]] = True
-        return np.flatnonzero(begins)
+        return word_starts(data, bounds, self.kinds, self.begins)
 
     def _learn(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of new words, one after another, and the number of ids of each."""
@@ -295,23 +293,8 @@ class Encoder:
 
     def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and where each text's begin and end."""
-        texts = texts.cast(pa.large_string())
-        if texts.null_count:
-            texts = texts.fill_null("")
-        texts = pc.replace_substring(texts, SPACE, " ")
-        # a space goes before every text that is not empty
-        given, given_bounds = buffers(texts)
-        filled = np.diff(given_bounds) > 0
-        bounds = given_bounds + np.append(0, np.cumsum(filled))
-        data = np.empty(bounds[-1], np.uint8)
-        spaces = np.zeros(len(data), bool)
-        spaces[bounds[:-1][filled]] = True
-        data[spaces], data[~spaces] = ord(" "), given
-        starts = self._starts(data, bounds)
-        if not len(starts):
-            return np.empty(0, np.int32), np.zeros(len(bounds), np.int64)
-        ids, sizes = self.memory.look_up(pieces_of(data, starts))
-        return ids, sums_by_text(sizes, starts, bounds)
+        data, bounds = after_spaces(pc.replace_substring(texts.cast(pa.large_string()), SPACE, " "))
+        return self.memory.of_texts(data, self._starts(data, bounds), bounds)
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         ids, bounds = self.encode_array(pa.array(texts, pa.large_string()))

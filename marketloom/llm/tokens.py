@@ -92,6 +92,49 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
         begin = end
 
 
+MARK, QUOTE, LETTER, OTHER, BLANK, BREAK = range(6)  # kinds of characters
+_LATIN = 0xC3  # first byte of U+00C0 to U+00FF
+_SIGNS = 0x97, 0xB7  # second bytes of those that are no letters
+
+
+def kind_of(char: str) -> int:
+    """Letters are those of ASCII and U+00C0 to U+00FF, marks what else is in ASCII, but spaces and line breaks."""
+    if char.isascii():
+        return {" ": BLANK, "\n": BREAK, "'": QUOTE}.get(char, LETTER if char.isalpha() else MARK)
+    return LETTER if "\xc0" <= char <= "\xff" and char.isalpha() else OTHER
+
+
+def byte_kinds(others: str = "") -> np.ndarray:
+    """Kind of each byte; ``others`` are ASCII characters that count as other ones."""
+    kinds = np.array([kind_of(chr(b)) if b < 128 else LETTER if b == _LATIN else OTHER for b in range(256)], np.uint8)
+    kinds[list(others.encode("ascii"))] = OTHER
+    return kinds
+
+
+def after_spaces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of the texts, with a space before every text that is not empty."""
+    given, bounds = buffers(texts)
+    filled = np.diff(bounds) > 0
+    bounds = bounds + np.append(0, np.cumsum(filled))
+    data = np.empty(bounds[-1], np.uint8)
+    spaces = np.zeros(len(data), bool)
+    spaces[bounds[:-1][filled]] = True
+    data[spaces], data[~spaces] = ord(" "), given
+    return data, bounds
+
+
+def word_starts(data: np.ndarray, bounds: np.ndarray, kinds: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where words begin: with a text, and where ``begins`` holds for the kinds of a character and the next one."""
+    kind = kinds[data]
+    latin = np.flatnonzero(data[:-1] == _LATIN)
+    kind[latin + 1] = LETTER
+    signs = latin[np.isin(data[latin + 1], _SIGNS)]
+    kind[signs] = kind[signs + 1] = OTHER
+    starts = np.append(True, begins.ravel()[kind[:-1] * len(begins) + kind[1:]])
+    starts[bounds[:-1][np.diff(bounds) > 0]] = True
+    return np.flatnonzero(starts)
+
+
 def pieces_of(data: np.ndarray, starts: np.ndarray) -> pa.Array:
     """The bytes (large_binary) cut at ``starts``, the first of which is 0; nothing is copied."""
     offsets = np.append(starts, len(data)).astype(np.int64)
@@ -151,8 +194,9 @@ class Memory:
         sizes = self.sizes[at]
         return spread(self.ids, self.starts[at], sizes), sizes
 
-
-def sums_by_text(sizes: np.ndarray, starts: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Where the ids of each text end, from the numbers of ids of words that begin at ``starts``; 0 goes first."""
-    before = np.append(0, np.cumsum(sizes))
-    return before[np.searchsorted(starts, bounds)]
+    def of_texts(self, data: np.ndarray, starts: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts whose words begin at ``starts``, one after another, and where each text's begin and end."""
+        if not len(starts):
+            return self.ids[:0], np.zeros(len(bounds), np.int64)
+        ids, sizes = self.look_up(pieces_of(data, starts))
+        return ids, np.append(0, np.cumsum(sizes))[np.searchsorted(starts, bounds)]

@@ -601,6 +601,52 @@ def test_words_have_the_library_s_ids():
     assert [x.tolist() for x in own.encode(texts)] == [own.library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+class CountedLibrary:
+    """A tokenizer that notes which words it is asked for as a whole."""
+
+    def __init__(self, library):
+        self.library, self.model, self.asked = library, library.model, []
+
+    def encode_batch_fast(self, words, **options):
+        self.asked += words
+        return self.library.encode_batch_fast(words, **options)
+
+
+def test_only_marks_and_odd_words_go_through_the_whole_library():
+    own = packing.Tokens(open(public_tokenizers.path("word_bpe_49k.json")).read())
+    library, own.library = own.library, CountedLibrary(own.library)
+    pick = random.Random(5)
+    words = {"".join(pick.choices("abcdeéßÀçtn", k=12)) for _ in range(500)}
+    texts = [" ".join(a + w + b for w in words) for a, b in [("", ";"), ("(", ")"), ("#", "!?"), ("7", ""), ("", "12"), ('"', '",')]]
+    assert [x.tolist() for x in own.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 0 < len(own.library.asked) < 50
+
+
+def test_quotation_marks_signs_and_special_tokens_have_the_library_s_ids():
+    own = packing.Tokens(open(public_tokenizers.path("word_bpe_49k.json")).read())
+    parts = ["'", "'s", "'re", "'LL", "x", "É", "×", "÷", "<|", "|>", "<|startoftext|>", "<|endoftext|>", "|", "<", "=", "\u0338",
+             ".", "(", "7", "\t", "\r", "  ", "\n", "\x85", "\u2028", "İ"]
+    pick = random.Random(4)
+    texts = ["".join(pick.choices(parts, k=pick.randint(0, 12))) for _ in range(20_000)]
+    assert [x.tolist() for x in own.encode(texts)] == [
+        c.ids for c in own.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def test_pieces_of_documents_as_long_as_the_capacity(spark):
+    """Documents that fill pieces just so, beside empty ones; the ids of all pieces of a document are its own."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    texts = [" ".join(["the"] * n) for n in (0, 1, 6, 7, 8, 14, 15, 16, 23)] + [None, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = {}
+    for r in packing.token_pieces(frame, "text", path, capacity=8, with_ids=True).collect():
+        assert r.length == len(r.ids) and r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+        found.setdefault(r.doc_id, []).append((r.piece, r.start, r.ids))
+    for i, t in enumerate(texts):
+        ids = library.encode(t or "", add_special_tokens=False).ids + [0]
+        assert found[i] == [(k, 8 * k, ids[8 * k : 8 * k + 8]) for k in range(-(-len(ids) // 8))]
+
+
 # --- line templates ------------------------------------------------------
 
 def test_templates_are_dropped_and_copies_stay(spark):
