@@ -381,6 +381,18 @@ def test_links_in_crowded_neighbourhoods(spark, monkeypatch, hot, distance):
     assert len({next(iter(g)) for g in groups.values()}) == len(groups)
 
 
+def test_values_around_crowded_fingerprints_are_dealt_out_and_never_broadcast(spark, monkeypatch):
+    """Spark takes the 2,081 values around a fingerprint for a few rows: broadcast, some thousands fill the driver."""
+    monkeypatch.setattr(simhash, "HOT_BUCKET", 2)
+    monkeypatch.setattr(simhash, "DENSE_ROWS", 10)
+    dense = spark.createDataFrame([(1 << i,) for i in range(40)], "fp long")
+    links = simhash.simhash_links(dense, 4)
+    assert {(r.a, r.b) for r in links.collect()} >= {(1 << i, 1) for i in range(1, 40)}
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert "RoundRobinPartitioning(4)" in plan
+
+
 def test_a_long_chain_is_one_component(spark):
     from marketloom.llm.common import connected_components
 
